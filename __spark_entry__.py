@@ -10,7 +10,6 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 import oracles  # noqa: E402
 from tidemart.operators.joins import cardinality, fan_out  # noqa: E402
@@ -19,7 +18,7 @@ from tidemart.plans.silver import ENTITIES  # noqa: E402
 from tidemart.plans.warehouse import Warehouse  # noqa: E402
 from tidemart.sources.landing import export, landing_lines  # noqa: E402
 from tidemart.sources.raw import read_manifest, read_source, source_summary, with_lineage  # noqa: E402
-from tidemart.sources.schemas import columns_of  # noqa: E402
+from tidemart.sources.schemas import RAW_SOURCES, columns_of  # noqa: E402
 from tidemart.sources.staging import Staging  # noqa: E402
 from tidemart.sources.tables import preview  # noqa: E402
 from tidemart.sources.text_records import decode_summary  # noqa: E402
@@ -28,16 +27,16 @@ LOAD_DATE = dt.date.fromisoformat(oracles.LOAD_DATE)
 AS_OF = dt.date.fromisoformat(oracles.AS_OF)
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lines = landing_lines(spark, sf_dir)
+def _bronze(spark: SparkSession, sf_dir: str, *sources: str) -> dict[str, DataFrame]:
+    lines = landing_lines(spark, sf_dir, sources or RAW_SOURCES)
     return {name: with_lineage(df, name, LOAD_DATE) for name, df in lines.items()}
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    bronze = _bronze(spark, sf_dir)
+def _silver(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    entities = [ENTITIES[name] for name in names or ENTITIES]
+    bronze = _bronze(spark, sf_dir, *[entity.source for entity in entities])
     return {
-        name: silver.clean(bronze[entity.source], entity, AS_OF)
-        for name, entity in ENTITIES.items()
+        entity.table: silver.clean(bronze[entity.source], entity, AS_OF) for entity in entities
     }
 
 
@@ -59,7 +58,7 @@ def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def q01_bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = {"sales_details": landing_lines(spark, sf_dir)["sales_details"]}
+    lines = landing_lines(spark, sf_dir, ["sales_details"])
     manifest = export(lines, f"{Staging(spark).path}/landing")
     return read_source(spark, "sales_details", manifest["sales_details"], LOAD_DATE)
 
@@ -74,7 +73,7 @@ def q03_split_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: _silver(spark, sf_dir)[table]
+    return lambda spark, sf_dir: _silver(spark, sf_dir, table)[table]
 
 
 def q10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,19 +81,21 @@ def q10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q11_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_customer(_silver(spark, sf_dir), Staging(spark))
+    tables = _silver(spark, sf_dir, "customer_info", "customer_birth", "customer_location")
+    return _dim_customer(tables, Staging(spark))
 
 
 def q12_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_product(_silver(spark, sf_dir), Staging(spark))
+    tables = _silver(spark, sf_dir, "product_info", "category_products")
+    return _dim_product(tables, Staging(spark))
 
 
 def q13_join_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _silver(spark, sf_dir)
+    tables = _silver(spark, sf_dir, "sales_details", "product_info", "customer_info")
     sales = tables["sales_details"].select("sls_prd_key", "sls_cust_id")
     by_product = fan_out(sales, tables["product_info"], "sls_prd_key", "prod_key", "unmatched")
     by_customer = fan_out(
-        by_product.select("sls_cust_id", "_weight"),
+        by_product.select("sls_cust_id", "row_weight"),
         tables["customer_info"],
         "sls_cust_id",
         "customer_id_cleaned",
@@ -159,17 +160,12 @@ def q22_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q23_tolerant_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as JSON text, some of it cut short, doubled in its brace or empty."""
-    record = F.format_string(
-        '{"order":%d,"line":%d,"flag":"%s"}', "l_orderkey", "l_linenumber", "l_returnflag"
-    )
-    kind = F.col("l_linenumber") % 5
-    broken = (
-        F.when(kind == 1, F.substring(record, F.lit(1), F.length(record) - 1))
-        .when(kind == 2, F.concat(F.lit("{"), record))
-        .when(kind == 3, "")
-        .otherwise(record)
-    )
-    records = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(broken.alias("value"))
+    written = """format_string('{"order":%d,"line":%d,"flag":"%s"}',
+        l_orderkey, l_linenumber, l_returnflag) AS record"""
+    damaged = """CASE l_linenumber % 5 WHEN 1 THEN left(record, length(record) - 1)
+        WHEN 2 THEN concat('{', record) WHEN 3 THEN '' ELSE record END AS value"""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    records = lines.selectExpr("l_linenumber", written).selectExpr(damaged)
     return decode_summary(records, "order bigint, line int, flag string")
 
 

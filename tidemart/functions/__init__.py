@@ -1 +1,5 @@
-"""Cleaning rules. Every function maps Columns to a Column built from Spark built-ins."""
+"""Cleaning rules. Every function takes and returns Spark SQL expressions as text.
+
+A layer passes all its rules to one ``selectExpr``, which costs the driver one call and
+leaves the whole expression to Catalyst. Arguments are column names or expressions.
+"""

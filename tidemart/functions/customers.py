@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidemart.functions.text import UNKNOWN, filled, recode
+from tidemart.functions.text import UNKNOWN, filled, literal, matches, recode
 
 # Source codes and the labels they stand for.
 MARITAL_LABELS = {"M": "Married", "S": "Single"}
@@ -31,50 +28,50 @@ BIRTH_KEY = r"\ANASAW[0-9]{8}\z"
 LOCATION_KEY = r"\AAW-[0-9]{8}\z"
 
 
-def customer_key(text: Column) -> Column:
+def customer_key(text: str) -> str:
     """``AW`` and eight digits, upper-cased, else NULL."""
-    key = F.upper(text)
-    return F.when(key.rlike(CUSTOMER_KEY), key)
+    key = f"upper({text})"
+    return f"CASE WHEN {matches(key, CUSTOMER_KEY)} THEN {key} END"
 
 
-def customer_key_of_birth(text: Column) -> Column:
+def customer_key_of_birth(text: str) -> str:
     """Customer key carried by a ``NASAW…`` key, else NULL."""
-    key = F.upper(text)
-    return F.when(key.rlike(BIRTH_KEY), F.substring(key, 4, 10))
+    key = f"upper({text})"
+    return f"CASE WHEN {matches(key, BIRTH_KEY)} THEN substr({key}, 4) END"
 
 
-def customer_key_of_location(text: Column) -> Column:
+def customer_key_of_location(text: str) -> str:
     """Customer key carried by an ``AW-…`` key, else NULL."""
-    key = F.upper(text)
-    return F.when(key.rlike(LOCATION_KEY), F.replace(key, F.lit("-"), F.lit("")))
+    key = f"upper({text})"
+    return f"CASE WHEN {matches(key, LOCATION_KEY)} THEN replace({key}, '-', '') END"
 
 
-def full_name(first: Column, last: Column) -> Column:
+def full_name(first: str, last: str) -> str:
     """Both names, either one alone, or NULL when both are empty."""
-    return filled(F.concat_ws(" ", filled(first), filled(last)))
+    return filled(f"concat_ws(' ', {filled(first)}, {filled(last)})")
 
 
-def marital_status(code: Column) -> Column:
-    return recode(F.upper(code), MARITAL_LABELS)
+def marital_status(code: str) -> str:
+    return recode(f"upper({code})", MARITAL_LABELS)
 
 
-def gender_of_letter(code: Column) -> Column:
-    return recode(F.upper(code), GENDER_LETTERS)
+def gender_of_letter(code: str) -> str:
+    return recode(f"upper({code})", GENDER_LETTERS)
 
 
-def gender_of_word(word: Column) -> Column:
-    return recode(F.lower(word), GENDER_WORDS)
+def gender_of_word(word: str) -> str:
+    return recode(f"lower({word})", GENDER_WORDS)
 
 
-def country_name(text: Column, names: Mapping[str, str] = COUNTRY_NAMES) -> Column:
+def country_name(text: str, names: Mapping[str, str] = COUNTRY_NAMES) -> str:
     """Standard country name; case matters and unlisted countries become NULL."""
     return recode(text, names)
 
 
-def preferred_gender(first_choice: Column, second_choice: Column) -> Column:
-    return F.coalesce(first_choice, second_choice)
+def preferred_gender(first_choice: str, second_choice: str) -> str:
+    return f"coalesce({first_choice}, {second_choice})"
 
 
-def country_of_location(location_key: Column, country: Column) -> Column:
+def country_of_location(location_key: str, country: str) -> str:
     """NULL without a location row, ``'Unknown'`` for a row without a listed country."""
-    return F.when(location_key.isNotNull(), F.coalesce(country, F.lit(UNKNOWN)))
+    return f"CASE WHEN {location_key} IS NOT NULL THEN coalesce({country}, {literal(UNKNOWN)}) END"

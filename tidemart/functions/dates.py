@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidemart.functions.text import NOT_AVAILABLE
+from tidemart.functions.text import NOT_AVAILABLE, literal, matches
 
 # Fixed patterns. Year 0000 is no calendar year. The cast that follows each pattern
 # returns NULL for days that do not exist.
@@ -19,47 +16,45 @@ MONTHS = (
 )
 
 
-def dashed_date(text: Column) -> Column:
+def dashed_date(text: str) -> str:
     """DATE of ``YYYY-MM-DD``, else NULL."""
-    return F.when(text.rlike(DASHED), text.try_cast("date"))
+    return f"CASE WHEN {matches(text, DASHED)} THEN try_cast({text} AS DATE) END"
 
 
-def compact_date(text: Column) -> Column:
+def compact_date(text: str) -> str:
     """DATE of ``YYYYMMDD``, else NULL."""
-    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    return F.when(text.rlike(COMPACT), dashed.try_cast("date"))
+    dashed = f"concat_ws('-', left({text}, 4), substr({text}, 5, 2), substr({text}, 7, 2))"
+    return f"CASE WHEN {matches(text, COMPACT)} THEN try_cast({dashed} AS DATE) END"
 
 
-def compact_date_issue(text: Column) -> Column:
-    """Why :func:`compact_date` gave NULL: ``missing``, ``bad_length`` or ``bad_date``."""
+def compact_date_issue(text: str, day: str) -> str:
+    """Why :func:`compact_date` of the text gave no ``day``: ``missing``, ``bad_length``
+    or ``bad_date``."""
     return (
-        F.when(text == "", "missing")
-        .when(F.length(text) != 8, "bad_length")
-        .when(compact_date(text).isNull(), "bad_date")
+        f"CASE WHEN {text} = '' THEN 'missing' WHEN length({text}) <> 8 THEN 'bad_length' "
+        f"WHEN {day} IS NULL THEN 'bad_date' END"
     )
 
 
-def completed_years(birth: Column, as_of: Column) -> Column:
+def completed_years(birth: str, as_of: str) -> str:
     """Whole years lived on ``as_of``; a 29 February birthday counts from 1 March."""
-
-    def day_of_year_code(day: Column) -> Column:
-        return F.month(day) * 100 + F.dayofmonth(day)
-
-    short = day_of_year_code(as_of) < day_of_year_code(birth)
-    return F.year(as_of) - F.year(birth) - short.cast("int")
+    early = (
+        f"month({as_of}) * 100 + day({as_of}) < month({birth}) * 100 + day({birth})"
+    )
+    return f"year({as_of}) - year({birth}) - CAST({early} AS INT)"
 
 
-def month_label(month: Column) -> Column:
+def month_label(month: str) -> str:
     """English name of a month number 1 to 12."""
-    return F.element_at(F.array(*[F.lit(name) for name in MONTHS]), month)
+    return f"elt({month}, {', '.join(literal(name) for name in MONTHS)})"
 
 
-def date_text(day: Column, issue: Column | None = None) -> Column:
+def date_text(day: str, issue: str | None = None) -> str:
     """Text form of a cleaned date: NULL dates read ``'N/A'``.
 
     With the ``issue`` column of an order date, a wrong-length source value stays NULL.
     """
-    text = F.coalesce(day.cast("string"), F.lit(NOT_AVAILABLE))
+    text = f"coalesce(CAST({day} AS STRING), {literal(NOT_AVAILABLE)})"
     if issue is None:
         return text
-    return F.when(F.coalesce(issue, F.lit("")) != "bad_length", text)
+    return f"CASE WHEN {issue} <=> 'bad_length' THEN NULL ELSE {text} END"

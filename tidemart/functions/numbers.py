@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tidemart.functions.text import matches
 
-# Fixed pattern: plain decimal notation. Keeps out NaN, infinities and Java suffixes
-# such as "1d", all of which a bare cast to double would take.
+# Fixed patterns: plain decimal notation keeps out NaN, infinities and Java suffixes such
+# as "1d", all of which a bare cast to double would take.
 DECIMAL = r"\A[+-]?(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+DIGITS = r"\A[0-9]+\z"
 
 
-def number(text: Column) -> Column:
+def number(text: str) -> str:
     """Double, or NULL when the text is not a finite number."""
-    value = text.try_cast("double")
-    return F.when(text.rlike(DECIMAL) & (F.abs(value) < F.lit(float("inf"))), value)
+    value = f"nullif(try_cast({text} AS DOUBLE), double('Infinity'))"
+    return f"CASE WHEN {matches(text, DECIMAL)} THEN nullif({value}, double('-Infinity')) END"
 
 
-def digits_only(text: Column) -> Column:
+def digits_only(text: str) -> str:
     """BIGINT of a text made only of ASCII digits, else NULL."""
-    return F.when(text.rlike(r"\A[0-9]+\z"), text.try_cast("bigint"))
+    return f"CASE WHEN {matches(text, DIGITS)} THEN try_cast({text} AS BIGINT) END"
 
 
-def cents(value: Column) -> Column:
-    return F.round(value, 2)
+def cents(value: str) -> str:
+    return f"round({value}, 2)"

@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemart.functions.numbers import cents
-from tidemart.functions.text import NOT_AVAILABLE
+from tidemart.functions.text import NOT_AVAILABLE, literal, matches
 
-# Fixed pattern: order numbers are case-sensitive.
+# Order numbers are case-sensitive, customer ids have a fixed length.
 ORDER_NUMBER = r"\ASO[0-9A-Za-z]{5}\z"
 CUSTOMER_ID_LENGTH = 5
 
+_NONE = literal(NOT_AVAILABLE)
 
-def order_number(text: Column) -> Column:
-    return F.when(text.rlike(ORDER_NUMBER), text).otherwise(NOT_AVAILABLE)
 
+def order_number(text: str) -> str:
+    return f"CASE WHEN {matches(text, ORDER_NUMBER)} THEN {text} ELSE {_NONE} END"
 
-def sold_product_key(text: Column) -> Column:
+
+def sold_product_key(text: str) -> str:
     """Any text whose third character is a dash, else ``'N/A'``."""
-    return F.when(F.substring(text, 3, 1) == "-", text).otherwise(NOT_AVAILABLE)
+    return f"CASE WHEN substr({text}, 3, 1) = '-' THEN {text} ELSE {_NONE} END"
 
 
-def buyer_id(text: Column) -> Column:
+def buyer_id(text: str) -> str:
     """BIGINT of a five-character customer id, else NULL."""
-    return F.when(F.length(text) == CUSTOMER_ID_LENGTH, text.try_cast("bigint"))
+    return f"CASE WHEN length({text}) = {CUSTOMER_ID_LENGTH} THEN try_cast({text} AS BIGINT) END"
 
 
 def reconcile_amounts(df: DataFrame, amount: str, quantity: str, price: str) -> DataFrame:
@@ -35,16 +36,20 @@ def reconcile_amounts(df: DataFrame, amount: str, quantity: str, price: str) ->
     amount over quantity. An amount that then differs from quantity times price, to the
     cent, gives way. Quantity is never 0, so the division is safe.
     """
-    settled = df.withColumns(
-        {
-            quantity: F.when(F.col(quantity) > 0, F.col(quantity)).otherwise(F.lit(1.0)),
-            amount: F.when(F.col(amount) >= 0, F.col(amount)).otherwise(F.lit(0.0)),
-        }
+    others = [f"`{name}`" for name in df.columns if name not in (amount, quantity, price)]
+    settled = df.selectExpr(
+        *others,
+        f"IF({quantity} > 0, {quantity}, 1D) AS {quantity}",
+        f"IF({amount} >= 0, {amount}, 0D) AS {amount}",
+        price,
     )
-    priced = settled.withColumn(
-        price, F.when(F.col(price) > 0, F.col(price)).otherwise(F.col(amount) / F.col(quantity))
+    priced = settled.selectExpr(
+        *others, quantity, amount, f"IF({price} > 0, {price}, {amount} / {quantity}) AS {price}"
     )
-    product = F.col(quantity) * F.col(price)
-    return priced.withColumn(
-        amount, F.when(cents(F.col(amount)) != cents(product), product).otherwise(F.col(amount))
+    product = f"{quantity} * {price}"
+    return priced.selectExpr(
+        *others,
+        f"IF({cents(amount)} <> {cents(product)}, {product}, {amount}) AS {amount}",
+        quantity,
+        price,
     )

@@ -4,43 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 NOT_AVAILABLE = "N/A"
 UNKNOWN = "Unknown"
 
 # Every character Unicode text handling treats as white space.
 WHITE_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "           "
+    "    　"
 )
 
 
-def trimmed(text: Column) -> Column:
-    """Strip white space of any kind; SQL ``trim`` alone would strip only blanks."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+def literal(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def matches(text: str, pattern: str) -> str:
+    """Does the text match the regular expression?"""
+    return f"({text}) RLIKE r'{pattern}'"
+
+
+def trimmed(text: str) -> str:
+    """Strip white space of any kind; a plain ``trim`` would strip only blanks."""
+    return f"btrim({text}, {literal(WHITE_SPACE)})"
 
 
-def filled(text: Column) -> Column:
+def filled(text: str) -> str:
     """NULL when the text is empty."""
-    return F.nullif(text, F.lit(""))
+    return f"nullif({text}, '')"
 
 
-def recode(code: Column, labels: Mapping[str, str], default: str | None = None) -> Column:
+def recode(code: str, labels: Mapping[str, str], default: str | None = None) -> str:
     """Replace each known code by its label; anything else becomes ``default``."""
-    known = F
-    for value, label in labels.items():
-        known = known.when(code == value, F.lit(label))
-    return known.otherwise(F.lit(default))
+    cases = " ".join(f"WHEN {literal(value)} THEN {literal(label)}" for value, label in labels.items())
+    other = "" if default is None else f" ELSE {literal(default)}"
+    return f"CASE {code} {cases}{other} END"
 
 
-def at_least_fields(line: Column, n: int) -> Column:
+def at_least_fields(line: str, n: int) -> str:
     """Does a raw comma-separated line hold ``n`` fields? One linear scan, no array built."""
-    return line.rlike(r"\A(?:[^,]*,){%d}" % (n - 1))
+    return matches(line, r"\A(?:[^,]*,){%d}" % (n - 1))
 
 
-def or_not_available(value: Column, matched: Column) -> Column:
+def or_not_available(value: str, matched: str) -> str:
     """``'N/A'`` for a row without a join partner; a partner's own NULL stays NULL."""
-    return F.when(matched, value.cast("string")).otherwise(F.lit(NOT_AVAILABLE))
+    return f"CASE WHEN {matched} THEN CAST({value} AS STRING) ELSE {literal(NOT_AVAILABLE)} END"

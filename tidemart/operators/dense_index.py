@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.sources.staging import Staging
@@ -28,30 +28,28 @@ def dense_index(df: DataFrame, order: list[str], name: str, staging: Staging) ->
     3. Count rows per range, add up the counts over the few ranges and join them back.
     """
     columns = [*order, *[column for column in df.columns if column not in order]]
-    tied = staging.settle(df.withColumn(_TIE, F.monotonically_increasing_id()), f"{name}-rows")
+    tied = staging.settle(
+        df.selectExpr("*", f"monotonically_increasing_id() AS {_TIE}"), f"{name}-rows"
+    )
 
-    total_order = [F.asc_nulls_first(column) for column in [*columns, _TIE]]
+    total_order = [F.expr(column).asc_nulls_first() for column in [*columns, _TIE]]
     placed = staging.settle(
         tied.repartitionByRange(*total_order)
         .sortWithinPartitions(*total_order)
-        .select(*df.columns, F.monotonically_increasing_id().alias(_PLACE)),
+        .selectExpr(*df.columns, f"monotonically_increasing_id() AS {_PLACE}"),
         f"{name}-ranges",
     )
 
-    ranges = F.shiftright(_PLACE, _ROW_BITS).alias("_range")
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(ranges)
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            F.col("_range").alias("_start_range"),
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+        placed.groupBy(F.expr(f"shiftright({_PLACE}, {_ROW_BITS})").alias("start_range"))
+        .agg(F.count("*").alias("range_rows"))
+        .selectExpr(
+            "start_range",
+            "coalesce(sum(range_rows) OVER (ORDER BY start_range"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS range_start",
         )
     )
     # One row per range, at most spark.sql.shuffle.partitions of them: safe to broadcast.
     return placed.join(
-        F.broadcast(starts), F.shiftright(_PLACE, _ROW_BITS) == F.col("_start_range")
-    ).select(
-        *df.columns,
-        (F.col("_start") + F.col(_PLACE).bitwiseAND(F.lit(_ROW_MASK)) + 1).alias(name),
-    )
+        F.broadcast(starts), F.expr(f"shiftright({_PLACE}, {_ROW_BITS}) = start_range")
+    ).selectExpr(*df.columns, f"range_start + ({_PLACE} & {_ROW_MASK}L) + 1 AS {name}")

@@ -4,50 +4,50 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NullKeys = Literal["match", "unmatched"]
 
 
-def key_equality(left: Column, right: Column, null_keys: NullKeys) -> Column:
+def key_equality(left: str, right: str, null_keys: NullKeys) -> str:
     """Equality that lets NULL keys meet each other, or lets them meet nothing."""
-    if null_keys == "match":
-        return left.eqNullSafe(right)
-    if null_keys == "unmatched":
-        return left == right
-    raise ValueError(f"null_keys must be 'match' or 'unmatched', not {null_keys!r}")
+    if null_keys not in ("match", "unmatched"):
+        raise ValueError(f"null_keys must be 'match' or 'unmatched', not {null_keys!r}")
+    return f"{left} {'<=>' if null_keys == 'match' else '='} {right}"
+
+
+def left_join(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    return left.join(right, F.expr(condition), "left")
 
 
 def fan_out(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, null_keys: NullKeys
 ) -> DataFrame:
-    """Left rows with ``_weight``: how many rows a left join on the keys makes of each.
+    """Left rows with ``row_weight``: how many rows a left join on the keys makes of each.
 
     The right side shrinks to one row per key first, so no pair of rows is ever built.
-    Incoming ``_weight`` values multiply, which chains joins.
+    A ``row_weight`` that the left rows already carry is multiplied, which chains joins.
     """
-    copies = right.groupBy(F.col(right_key).alias("_right_key")).agg(
-        F.count("*").alias("_copies")
+    carried = "row_weight" if "row_weight" in left.columns else "1L"
+    kept = [column for column in left.columns if column != "row_weight"]
+    copies = right.groupBy(F.expr(right_key).alias("copied_key")).agg(
+        F.count("*").alias("copies")
     )
-    joined = left.join(
-        copies, key_equality(F.col(left_key), F.col("_right_key"), null_keys), "left"
-    )
-    weight = F.col("_weight") if "_weight" in left.columns else F.lit(1).cast("bigint")
-    return joined.select(
-        *[column for column in left.columns if column != "_weight"],
-        weight.alias("_left_rows"),
-        F.col("_copies").isNotNull().alias("_matched"),
-        (weight * F.coalesce("_copies", F.lit(1))).alias("_weight"),
+    return left_join(left, copies, key_equality(left_key, "copied_key", null_keys)).selectExpr(
+        *kept,
+        f"{carried} AS left_rows",
+        "copies IS NOT NULL AS matched",
+        f"{carried} * coalesce(copies, 1) AS row_weight",
     )
 
 
 def cardinality(weighted: DataFrame, join: str) -> DataFrame:
     """Rows entering a join, with and without a partner, and leaving it."""
-    rows = F.col("_left_rows")
-    return weighted.agg(
-        F.coalesce(F.sum(rows), F.lit(0)).alias("left_rows"),
-        F.coalesce(F.sum(F.when(F.col("_matched"), rows)), F.lit(0)).alias("matched_rows"),
-        F.coalesce(F.sum(F.when(~F.col("_matched"), rows)), F.lit(0)).alias("unmatched_rows"),
-        F.coalesce(F.sum("_weight"), F.lit(0)).alias("output_rows"),
-    ).select(F.lit(join).alias("join_name"), "*")
+    return weighted.selectExpr(
+        f"'{join}' AS join_name",
+        "coalesce(sum(left_rows), 0) AS left_rows",
+        "coalesce(sum(left_rows) FILTER (WHERE matched), 0) AS matched_rows",
+        "coalesce(sum(left_rows) FILTER (WHERE NOT matched), 0) AS unmatched_rows",
+        "coalesce(sum(row_weight), 0) AS output_rows",
+    )

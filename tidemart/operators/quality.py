@@ -11,14 +11,15 @@ from tidemart.sources.schemas import LAYERS
 
 
 def _counts(rules: Mapping[str, str]) -> list:
-    return [F.count_if(F.expr(rule)).alias(name) for name, rule in rules.items()]
+    return [F.expr(f"count_if({rule}) AS {name}") for name, rule in rules.items()]
 
 
 def count_invalid(assessed: DataFrame, entity: str, rules: Mapping[str, str]) -> DataFrame:
     """``entity, rule, invalid_rows`` for SQL conditions that mark a row as invalid."""
     counts = assessed.agg(*_counts(rules))
-    return counts.unpivot([], list(rules), "rule", "invalid_rows").select(
-        F.lit(entity).alias("entity"), "rule", "invalid_rows"
+    pairs = ", ".join(f"'{name}', {name}" for name in rules)
+    return counts.selectExpr(
+        f"'{entity}' AS entity", f"stack({len(rules)}, {pairs}) AS (rule, invalid_rows)"
     )
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemart.functions.customers import country_of_location, preferred_gender
 from tidemart.functions.text import or_not_available
 from tidemart.operators.dense_index import dense_index
-from tidemart.operators.joins import NullKeys, key_equality
+from tidemart.operators.joins import NullKeys, key_equality, left_join
 from tidemart.sources.staging import Staging
 
 
@@ -17,41 +19,35 @@ def customer_rows(customers: DataFrame, births: DataFrame, locations: DataFrame)
 
     Both joins use the customer key, so one partitioning serves the two of them.
     """
-    born = births.withColumnsRenamed({"customer_key": "birth_key", "gender": "birth_gender"})
-    return (
-        customers.join(born, F.col("customer_key_cleaned") == F.col("birth_key"), "left")
-        .join(locations, F.col("customer_key_cleaned") == F.col("customer_location_key"), "left")
-        .select(
-            F.col("customer_key_cleaned").alias("customer_key"),
-            F.col("customer_id_cleaned").alias("customer_id"),
-            F.col("customer_name_cleaned").alias("customer_name"),
-            F.col("customer_martial_cleaned").alias("marital_status"),
-            preferred_gender(F.col("customer_gender_cleaned"), F.col("birth_gender")).alias(
-                "gender"
-            ),
-            F.col("customer_date").alias("customer_since"),
-            "birth_date",
-            "age",
-            country_of_location(
-                F.col("customer_location_key"), F.col("customer_location_state")
-            ).alias("country"),
-        )
+    born = births.selectExpr(
+        "customer_key AS birth_key", "birth_date", "gender AS birth_gender", "age"
+    )
+    with_birth = left_join(customers, born, "customer_key_cleaned = birth_key")
+    located = left_join(with_birth, locations, "customer_key_cleaned = customer_location_key")
+    return located.selectExpr(
+        "customer_key_cleaned AS customer_key",
+        "customer_id_cleaned AS customer_id",
+        "customer_name_cleaned AS customer_name",
+        "customer_martial_cleaned AS marital_status",
+        f"{preferred_gender('customer_gender_cleaned', 'birth_gender')} AS gender",
+        "customer_date AS customer_since",
+        "birth_date",
+        "age",
+        f"{country_of_location('customer_location_key', 'customer_location_state')} AS country",
     )
 
 
 def product_rows(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Every version of every product with its category attached."""
-    matched = F.col("customer_product_key1").isNotNull()
-    return products.join(
-        categories, F.col("cat_id") == F.col("customer_product_key1"), "left"
-    ).select(
+    matched = "customer_product_key1 IS NOT NULL"
+    return left_join(products, categories, "cat_id = customer_product_key1").selectExpr(
         "product_id",
         "prod_key",
         "product_nm",
-        F.col("cat_id").alias("product_key"),
-        or_not_available(F.col("customer_category1"), matched).alias("category"),
-        or_not_available(F.col("customer_sub_category1"), matched).alias("sub_category"),
-        or_not_available(F.col("customer_category_maintance1"), matched).alias("maintance"),
+        "cat_id AS product_key",
+        f"{or_not_available('customer_category1', matched)} AS category",
+        f"{or_not_available('customer_sub_category1', matched)} AS sub_category",
+        f"{or_not_available('customer_category_maintance1', matched)} AS maintance",
         "product_cost",
         "product_line",
         "product_start_date",
@@ -61,21 +57,14 @@ def product_rows(products: DataFrame, categories: DataFrame) -> DataFrame:
 def dim_customer(
     customers: DataFrame, births: DataFrame, locations: DataFrame, staging: Staging
 ) -> DataFrame:
-    return dense_index(
-        customer_rows(customers, births, locations),
-        ["customer_key"],
-        "unique_number_customer",
-        staging,
-    )
+    rows = customer_rows(customers, births, locations)
+    return dense_index(rows, ["customer_key"], "unique_number_customer", staging)
 
 
 def dim_product(products: DataFrame, categories: DataFrame, staging: Staging) -> DataFrame:
-    return dense_index(
-        product_rows(products, categories),
-        ["prod_key", "product_start_date", "product_id"],
-        "unique_number",
-        staging,
-    )
+    rows = product_rows(products, categories)
+    order = ["prod_key", "product_start_date", "product_id"]
+    return dense_index(rows, order, "unique_number", staging)
 
 
 def fact_sales(
@@ -87,32 +76,29 @@ def fact_sales(
     customer id meets every customer without id; ``"unmatched"`` leaves it alone. A NULL
     surrogate means no partner. The due date is published as ``order_shipping_date``.
     """
-    product = products.select("prod_key", F.col("unique_number").alias("product_unique_num"))
-    customer = customers.select(
-        "customer_id", F.col("unique_number_customer").alias("customer_unique_num")
+    product = products.selectExpr("prod_key", "unique_number AS product_unique_num")
+    customer = customers.selectExpr(
+        "customer_id", "unique_number_customer AS customer_unique_num"
     )
-    buyer = key_equality(F.col("sls_cust_id"), F.col("customer_id"), null_keys)
-    return (
-        sales.where(F.col("sls_ord_num").isNotNull())
-        .join(product, F.col("sls_prd_key") == F.col("prod_key"), "left")
-        .join(customer, buyer, "left")
-        .select(
-            F.col("sls_ord_num").alias("order_number"),
-            "customer_unique_num",
-            "product_unique_num",
-            F.col("sls_order_date").alias("order_date"),
-            F.col("sls_due_date").alias("order_shipping_date"),
-            F.col("sales_sls_price").alias("sales_amount"),
-            "sales_quantity",
-            F.col("sales_price").alias("price"),
-        )
+    ordered = sales.where("sls_ord_num IS NOT NULL")
+    with_product = left_join(ordered, product, "sls_prd_key = prod_key")
+    same_buyer = key_equality("sls_cust_id", "customer_id", null_keys)
+    return left_join(with_product, customer, same_buyer).selectExpr(
+        "sls_ord_num AS order_number",
+        "customer_unique_num",
+        "product_unique_num",
+        "sls_order_date AS order_date",
+        "sls_due_date AS order_shipping_date",
+        "sales_sls_price AS sales_amount",
+        "sales_quantity",
+        "sales_price AS price",
     )
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table."""
-    counts = None
-    for name, table in tables.items():
-        row = table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"))
-        counts = row if counts is None else counts.unionByName(row)
-    return counts
+    counts = [
+        table.selectExpr(f"'{name}' AS table_name", "count(*) AS rows")
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)

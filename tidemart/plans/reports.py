@@ -4,56 +4,47 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import month_label
 from tidemart.functions.numbers import cents
-from tidemart.functions.text import NOT_AVAILABLE, or_not_available
+from tidemart.functions.text import NOT_AVAILABLE, literal, or_not_available
+from tidemart.operators.joins import left_join
 
 # The reports add up unit prices unless told to use line amounts.
 Measure = Literal["price", "sales_amount"]
 
 
-def _value(measure: Measure) -> Column:
+def _total(measure: Measure) -> str:
     if measure not in ("price", "sales_amount"):
         raise ValueError(f"measure must be 'price' or 'sales_amount', not {measure!r}")
-    return F.coalesce(F.col(measure), F.lit(0.0))
+    return f"sum(coalesce({measure}, 0D))"
 
 
-def _number_text(number: Column) -> Column:
-    return F.coalesce(number.cast("string"), F.lit(NOT_AVAILABLE))
+def _number_text(number: str) -> str:
+    return f"coalesce(CAST({number} AS STRING), {literal(NOT_AVAILABLE)})"
+
+
+def _of_customer(name: str) -> str:
+    return or_not_available(name, "unique_number_customer IS NOT NULL")
 
 
 def _with_customer(facts: DataFrame, customers: DataFrame, *columns: str) -> DataFrame:
     """Attach customer columns by surrogate number. Facts without one meet nobody."""
     dimension = customers.select("unique_number_customer", *columns)
-    return facts.join(
-        dimension, F.col("customer_unique_num") == F.col("unique_number_customer"), "left"
-    )
-
-
-def _customer_column(name: str) -> Column:
-    return or_not_available(F.col(name), F.col("unique_number_customer").isNotNull())
+    return left_join(facts, dimension, "customer_unique_num = unique_number_customer")
 
 
 def sales_with_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per fact row with the profile of its customer; ``'N/A'`` without customer."""
-    joined = _with_customer(
-        fact.select("customer_unique_num", "price"),
-        customers,
-        "customer_name",
-        "gender",
-        "age",
-        "country",
-    )
-    return joined.select(
-        _number_text(F.col("customer_unique_num")).alias("customer_unique_NUM"),
-        _customer_column("customer_name").alias("customer_name"),
-        _customer_column("gender").alias("customer_gender"),
-        _customer_column("age").alias("customer_age"),
-        _customer_column("country").alias("customer_country"),
-        F.col("price").alias("sales_price"),
+    return _with_customer(fact, customers, "customer_name", "gender", "age", "country").selectExpr(
+        f"{_number_text('customer_unique_num')} AS customer_unique_NUM",
+        f"{_of_customer('customer_name')} AS customer_name",
+        f"{_of_customer('gender')} AS customer_gender",
+        f"{_of_customer('age')} AS customer_age",
+        f"{_of_customer('country')} AS customer_country",
+        "price AS sales_price",
     )
 
 
@@ -61,7 +52,7 @@ def _per_customer(fact: DataFrame, measure: Measure) -> DataFrame:
     """Sales and row count per surrogate number: combined map-side, and small enough that
     the customer join that follows moves one row per customer instead of every fact."""
     return fact.groupBy("customer_unique_num").agg(
-        F.sum(_value(measure)).alias("_sales"), F.count("*").alias("_orders")
+        F.expr(f"{_total(measure)} AS sales"), F.expr("count(*) AS orders")
     )
 
 
@@ -71,8 +62,8 @@ def revenue_by_country(
     """Sales per country. NULL (no location), ``'Unknown'`` (location without a listed
     country) and ``'N/A'`` (no customer) stay three groups."""
     joined = _with_customer(_per_customer(fact, measure), customers, "country")
-    return joined.groupBy(_customer_column("country").alias("customer_country")).agg(
-        F.sum("_sales").alias("revenue")
+    return joined.groupBy(F.expr(_of_customer("country")).alias("customer_country")).agg(
+        F.expr("sum(sales) AS revenue")
     )
 
 
@@ -82,13 +73,13 @@ def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
     Rows without an order date are left out; see :func:`undated_rows`.
     """
     monthly = (
-        fact.where(F.col("order_date").isNotNull())
-        .groupBy(F.month("order_date").alias("month_num"))
-        .agg(F.sum(_value(measure)).alias("_sales"), F.count("*").alias("total_orders"))
+        fact.where("order_date IS NOT NULL")
+        .groupBy(F.expr("month(order_date)").alias("month_num"))
+        .agg(F.expr(f"{_total(measure)} AS sales"), F.expr("count(*) AS total_orders"))
     )
-    return monthly.select(
-        month_label(F.col("month_num")).alias("month"),
-        cents(F.col("_sales")).alias("total_sales"),
+    return monthly.selectExpr(
+        f"{month_label('month_num')} AS month",
+        f"{cents('sales')} AS total_sales",
         "total_orders",
         "month_num",
     ).orderBy("month_num")
@@ -96,7 +87,7 @@ def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
 
 def undated_rows(fact: DataFrame) -> DataFrame:
     """How many fact rows the monthly trend leaves out."""
-    return fact.agg(F.count_if(F.col("order_date").isNull()).alias("undated_rows"))
+    return fact.selectExpr("count_if(order_date IS NULL) AS undated_rows")
 
 
 def customer_ranking(
@@ -110,19 +101,16 @@ def customer_ranking(
     ``customer_id`` is the surrogate number; sales without customer share one row. Equal
     totals are ranked by surrogate number.
     """
-    ranked = (
-        _with_customer(_per_customer(fact, measure), customers, "country", "gender")
-        .select(
-            "customer_unique_num",
-            _number_text(F.col("customer_unique_num")).alias("customer_id"),
-            _customer_column("country").alias("country"),
-            _customer_column("gender").alias("gender"),
-            cents(F.col("_sales")).alias("Total_sales"),
-            F.col("_orders").alias("Total_orders"),
-            cents(F.col("_sales") / F.col("_orders")).alias("avg_order_value"),
-        )
-        .orderBy(F.desc("Total_sales"), F.asc_nulls_last("customer_unique_num"))
-    )
+    joined = _with_customer(_per_customer(fact, measure), customers, "country", "gender")
+    ranked = joined.selectExpr(
+        "customer_unique_num",
+        f"{_number_text('customer_unique_num')} AS customer_id",
+        f"{_of_customer('country')} AS country",
+        f"{_of_customer('gender')} AS gender",
+        f"{cents('sales')} AS Total_sales",
+        "orders AS Total_orders",
+        f"{cents('sales / orders')} AS avg_order_value",
+    ).orderBy(F.desc("Total_sales"), F.asc_nulls_last("customer_unique_num"))
     if top is not None:
         ranked = ranked.limit(top)
     return ranked.drop("customer_unique_num")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import catalog, customers, dates, numbers, sales
@@ -30,7 +30,7 @@ class Entity:
     source: str
     arity: int
     positions: Mapping[str, int]
-    clean: Callable[[DataFrame, Column], DataFrame]
+    clean: Callable[[DataFrame, str], DataFrame]
     keep: str
     rules: Mapping[str, str] = field(default_factory=dict)
 
@@ -40,13 +40,11 @@ def split_fields(bronze: DataFrame, entity: Entity) -> DataFrame:
 
     Every comma separates; there is no quoting. Further fields are ignored.
     """
-    raw = F.col("rawdata")
-    parts = bronze.where(raw.isNotNull() & at_least_fields(raw, entity.arity)).select(
-        F.split(raw, ",").alias("_parts")
-    )
-    return parts.select(
+    usable = f"rawdata IS NOT NULL AND {at_least_fields('rawdata', entity.arity)}"
+    parts = bronze.where(usable).selectExpr("split(rawdata, ',') AS parts")
+    return parts.selectExpr(
         *[
-            trimmed(F.get("_parts", F.lit(position))).alias(name)
+            f"{trimmed(f'get(parts, {position})')} AS {name}"
             for name, position in entity.positions.items()
         ]
     )
@@ -54,7 +52,7 @@ def split_fields(bronze: DataFrame, entity: Entity) -> DataFrame:
 
 def assess(bronze: DataFrame, entity: Entity, as_of: dt.date | None = None) -> DataFrame:
     """Raw fields and cleaned columns of every usable line, before any key filter."""
-    day = F.current_date() if as_of is None else F.lit(as_of)
+    day = "current_date()" if as_of is None else f"DATE '{as_of.isoformat()}'"
     return entity.clean(split_fields(bronze, entity), day)
 
 
@@ -82,84 +80,83 @@ def arity_summary(
     bronze: Mapping[str, DataFrame], entities: Mapping[str, Entity]
 ) -> DataFrame:
     """Lines per entity, and how many have enough fields."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            bronze[entity.source].agg(
-                F.lit(entity.table).alias("entity"),
-                F.count("*").alias("raw_rows"),
-                F.count_if(at_least_fields(F.col("rawdata"), entity.arity)).alias("usable_rows"),
-            )
-            for entity in entities.values()
-        ],
-    )
+    counts = [
+        bronze[entity.source].agg(
+            F.lit(entity.table).alias("entity"),
+            F.count("*").alias("raw_rows"),
+            F.expr(f"count_if({at_least_fields('rawdata', entity.arity)})").alias("usable_rows"),
+        )
+        for entity in entities.values()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
-def _customer(fields: DataFrame, as_of: Column) -> DataFrame:
-    return fields.select(
+def _customer(fields: DataFrame, as_of: str) -> DataFrame:
+    return fields.selectExpr(
         "*",
-        numbers.digits_only(F.col("raw_id")).alias("customer_id_cleaned"),
-        customers.customer_key(F.col("raw_key")).alias("customer_key_cleaned"),
-        customers.full_name(F.col("raw_first"), F.col("raw_last")).alias("customer_name_cleaned"),
-        customers.marital_status(F.col("raw_marital")).alias("customer_martial_cleaned"),
-        customers.gender_of_letter(F.col("raw_gender")).alias("customer_gender_cleaned"),
-        dates.dashed_date(F.col("raw_created")).alias("customer_date"),
+        f"{numbers.digits_only('raw_id')} AS customer_id_cleaned",
+        f"{customers.customer_key('raw_key')} AS customer_key_cleaned",
+        f"{customers.full_name('raw_first', 'raw_last')} AS customer_name_cleaned",
+        f"{customers.marital_status('raw_marital')} AS customer_martial_cleaned",
+        f"{customers.gender_of_letter('raw_gender')} AS customer_gender_cleaned",
+        f"{dates.dashed_date('raw_created')} AS customer_date",
     )
 
 
-def _birth(fields: DataFrame, as_of: Column) -> DataFrame:
-    return fields.select(
+def _birth(fields: DataFrame, as_of: str) -> DataFrame:
+    return fields.selectExpr(
         "*",
-        customers.customer_key_of_birth(F.col("raw_key")).alias("customer_key"),
-        dates.dashed_date(F.col("raw_birth")).alias("birth_date"),
-        customers.gender_of_word(F.col("raw_gender")).alias("gender"),
-    ).withColumn("age", dates.completed_years(F.col("birth_date"), as_of))
+        f"{customers.customer_key_of_birth('raw_key')} AS customer_key",
+        f"{dates.dashed_date('raw_birth')} AS birth_date",
+        f"{customers.gender_of_word('raw_gender')} AS gender",
+    ).selectExpr("*", f"{dates.completed_years('birth_date', as_of)} AS age")
 
 
-def _location(fields: DataFrame, as_of: Column) -> DataFrame:
-    return fields.select(
+def _location(fields: DataFrame, as_of: str) -> DataFrame:
+    return fields.selectExpr(
         "*",
-        customers.customer_key_of_location(F.col("raw_key")).alias("customer_location_key"),
-        customers.country_name(F.col("raw_country")).alias("customer_location_state"),
+        f"{customers.customer_key_of_location('raw_key')} AS customer_location_key",
+        f"{customers.country_name('raw_country')} AS customer_location_state",
     )
 
 
-def _category(fields: DataFrame, as_of: Column) -> DataFrame:
-    return fields.select(
+def _category(fields: DataFrame, as_of: str) -> DataFrame:
+    return fields.selectExpr(
         "*",
-        catalog.category_key(F.col("raw_key")).alias("customer_product_key1"),
-        filled(F.col("raw_category")).alias("customer_category1"),
-        filled(F.col("raw_sub_category")).alias("customer_sub_category1"),
-        catalog.maintenance_flag(F.col("raw_flag")).alias("customer_category_maintance1"),
+        f"{catalog.category_key('raw_key')} AS customer_product_key1",
+        f"{filled('raw_category')} AS customer_category1",
+        f"{filled('raw_sub_category')} AS customer_sub_category1",
+        f"{catalog.maintenance_flag('raw_flag')} AS customer_category_maintance1",
     )
 
 
-def _product(fields: DataFrame, as_of: Column) -> DataFrame:
-    return fields.select(
+def _product(fields: DataFrame, as_of: str) -> DataFrame:
+    return fields.selectExpr(
         "*",
-        catalog.product_id(F.col("raw_id")).alias("product_id"),
-        catalog.category_of_composite(F.col("raw_composite")).alias("cat_id"),
-        catalog.product_key_of_composite(F.col("raw_composite")).alias("prod_key"),
-        catalog.product_name(F.col("raw_name")).alias("product_nm"),
-        numbers.number(F.col("raw_cost")).alias("given_cost"),
-        catalog.product_cost(F.col("raw_cost")).alias("product_cost"),
-        catalog.product_line(F.col("raw_line")).alias("product_line"),
-        dates.dashed_date(F.col("raw_start")).alias("product_start_date"),
+        f"{catalog.product_id('raw_id')} AS product_id",
+        f"{catalog.category_of_composite('raw_composite')} AS cat_id",
+        f"{catalog.product_key_of_composite('raw_composite')} AS prod_key",
+        f"{catalog.product_name('raw_name')} AS product_nm",
+        f"{numbers.number('raw_cost')} AS given_cost",
+        f"{catalog.product_cost('raw_cost')} AS product_cost",
+        f"{catalog.product_line('raw_line')} AS product_line",
+        f"{dates.dashed_date('raw_start')} AS product_start_date",
     )
 
 
-def _sale(fields: DataFrame, as_of: Column) -> DataFrame:
-    typed = fields.select(
+def _sale(fields: DataFrame, as_of: str) -> DataFrame:
+    typed = fields.selectExpr(
         "*",
-        sales.order_number(F.col("raw_order")).alias("sls_ord_num"),
-        sales.sold_product_key(F.col("raw_product")).alias("sls_prd_key"),
-        sales.buyer_id(F.col("raw_customer")).alias("sls_cust_id"),
-        dates.compact_date(F.col("raw_ordered")).alias("sls_order_date"),
-        dates.compact_date_issue(F.col("raw_ordered")).alias("order_date_issue"),
-        dates.compact_date(F.col("raw_due")).alias("sls_due_date"),
-        numbers.number(F.col("raw_amount")).alias("sales_sls_price"),
-        numbers.number(F.col("raw_quantity")).alias("sales_quantity"),
-        numbers.number(F.col("raw_price")).alias("sales_price"),
+        f"{sales.order_number('raw_order')} AS sls_ord_num",
+        f"{sales.sold_product_key('raw_product')} AS sls_prd_key",
+        f"{sales.buyer_id('raw_customer')} AS sls_cust_id",
+        f"{dates.compact_date('raw_ordered')} AS sls_order_date",
+        f"{dates.compact_date('raw_due')} AS sls_due_date",
+        f"{numbers.number('raw_amount')} AS sales_sls_price",
+        f"{numbers.number('raw_quantity')} AS sales_quantity",
+        f"{numbers.number('raw_price')} AS sales_price",
+    ).selectExpr(
+        "*", f"{dates.compact_date_issue('raw_ordered', 'sls_order_date')} AS order_date_issue"
     )
     return sales.reconcile_amounts(typed, "sales_sls_price", "sales_quantity", "sales_price")
 

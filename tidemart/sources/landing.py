@@ -6,210 +6,201 @@ part, orders and lineitem tables, so its size grows with theirs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def _first_of(*cases: tuple[Column, Column | str], default: Column | str) -> Column:
-    chosen = F
-    for condition, value in cases:
-        chosen = chosen.when(condition, _text(value))
-    return chosen.otherwise(_text(default))
+from collections.abc import Iterable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def _text(value: Column | str) -> Column:
-    return F.lit(value) if isinstance(value, str) else value.cast("string")
+from tidemart.sources.schemas import RAW_SOURCES
 
 
-def _by_remainder(number: Column, divisor: int, texts: dict[int, str], default) -> Column:
-    remainder = number % divisor
-    return _first_of(*[(remainder == r, text) for r, text in texts.items()], default=default)
+def _pick(number: str, divisor: int, texts: dict[int, str], default: str) -> str:
+    """Text chosen by the remainder of a number."""
+    cases = " ".join(f"WHEN {remainder} THEN {text}" for remainder, text in texts.items())
+    return f"CASE {number} % {divisor} {cases} ELSE {default} END"
 
 
-def _line(*fields: Column) -> Column:
-    return F.concat_ws(",", *fields)
+def _line(*fields: str) -> str:
+    return f"concat_ws(',', {', '.join(fields)})"
 
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def _day(start: str, days: str) -> str:
+    return f"date_add(DATE '{start}', CAST({days} AS INT))"
 
 
-def _whole(number: Column) -> Column:
-    return number.cast("bigint")
+def _compact(day: str) -> str:
+    return f"replace(CAST({day} AS STRING), '-', '')"
 
 
-def _day(start: str, days: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), days.cast("int")).cast("string")
+def _with_customer_numbers(customer: DataFrame) -> DataFrame:
+    return customer.selectExpr(
+        "c_custkey AS k", "c_nationkey AS nation", "lpad(c_custkey + 10000, 8, '0') AS id8"
+    )
 
 
-def _compact(timestamp: Column) -> Column:
-    return F.replace(timestamp.cast("date").cast("string"), F.lit("-"), F.lit(""))
+def _part_key(part: str) -> str:
+    """Every tenth key is shared by two parts."""
+    return f"concat('PK-', lpad(IF({part} % 10 = 1, {part} - 1, {part}), 5, '0'))"
 
 
 def customer_info(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    number = k + 10000
-    eight = _padded(number, 8)
-    key = _first_of(
-        (k % 97 == 5, F.concat(F.lit("BAD"), k)),
-        (k % 4 == 1, F.concat(F.lit("aw"), eight)),
-        default=F.concat(F.lit("AW"), eight),
-    )
-    first = _first_of(
-        (k % 31 == 0, ""), default=F.concat(F.lit(" First"), k % 100, F.lit(" "))
-    )
-    last = _first_of(
-        ((k % 31 == 0) | (k % 29 == 0), ""), default=F.concat(F.lit("Last"), k % 77)
-    )
     line = _line(
-        _first_of((k % 701 == 7, F.concat(F.lit("X"), k)), default=number),
-        key,
-        first,
-        last,
-        _by_remainder(k, 5, {0: "M", 1: "f", 2: "F ", 3: ""}, "x"),
-        _by_remainder(k, 3, {0: "M", 1: "s"}, ""),
-        _by_remainder(
-            k, 41, {0: "2025-02-30", 1: "2025-1-5", 2: ""}, _day("2020-01-01", k % 1500)
+        "IF(k % 701 = 7, concat('X', k), CAST(k + 10000 AS STRING))",
+        "CASE WHEN k % 97 = 5 THEN concat('BAD', k) WHEN k % 4 = 1 THEN concat('aw', id8)"
+        " ELSE concat('AW', id8) END",
+        "IF(k % 31 = 0, '', concat(' First', k % 100, ' '))",
+        "IF(k % 31 = 0 OR k % 29 = 0, '', concat('Last', k % 77))",
+        _pick("k", 5, {0: "'M'", 1: "'f'", 2: "'F '", 3: "''"}, "'x'"),
+        _pick("k", 3, {0: "'M'", 1: "'s'"}, "''"),
+        _pick(
+            "k",
+            41,
+            {0: "'2025-02-30'", 1: "'2025-1-5'", 2: "''"},
+            f"CAST({_day('2020-01-01', 'k % 1500')} AS STRING)",
         ),
     )
-    return customer.select(_first_of((k % 211 == 3, "x,y,z"), default=line).alias("rawdata"))
+    return _with_customer_numbers(customer).selectExpr(
+        f"IF(k % 211 = 3, 'x,y,z', {line}) AS rawdata"
+    )
 
 
 def customer_birth_date(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    eight = _padded(k + 10000, 8)
-    full = F.concat(F.lit("NASAW"), eight)
     line = _line(
-        _first_of((k % 43 == 2, F.concat(F.lit("AW"), eight)), (k % 47 == 1, ""), default=full),
-        _by_remainder(
-            k, 37, {0: "", 1: "1980-13-01", 2: "80-01-01"}, _day("1950-01-01", k * 37 % 20000)
+        "CASE WHEN k % 43 = 2 THEN concat('AW', id8) WHEN k % 47 = 1 THEN ''"
+        " ELSE concat('NASAW', id8) END",
+        _pick(
+            "k",
+            37,
+            {0: "''", 1: "'1980-13-01'", 2: "'80-01-01'"},
+            f"CAST({_day('1950-01-01', 'k * 37 % 20000')} AS STRING)",
         ),
-        _by_remainder(k, 4, {0: "Male", 1: "female", 2: ""}, "n/a"),
+        _pick("k", 4, {0: "'Male'", 1: "'female'", 2: "''"}, "'n/a'"),
     )
-    return customer.where(k % 6 != 5).select(
-        _first_of((k % 199 == 1, full), default=line).alias("rawdata")
+    return (
+        _with_customer_numbers(customer)
+        .where("k % 6 <> 5")
+        .selectExpr(f"IF(k % 199 = 1, concat('NASAW', id8), {line}) AS rawdata")
     )
 
 
 def customer_location(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    eight = _padded(k + 10000, 8)
     countries = {
-        0: "US",
-        1: "USA",
-        2: "United States",
-        3: "United Kingdom",
-        4: "Australia",
-        5: "Canada",
-        6: "France",
-        7: "Germany",
-        8: "DE",
-        9: "",
+        0: "'US'",
+        1: "'USA'",
+        2: "'United States'",
+        3: "'United Kingdom'",
+        4: "'Australia'",
+        5: "'Canada'",
+        6: "'France'",
+        7: "'Germany'",
+        8: "'DE'",
+        9: "''",
     }
     line = _line(
-        _by_remainder(
-            k, 59, {3: F.concat(F.lit("AW"), eight), 4: ""}, F.concat(F.lit("AW-"), eight)
-        ),
-        _by_remainder(F.col("c_nationkey"), 11, countries, "Atlantis"),
+        _pick("k", 59, {3: "concat('AW', id8)", 4: "''"}, "concat('AW-', id8)"),
+        _pick("nation", 11, countries, "'Atlantis'"),
+    )
+    return (
+        _with_customer_numbers(customer).where("k % 8 <> 7").selectExpr(f"{line} AS rawdata")
     )
-    return customer.where(k % 8 != 7).select(line.alias("rawdata"))
-
-
-def _brand_number() -> Column:
-    return F.substring("p_brand", 7, 10).cast("int")
 
 
 def category_products(part: DataFrame) -> DataFrame:
-    n = F.col("n")
-    two = _padded(n, 2)
     line = _line(
-        _first_of((n == 3, "BR-03"), default=F.concat(F.lit("BR_"), two)),
-        _first_of((n == 5, ""), default=F.concat(F.lit("Category "), n % 4)),
-        _first_of((n == 6, ""), default=F.concat(F.lit("Sub "), n)),
-        _by_remainder(n, 3, {0: "Yes", 1: "No"}, "maybe"),
+        "IF(n = 3, 'BR-03', concat('BR_', lpad(n, 2, '0')))",
+        "IF(n = 5, '', concat('Category ', n % 4))",
+        "IF(n = 6, '', concat('Sub ', n))",
+        _pick("n", 3, {0: "'Yes'", 1: "'No'"}, "'maybe'"),
     )
-    brands = part.select(_brand_number().alias("n")).where(n < 24).distinct()
-    return brands.select(line.alias("rawdata"))
-
-
-def _sold_key(part: Column) -> Column:
-    base = F.when(part % 10 == 1, part - 1).otherwise(part)
-    return F.concat(F.lit("PK-"), _padded(base, 5))
+    brands = part.selectExpr("CAST(substr(p_brand, 7) AS INT) AS n").where("n < 24").distinct()
+    return brands.selectExpr(f"{line} AS rawdata")
 
 
 def product_info(part: DataFrame) -> DataFrame:
-    p = F.col("p_partkey")
-    composite = F.concat(
-        F.lit("BR-"), _padded(_brand_number(), 2), F.lit("-"), _sold_key(p)
-    )
-    fields = (
-        _first_of((p % 101 == 0, "1234"), default=p % 900 + 100),
-        _first_of((p % 103 == 0, ""), default=composite),
-        _first_of((p % 61 == 0, ""), default=F.col("p_name")),
-        _by_remainder(p, 67, {0: "", 1: "-3", 2: "abc"}, F.floor("p_retailprice")),
-        _by_remainder(p, 7, {0: "M ", 1: "r", 2: "S", 3: "T", 4: "", 5: "Z"}, "R "),
-        _by_remainder(p, 71, {0: "", 1: "2012-02-30"}, _day("2011-01-01", p % 900)),
+    parts = part.selectExpr(
+        "p_partkey AS p",
+        "p_name AS name",
+        "CAST(floor(p_retailprice) AS BIGINT) AS cost",
+        f"concat('BR-', lpad(substr(p_brand, 7), 2, '0'), '-', {_part_key('p_partkey')})"
+        " AS composite",
     )
-    line = _first_of(
-        (p % 89 == 0, "a,b,c,d,e"),
-        (p % 83 == 0, _line(*fields)),
-        default=_line(*fields, F.lit("")),
+    fields = _line(
+        "IF(p % 101 = 0, '1234', CAST(100 + p % 900 AS STRING))",
+        "IF(p % 103 = 0, '', composite)",
+        "IF(p % 61 = 0, '', name)",
+        _pick("p", 67, {0: "''", 1: "'-3'", 2: "'abc'"}, "CAST(cost AS STRING)"),
+        _pick("p", 7, {0: "'M '", 1: "'r'", 2: "'S'", 3: "'T'", 4: "''", 5: "'Z'"}, "'R '"),
+        _pick(
+            "p",
+            71,
+            {0: "''", 1: "'2012-02-30'"},
+            f"CAST({_day('2011-01-01', 'p % 900')} AS STRING)",
+        ),
     )
-    return part.select(line.alias("rawdata"))
+    end = "IF(p % 83 = 0, '', ',')"
+    return parts.selectExpr(f"IF(p % 89 = 0, 'a,b,c,d,e', concat({fields}, {end})) AS rawdata")
 
 
 def sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lp, lo = F.col("l_partkey"), F.col("l_orderkey")
-    q = _whole(F.col("l_quantity"))
-    pr = _whole(F.floor(F.col("l_extendedprice") / F.col("l_quantity")))
-    hexed = F.format_string("%05X", lo)
-    amount = _first_of(
-        ((lp % 131).isin(1, 2, 3), pr * q),
-        (lp % 137 == 1, ""),
-        (lp % 137 == 2, "-5"),
-        (lp % 137 == 3, pr * q + 1),
-        default=pr * q,
+    lines = lineitem.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "l_orderkey AS lo",
+        "l_partkey AS lp",
+        "o_custkey AS buyer",
+        "CAST(o_orderdate AS DATE) AS ordered",
+        "CAST(l_shipdate AS DATE) AS shipped",
+        "CAST(l_quantity AS BIGINT) AS q",
+        "CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS pr",
+        "format_string('%05X', l_orderkey) AS hex5",
+        f"{_part_key('l_partkey')} AS part_key",
     )
     line = _line(
-        _by_remainder(
-            lo,
+        _pick(
+            "lo",
             331,
-            {1: F.concat(F.lit("SX"), hexed), 2: F.concat(F.lit("so"), hexed), 3: "SO-12-4"},
-            F.concat(F.lit("SO"), hexed),
-        ),
-        _first_of((lp % 173 == 9, "PK9"), default=_sold_key(lp)),
-        _by_remainder(lo, 499, {3: "123", 4: "ABCDE"}, F.col("o_custkey") + 10000),
-        _by_remainder(
-            lo, 211, {1: "", 2: "2010", 3: "20130231"}, _compact(F.col("o_orderdate"))
+            {1: "concat('SX', hex5)", 2: "concat('so', hex5)", 3: "'SO-12-4'"},
+            "concat('SO', hex5)",
         ),
-        _compact(F.col("l_shipdate")),
-        _by_remainder(
-            lo,
-            223,
-            {1: "", 2: "0", 3: "20131399"},
-            _compact(F.date_add(F.col("l_shipdate").cast("date"), 7)),
+        "IF(lp % 173 = 9, 'PK9', part_key)",
+        _pick("lo", 499, {3: "'123'", 4: "'ABCDE'"}, "CAST(buyer + 10000 AS STRING)"),
+        _pick("lo", 211, {1: "''", 2: "'2010'", 3: "'20130231'"}, _compact("ordered")),
+        _compact("shipped"),
+        _pick(
+            "lo", 223, {1: "''", 2: "'0'", 3: "'20131399'"}, _compact("date_add(shipped, 7)")
         ),
-        amount,
-        _by_remainder(lp, 127, {1: "", 2: "0", 3: "-2", 4: "abc"}, q),
-        _by_remainder(lp, 131, {1: "", 2: F.concat(F.lit("-"), pr), 3: "0"}, pr),
-    )
-    return lineitem.join(orders, lo == F.col("o_orderkey")).select(line.alias("rawdata"))
-
-
-def landing_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw lines of all six sources, each with one ``rawdata`` column."""
-    customer, part, orders, lineitem = (
-        spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        for name in ("customer", "part", "orders", "lineitem")
+        "CASE WHEN lp % 131 IN (1, 2, 3) THEN CAST(pr * q AS STRING) WHEN lp % 137 = 1 THEN ''"
+        " WHEN lp % 137 = 2 THEN '-5' WHEN lp % 137 = 3 THEN CAST(pr * q + 1 AS STRING)"
+        " ELSE CAST(pr * q AS STRING) END",
+        _pick("lp", 127, {1: "''", 2: "'0'", 3: "'-2'", 4: "'abc'"}, "CAST(q AS STRING)"),
+        _pick("lp", 131, {1: "''", 2: "concat('-', pr)", 3: "'0'"}, "CAST(pr AS STRING)"),
     )
-    return {
-        "customer_info": customer_info(customer),
-        "product_info": product_info(part),
-        "sales_details": sales_details(lineitem, orders),
-        "customer_birth_date": customer_birth_date(customer),
-        "customer_location": customer_location(customer),
-        "category_products": category_products(part),
+    return lines.selectExpr(f"{line} AS rawdata")
+
+
+# The tables each source is derived from.
+_DERIVED = {
+    "customer_info": (customer_info, ("customer",)),
+    "product_info": (product_info, ("part",)),
+    "sales_details": (sales_details, ("lineitem", "orders")),
+    "customer_birth_date": (customer_birth_date, ("customer",)),
+    "customer_location": (customer_location, ("customer",)),
+    "category_products": (category_products, ("part",)),
+}
+
+
+def landing_lines(
+    spark: SparkSession, sf_dir: str, sources: Iterable[str] = RAW_SOURCES
+) -> dict[str, DataFrame]:
+    """Raw lines of the named sources, each with one ``rawdata`` column."""
+    chosen = list(sources)
+    tables = {
+        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        for name in sorted({table for source in chosen for table in _DERIVED[source][1]})
     }
+    lines = {}
+    for source in chosen:
+        derive, needed = _DERIVED[source]
+        lines[source] = derive(*[tables[name] for name in needed])
+    return lines
 
 
 def export(lines: dict[str, DataFrame], folder: str) -> dict[str, str]:
@@ -217,7 +208,7 @@ def export(lines: dict[str, DataFrame], folder: str) -> dict[str, str]:
     manifest = {}
     for name, df in lines.items():
         manifest[name] = f"{folder}/{name}"
-        df.select("rawdata").write.csv(
+        df.write.csv(
             manifest[name],
             header=True,
             sep="\u0001",
