@@ -12,8 +12,9 @@ DIGITS = r"\A[0-9]+\z"
 
 def number(text: str) -> str:
     """Double, or NULL when the text is not a finite number."""
-    value = f"nullif(try_cast({text} AS DOUBLE), double('Infinity'))"
-    return f"CASE WHEN {matches(text, DECIMAL)} THEN nullif({value}, double('-Infinity')) END"
+    value = f"try_cast({text} AS DOUBLE)"
+    finite = f"{matches(text, DECIMAL)} AND abs({value}) < double('Infinity')"
+    return f"CASE WHEN {finite} THEN {value} END"
 
 
 def digits_only(text: str) -> str:

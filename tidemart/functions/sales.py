@@ -47,9 +47,11 @@ def reconcile_amounts(df: DataFrame, amount: str, quantity: str, price: str) ->
         *others, quantity, amount, f"IF({price} > 0, {price}, {amount} / {quantity}) AS {price}"
     )
     product = f"{quantity} * {price}"
+    # Rounding is dear and equal numbers round alike, so only unequal ones are rounded.
+    apart = f"{amount} <> {product} AND {cents(amount)} <> {cents(product)}"
     return priced.selectExpr(
         *others,
-        f"IF({cents(amount)} <> {cents(product)}, {product}, {amount}) AS {amount}",
+        f"IF({apart}, {product}, {amount}) AS {amount}",
         quantity,
         price,
     )

@@ -9,9 +9,9 @@ UNKNOWN = "Unknown"
 
 # Every character Unicode text handling treats as white space.
 WHITE_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -25,9 +25,14 @@ def matches(text: str, pattern: str) -> str:
     return f"({text}) RLIKE r'{pattern}'"
 
 
-def trimmed(text: str) -> str:
-    """Strip white space of any kind; a plain ``trim`` would strip only blanks."""
-    return f"btrim({text}, {literal(WHITE_SPACE)})"
+# Fixed pattern: a line whose only white space, if any, is the blank.
+PLAIN_LINE = r"\A[ -~]*\z"
+
+
+def trimmed(text: str, plain: str) -> str:
+    """Strip white space of any kind. A ``plain`` text takes the short way: there a
+    ``trim``, which strips blanks alone, does the same at a fraction of the cost."""
+    return f"IF({plain}, trim({text}), btrim({text}, {literal(WHITE_SPACE)}))"
 
 
 def filled(text: str) -> str:
@@ -42,9 +47,9 @@ def recode(code: str, labels: Mapping[str, str], default: str | None = None) ->
     return f"CASE {code} {cases}{other} END"
 
 
-def at_least_fields(line: str, n: int) -> str:
-    """Does a raw comma-separated line hold ``n`` fields? One linear scan, no array built."""
-    return matches(line, r"\A(?:[^,]*,){%d}" % (n - 1))
+def field_count(line: str) -> str:
+    """Number of comma-separated fields, from the commas alone."""
+    return f"length({line}) - length(replace({line}, ',', '')) + 1"
 
 
 def or_not_available(value: str, matched: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import catalog, customers, dates, numbers, sales
-from tidemart.functions.text import at_least_fields, filled, trimmed
+from tidemart.functions.text import PLAIN_LINE, field_count, filled, matches, trimmed
 from tidemart.operators.quality import count_invalid
 from tidemart.sources.schemas import columns_of
 
@@ -38,13 +38,16 @@ class Entity:
 def split_fields(bronze: DataFrame, entity: Entity) -> DataFrame:
     """Trimmed raw fields of the lines that have enough of them.
 
-    Every comma separates; there is no quoting. Further fields are ignored.
+    Every comma separates; there is no quoting. Further fields are ignored. ``stack``
+    makes one row of one row, and keeps later filters from being pushed below the split:
+    they would split every line again for each condition.
     """
-    usable = f"rawdata IS NOT NULL AND {at_least_fields('rawdata', entity.arity)}"
-    parts = bronze.where(usable).selectExpr("split(rawdata, ',') AS parts")
-    return parts.selectExpr(
+    parts = bronze.where("rawdata IS NOT NULL").selectExpr(
+        f"stack(1, split(rawdata, ','), {matches('rawdata', PLAIN_LINE)}) AS (parts, plain)"
+    )
+    return parts.where(f"size(parts) >= {entity.arity}").selectExpr(
         *[
-            f"{trimmed(f'get(parts, {position})')} AS {name}"
+            f"{trimmed(f'get(parts, {position})', 'plain')} AS {name}"
             for name, position in entity.positions.items()
         ]
     )
@@ -84,7 +87,7 @@ def arity_summary(
         bronze[entity.source].agg(
             F.lit(entity.table).alias("entity"),
             F.count("*").alias("raw_rows"),
-            F.expr(f"count_if({at_least_fields('rawdata', entity.arity)})").alias("usable_rows"),
+            F.expr(f"count_if({field_count('rawdata')} >= {entity.arity})").alias("usable_rows"),
         )
         for entity in entities.values()
     ]

@@ -14,6 +14,7 @@ def local_session(name: str, cpus: int | None = None) -> SparkSession:
         .appName(name)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .getOrCreate()
