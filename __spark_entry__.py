@@ -40,20 +40,10 @@ def _silver(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFram
     }
 
 
-def _dim_customer(tables: dict[str, DataFrame], staging: Staging) -> DataFrame:
-    return gold.dim_customer(
-        tables["customer_info"], tables["customer_birth"], tables["customer_location"], staging
-    )
-
-
-def _dim_product(tables: dict[str, DataFrame], staging: Staging) -> DataFrame:
-    return gold.dim_product(tables["product_info"], tables["category_products"], staging)
-
-
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Customer dimension, product dimension and fact."""
-    tables, staging = _silver(spark, sf_dir), Staging(spark)
-    customers, products = _dim_customer(tables, staging), _dim_product(tables, staging)
+    tables = _silver(spark, sf_dir)
+    customers, products = gold.dimensions(tables, Staging(spark))
     return customers, products, gold.fact_sales(tables["sales_details"], products, customers)
 
 
@@ -82,12 +72,12 @@ def q10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q11_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _silver(spark, sf_dir, "customer_info", "customer_birth", "customer_location")
-    return _dim_customer(tables, Staging(spark))
+    return gold.dim_customer(*tables.values(), Staging(spark))
 
 
 def q12_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _silver(spark, sf_dir, "product_info", "category_products")
-    return _dim_product(tables, Staging(spark))
+    return gold.dim_product(*tables.values(), Staging(spark))
 
 
 def q13_join_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +132,7 @@ def q20_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q21_layered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every layer written and read back; run twice, since a rerun must change nothing."""
+    """The country report after every layer was written and read back."""
     root = Staging(spark).path
     manifest = export(landing_lines(spark, sf_dir), f"{root}/landing")
     warehouse = Warehouse(spark, root, as_of=AS_OF, load_date=LOAD_DATE)

@@ -11,6 +11,7 @@ from tidemart.functions.customers import country_of_location, preferred_gender
 from tidemart.functions.text import or_not_available
 from tidemart.operators.dense_index import dense_index
 from tidemart.operators.joins import NullKeys, key_equality, left_join
+from tidemart.operators.side_by_side import side_by_side
 from tidemart.sources.staging import Staging
 
 
@@ -67,6 +68,25 @@ def dim_product(products: DataFrame, categories: DataFrame, staging: Staging) ->
     return dense_index(rows, order, "unique_number", staging)
 
 
+def dimensions(
+    silver: Mapping[str, DataFrame], staging: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """Customer and product dimension of the silver tables, built side by side."""
+
+    def customers() -> DataFrame:
+        return dim_customer(
+            silver["customer_info"], silver["customer_birth"], silver["customer_location"], staging
+        )
+
+    def products() -> DataFrame:
+        return dim_product(silver["product_info"], silver["category_products"], staging)
+
+    customer, product = side_by_side(
+        staging.spark, lambda build: build(), [customers, products]
+    )
+    return customer, product
+
+
 def fact_sales(
     sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "match"
 ) -> DataFrame:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tidemart.operators.joins import NullKeys
 from tidemart.operators.quality import observe_invalid, observed_quality
+from tidemart.operators.side_by_side import side_by_side
 from tidemart.plans import gold, reports
 from tidemart.plans.silver import ENTITIES, Entity, assess, keep_valid
 from tidemart.sources.raw import read_manifest
@@ -35,16 +34,12 @@ class Warehouse:
         return read_table(self.spark, self.root, layer, table)
 
     def _write_all(self, layer: str, tables: Mapping[str, DataFrame]) -> None:
-        self._together(
-            lambda item: write_table(item[1], self.root, layer, item[0]), tables.items()
+        side_by_side(
+            self.spark,
+            lambda item: write_table(item[1], self.root, layer, item[0]),
+            tables.items(),
         )
 
-    def _together(self, step: Callable, items: Iterable) -> None:
-        """Submit independent writes side by side, so small tables fill idle executors."""
-        items = list(items)
-        with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(step), items))
-
     def ingest(self, manifest: Mapping[str, str]) -> None:
         """Bronze: capture every export of ``{source name: path}`` as it is."""
         missing = set(RAW_SOURCES) - set(manifest)
@@ -67,27 +62,11 @@ class Warehouse:
 
     def model(self) -> None:
         """Gold: both dimensions, then the fact from the dimensions as stored."""
-        staging = Staging(self.spark)
         silver = {name: self.read("silver", name) for name in self.entities}
-
-        def customers() -> DataFrame:
-            return gold.dim_customer(
-                silver["customer_info"],
-                silver["customer_birth"],
-                silver["customer_location"],
-                staging,
-            )
-
-        def products() -> DataFrame:
-            return gold.dim_product(
-                silver["product_info"], silver["category_products"], staging
-            )
-
-        builders = {"gold_dim_customer": customers, "gold_dim_product": products}
+        staging = Staging(self.spark)
         try:
-            self._together(
-                lambda item: write_table(item[1](), self.root, "gold", item[0]), builders.items()
-            )
+            customers, products = gold.dimensions(silver, staging)
+            self._write_all("gold", {"gold_dim_customer": customers, "gold_dim_product": products})
         finally:
             staging.drop()
         fact = gold.fact_sales(

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.operators.side_by_side import side_by_side
 from tidemart.sources.schemas import RAW_SOURCES
 
 
@@ -207,10 +208,10 @@ def landing_lines(
 
 def export(lines: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """Write raw lines as header-topped text files; returns their manifest."""
-    manifest = {}
-    for name, df in lines.items():
-        manifest[name] = f"{folder}/{name}"
-        df.write.csv(
+    manifest = {name: f"{folder}/{name}" for name in lines}
+
+    def write(name: str) -> None:
+        lines[name].write.csv(
             manifest[name],
             header=True,
             sep="\u0001",
@@ -220,4 +221,6 @@ def export(lines: dict[str, DataFrame], folder: str) -> dict[str, str]:
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
+
+    side_by_side(next(iter(lines.values())).sparkSession, write, lines)
     return manifest
