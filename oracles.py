@@ -5,6 +5,8 @@ from __future__ import annotations
 LOAD_DATE = "2026-01-01"
 AS_OF = "2026-01-01"
 
+# printf rounds the exact binary value, ties to even, where round would go by x * 100.
+#
 # Each table expression is named after the layer and table it stands for. A query pulls in
 # the ones it names, with those they name in turn.
 TABLES: dict[str, str] = {}
@@ -208,7 +210,7 @@ FROM all_product_info WHERE product_id <> 'N/A'
 """
 
 TABLES["all_sales_details"] = f"""
-SELECT *, CASE WHEN round(amount1, 2) <> round(q * unit, 2) THEN q * unit ELSE amount1 END
+SELECT *, CASE WHEN printf('%.2f', amount1) <> printf('%.2f', q * unit) THEN q * unit ELSE amount1 END
     AS total
 FROM (SELECT *, CASE WHEN p0 > 0 THEN p0 ELSE amount1 / q END AS unit
     FROM (SELECT *,
@@ -287,9 +289,9 @@ LEFT JOIN gold_dim_customer c ON f.customer_unique_num = c.unique_number_custome
 TABLES["ranked_customers"] = """
 SELECT coalesce(CAST(customer_unique_num AS VARCHAR), 'N/A') AS customer_id,
     any_value(country) AS country, any_value(gender) AS gender,
-    round(sum(price), 2) AS Total_sales, count(*) AS Total_orders,
-    round(sum(price) / count(*), 2) AS avg_order_value,
-    row_number() OVER (ORDER BY round(sum(price), 2) DESC, customer_unique_num NULLS LAST) AS place
+    CAST(printf('%.2f', sum(price)) AS DOUBLE) AS Total_sales, count(*) AS Total_orders,
+    CAST(printf('%.2f', sum(price) / count(*)) AS DOUBLE) AS avg_order_value,
+    row_number() OVER (ORDER BY CAST(printf('%.2f', sum(price)) AS DOUBLE) DESC, customer_unique_num NULLS LAST) AS place
 FROM sales_customer GROUP BY customer_unique_num
 """
 
@@ -402,19 +404,19 @@ FROM land_sales_details""",
 SELECT 'sales to product' AS join_name,
     (SELECT count(*) FROM silver_sales_details) AS left_rows,
     (SELECT count(*) FROM silver_sales_details
-        WHERE sls_prd_key IN (SELECT prod_key FROM silver_product_info)) AS matched_rows,
+        WHERE sls_prd_key IN (SELECT prod_key FROM gold_dim_product)) AS matched_rows,
     (SELECT count(*) FROM silver_sales_details
-        WHERE sls_prd_key NOT IN (SELECT prod_key FROM silver_product_info)) AS unmatched_rows,
+        WHERE sls_prd_key NOT IN (SELECT prod_key FROM gold_dim_product)) AS unmatched_rows,
     (SELECT count(*) FROM silver_sales_details s
-        LEFT JOIN silver_product_info p ON s.sls_prd_key = p.prod_key) AS output_rows
+        LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key) AS output_rows
 UNION ALL
 SELECT 'sales to customer',
     count(*), count(*) FILTER (known), count(*) FILTER (NOT known),
     (SELECT count(*) FROM gold_fact_sales)
-FROM (SELECT EXISTS (FROM silver_customer_info c
-            WHERE c.customer_id_cleaned IS NOT DISTINCT FROM s.sls_cust_id) AS known
+FROM (SELECT EXISTS (FROM gold_dim_customer c
+            WHERE c.customer_id IS NOT DISTINCT FROM s.sls_cust_id) AS known
     FROM silver_sales_details s
-    LEFT JOIN silver_product_info p ON s.sls_prd_key = p.prod_key)""",
+    LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key)""",
     "q14_fact_sales": "SELECT * FROM gold_fact_sales",
     "q15_gold_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
@@ -428,7 +430,8 @@ FROM sales_customer""",
     "q17_revenue_by_country": _COUNTRY_REPORT,
     "q18_monthly_trend": """
 SELECT monthname(make_date(2000, month_num, 1)) AS month, total_sales, total_orders, month_num
-FROM (SELECT CAST(month(order_date) AS INTEGER) AS month_num, round(sum(price), 2) AS total_sales,
+FROM (SELECT CAST(month(order_date) AS INTEGER) AS month_num,
+        CAST(printf('%.2f', sum(price)) AS DOUBLE) AS total_sales,
         count(*) AS total_orders
     FROM gold_fact_sales WHERE order_date IS NOT NULL GROUP BY 1)""",
     "q19_customer_sales": "SELECT * EXCLUDE (place) FROM ranked_customers",

@@ -8,7 +8,7 @@ import pytest
 
 from helpers import plan_of, rows
 from tidemart.operators.joins import cardinality, fan_out
-from tidemart.plans import gold, reports
+from tidemart.plans import direct, gold, reports
 from tidemart.sources.schemas import LAYERS
 from tidemart.sources.staging import Staging
 
@@ -138,6 +138,47 @@ def test_reports(spark):
         reports.monthly_trend(fact, "quantity")
 
 
+@pytest.mark.parametrize("null_keys", ["match", "unmatched"])
+@pytest.mark.parametrize("measure", ["price", "sales_amount"])
+def test_direct_reports_equal_those_of_the_fact(spark, null_keys, measure):
+    random.seed(11)
+    some = lambda *values: random.choice(values)
+    sales = table(
+        spark, "silver", "sales_details",
+        *[(f"SO{n:05}", some("K1", "K2", "K3", "N/A"), some(1, 2, 3, None),
+           some(None, DAY("2011-01-05"), DAY("2012-01-05"), DAY("2012-07-05")), None, None,
+           float(n), 1.0, some(float(n % 7), None)) for n in range(300)],
+    )
+    products = table(
+        spark, "gold", "gold_dim_product",
+        *[("1", some("K1", "K2", "N/A"), "n", "c", "a", "b", "Yes", 1.0, "Road", None, n)
+          for n in range(1, 9)],
+    )
+    customers = table(
+        spark, "gold", "gold_dim_customer",
+        *[("AW1", some(1, 2, None, 9), "Ann", None, some("Male", None), None, None, 30,
+           some("France", "Unknown", None), n) for n in range(1, 9)],
+    )
+    fact = gold.fact_sales(sales, products, customers, null_keys)
+    inputs = (sales, products, customers)
+    assert direct.fact_size(*inputs, null_keys).first().rows == fact.count()
+    assert rows(direct.revenue_by_country(*inputs, null_keys, measure)) == rows(
+        reports.revenue_by_country(fact, customers, measure)
+    )
+    assert (
+        direct.monthly_trend(*inputs, null_keys, measure).collect()
+        == reports.monthly_trend(fact, measure).collect()
+    )
+    assert (
+        direct.customer_ranking(*inputs, None, null_keys, measure).collect()
+        == reports.customer_ranking(fact, customers, None, measure).collect()
+    )
+    assert (
+        direct.customer_ranking(*inputs, 3, null_keys, measure).collect()
+        == reports.customer_ranking(fact, customers, 3, measure).collect()
+    )
+
+
 def test_totals_agree(spark):
     sales, products, customers = star(spark)
     fact = gold.fact_sales(sales, products, customers)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -277,6 +278,17 @@ def test_amounts(spark):
         assert (got.amount, got.quantity, got.price) == wanted, given
 
 
+def test_cents_round_as_python_does(spark):
+    random.seed(5)
+    values = [2.675, 0.125, 0.135, 4700.525, 1.005, 0.0, -2.675, -0.001, 1e15 + 0.3, 1e22, 123.0]
+    values += [random.uniform(0, 10_000) for _ in range(2_000)]
+    values += [random.randrange(10**7) / random.choice([8, 40, 200, 1000]) for _ in range(4_000)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").selectExpr(
+        "v", numbers.cents("v") + " AS c"
+    )
+    assert [row.c for row in got.collect()] == [round(value, 2) for value in values]
+
+
 def test_gender_country_and_default(spark):
     got = spark.sql(
         f"""SELECT {customers.preferred_gender("'Male'", "'Female'")} AS a,

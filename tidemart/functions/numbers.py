@@ -23,4 +23,9 @@ def digits_only(text: str) -> str:
 
 
 def cents(value: str) -> str:
-    return f"round({value}, 2)"
+    """Two decimals, rounded from the exact binary value with ties to even.
+
+    ``round`` goes by the shortest decimal text of a double instead and turns 4700.525,
+    which is stored as slightly less, into 4700.53.
+    """
+    return f"try_cast(format_number({value}, '0.00') AS DOUBLE)"

@@ -27,18 +27,20 @@ def fan_out(
     """Left rows with ``row_weight``: how many rows a left join on the keys makes of each.
 
     The right side shrinks to one row per key first, so no pair of rows is ever built.
-    A ``row_weight`` that the left rows already carry is multiplied, which chains joins.
+    A ``row_weight`` that the left rows already carry is multiplied, which chains joins;
+    ``left_rows`` keeps it as it was and ``copies`` is this join's own factor.
     """
     carried = "row_weight" if "row_weight" in left.columns else "1L"
     kept = [column for column in left.columns if column != "row_weight"]
-    copies = right.groupBy(F.expr(right_key).alias("copied_key")).agg(
-        F.count("*").alias("copies")
+    partners = right.groupBy(F.expr(right_key).alias("copied_key")).agg(
+        F.count("*").alias("partners")
     )
-    return left_join(left, copies, key_equality(left_key, "copied_key", null_keys)).selectExpr(
+    return left_join(left, partners, key_equality(left_key, "copied_key", null_keys)).selectExpr(
         *kept,
         f"{carried} AS left_rows",
-        "copies IS NOT NULL AS matched",
-        f"{carried} * coalesce(copies, 1) AS row_weight",
+        "partners IS NOT NULL AS matched",
+        "coalesce(partners, 1) AS copies",
+        f"{carried} * coalesce(partners, 1) AS row_weight",
     )
 
 

@@ -16,10 +16,10 @@ from tidemart.operators.joins import left_join
 Measure = Literal["price", "sales_amount"]
 
 
-def _total(measure: Measure) -> str:
+def value_of(measure: Measure) -> str:
     if measure not in ("price", "sales_amount"):
         raise ValueError(f"measure must be 'price' or 'sales_amount', not {measure!r}")
-    return f"sum(coalesce({measure}, 0D))"
+    return f"coalesce({measure}, 0D)"
 
 
 def _number_text(number: str) -> str:
@@ -52,19 +52,49 @@ def _per_customer(fact: DataFrame, measure: Measure) -> DataFrame:
     """Sales and row count per surrogate number: combined map-side, and small enough that
     the customer join that follows moves one row per customer instead of every fact."""
     return fact.groupBy("customer_unique_num").agg(
-        F.expr(f"{_total(measure)} AS sales"), F.expr("count(*) AS orders")
+        F.expr(f"sum({value_of(measure)}) AS sales"), F.expr("count(*) AS orders")
     )
 
 
+def country_report(totals: DataFrame) -> DataFrame:
+    """Totals with ``unique_number_customer`` and ``country`` to sales per country."""
+    return totals.groupBy(F.expr(_of_customer("country")).alias("customer_country")).agg(
+        F.expr("sum(sales) AS revenue")
+    )
+
+
+def month_report(totals: DataFrame) -> DataFrame:
+    """Totals per ``month_num`` to the monthly trend."""
+    return totals.selectExpr(
+        f"{month_label('month_num')} AS month",
+        f"{cents('sales')} AS total_sales",
+        "orders AS total_orders",
+        "month_num",
+    ).orderBy("month_num")
+
+
+def ranking_report(totals: DataFrame, top: int | None) -> DataFrame:
+    """One row of totals per ``unique_number_customer`` to the ranking of customers."""
+    ranked = totals.selectExpr(
+        "unique_number_customer",
+        f"{_number_text('unique_number_customer')} AS customer_id",
+        f"{_of_customer('country')} AS country",
+        f"{_of_customer('gender')} AS gender",
+        f"{cents('sales')} AS Total_sales",
+        "orders AS Total_orders",
+        f"{cents('sales / orders')} AS avg_order_value",
+    ).orderBy(F.desc("Total_sales"), F.asc_nulls_last("unique_number_customer"))
+    if top is not None:
+        ranked = ranked.limit(top)
+    return ranked.drop("unique_number_customer")
+
+
 def revenue_by_country(
     fact: DataFrame, customers: DataFrame, measure: Measure = "price"
 ) -> DataFrame:
     """Sales per country. NULL (no location), ``'Unknown'`` (location without a listed
     country) and ``'N/A'`` (no customer) stay three groups."""
-    joined = _with_customer(_per_customer(fact, measure), customers, "country")
-    return joined.groupBy(F.expr(_of_customer("country")).alias("customer_country")).agg(
-        F.expr("sum(sales) AS revenue")
-    )
+    return country_report(_with_customer(_per_customer(fact, measure), customers, "country"))
 
 
 def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
@@ -72,17 +102,12 @@ def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
 
     Rows without an order date are left out; see :func:`undated_rows`.
     """
-    monthly = (
-        fact.where("order_date IS NOT NULL")
-        .groupBy(F.expr("month(order_date)").alias("month_num"))
-        .agg(F.expr(f"{_total(measure)} AS sales"), F.expr("count(*) AS total_orders"))
+    dated = fact.where("order_date IS NOT NULL")
+    return month_report(
+        dated.groupBy(F.expr("month(order_date)").alias("month_num")).agg(
+            F.expr(f"sum({value_of(measure)}) AS sales"), F.expr("count(*) AS orders")
+        )
     )
-    return monthly.selectExpr(
-        f"{month_label('month_num')} AS month",
-        f"{cents('sales')} AS total_sales",
-        "total_orders",
-        "month_num",
-    ).orderBy("month_num")
 
 
 def undated_rows(fact: DataFrame) -> DataFrame:
@@ -101,16 +126,5 @@ def customer_ranking(
     ``customer_id`` is the surrogate number; sales without customer share one row. Equal
     totals are ranked by surrogate number.
     """
-    joined = _with_customer(_per_customer(fact, measure), customers, "country", "gender")
-    ranked = joined.selectExpr(
-        "customer_unique_num",
-        f"{_number_text('customer_unique_num')} AS customer_id",
-        f"{_of_customer('country')} AS country",
-        f"{_of_customer('gender')} AS gender",
-        f"{cents('sales')} AS Total_sales",
-        "orders AS Total_orders",
-        f"{cents('sales / orders')} AS avg_order_value",
-    ).orderBy(F.desc("Total_sales"), F.asc_nulls_last("customer_unique_num"))
-    if top is not None:
-        ranked = ranked.limit(top)
-    return ranked.drop("customer_unique_num")
+    totals = _with_customer(_per_customer(fact, measure), customers, "country", "gender")
+    return ranking_report(totals, top)
