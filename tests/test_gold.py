@@ -7,6 +7,7 @@ import random
 import pytest
 
 from helpers import plan_of, rows
+from tidemart.operators.hot_keys import hot_keys_split
 from tidemart.operators.joins import cardinality, fan_out
 from tidemart.plans import direct, gold, reports
 from tidemart.sources.schemas import LAYERS
@@ -283,6 +284,46 @@ def test_hot_product_and_hot_customer_are_split(spark, tmp_path, shuffled_joins)
     assert {row.customer_country: row.revenue for row in report.collect()} == dict(totals)
 
 
+def test_hot_customer_key_is_split(spark, shuffled_joins):
+    """Both joins of the customer dimension reuse one partitioning, and still split."""
+    customers = spark.range(40_000, numPartitions=12).selectExpr(
+        "id AS customer_id_cleaned",
+        "IF(id % 3 = 0, 'AW0', concat('AW', id)) AS customer_key_cleaned",
+        "concat('name of ', id) AS customer_name_cleaned",
+        "'Single' AS customer_martial_cleaned",
+        "CAST(NULL AS STRING) AS customer_gender_cleaned",
+        "DATE '2020-01-01' AS customer_date",
+    )
+    births = spark.range(0, 40_000, 2).selectExpr(
+        "concat('AW', id) AS customer_key", "DATE '1990-01-01' AS birth_date",
+        "'Male' AS gender", "36 AS age",
+    )
+    locations = spark.range(0, 40_000, 5).selectExpr(
+        "concat('AW', id) AS customer_location_key", "'France' AS customer_location_state"
+    )
+    with hot_keys_split(spark):
+        df = gold.customer_rows(customers, births, locations)
+        got = df.collect()
+    assert plan_of(df).count("skew=true") >= 1
+    wanted = collections.Counter()
+    for number in range(40_000):
+        key = 0 if number % 3 == 0 else number
+        wanted[(number, key % 2 == 0, key % 5 == 0)] += 1
+    assert wanted == collections.Counter(
+        (row.customer_id, row.age is not None, row.country is not None) for row in got
+    )
+
+
+def test_settings_return(spark):
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(key, None)
+    with pytest.raises(KeyError):
+        with hot_keys_split(spark):
+            assert spark.conf.get(key) == "true"
+            raise KeyError
+    assert spark.conf.get(key, None) == before
+
+
 def test_report_plans(spark, tmp_path):
     sales, products, customers = star(spark)
     fact_path, customer_path = str(tmp_path / "fact"), str(tmp_path / "customer")

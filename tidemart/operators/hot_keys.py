@@ -1,0 +1,34 @@
+"""Runtime splitting of hot join keys."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
+
+# Adaptive execution splits a hot partition of a join and joins the pieces side by side.
+# By default it leaves a join alone whose partitioning the next operator reuses; forced, it
+# splits that one too and shuffles again, only when a hot key turns up.
+_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+@contextmanager
+def hot_keys_split(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside split hot keys in every join; the session's settings return
+    afterwards."""
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from tidemart.functions.customers import country_of_location, preferred_gender
 from tidemart.functions.text import or_not_available
 from tidemart.operators.dense_index import dense_index
+from tidemart.operators.hot_keys import hot_keys_split
 from tidemart.operators.joins import NullKeys, key_equality, left_join
 from tidemart.operators.side_by_side import side_by_side
 from tidemart.sources.staging import Staging
@@ -81,9 +82,10 @@ def dimensions(
     def products() -> DataFrame:
         return dim_product(silver["product_info"], silver["category_products"], staging)
 
-    customer, product = side_by_side(
-        staging.spark, lambda build: build(), [customers, products]
-    )
+    with hot_keys_split(staging.spark):
+        customer, product = side_by_side(
+            staging.spark, lambda build: build(), [customers, products]
+        )
     return customer, product
 
 

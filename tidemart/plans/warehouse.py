@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from tidemart.operators.hot_keys import hot_keys_split
 from tidemart.operators.joins import NullKeys
 from tidemart.operators.quality import observe_invalid, observed_quality
 from tidemart.operators.side_by_side import side_by_side
@@ -75,7 +76,8 @@ class Warehouse:
             self.read("gold", "gold_dim_customer"),
             self.null_keys,
         )
-        write_table(fact, self.root, "gold", "gold_fact_sales")
+        with hot_keys_split(self.spark):
+            write_table(fact, self.root, "gold", "gold_fact_sales")
 
     def reports(self, top: int = 5, measure: reports.Measure = "price") -> dict[str, DataFrame]:
         """The reports as DataFrames over the stored gold tables."""
