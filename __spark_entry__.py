@@ -12,7 +12,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 import oracles  # noqa: E402
-from tidemart.operators.joins import cardinality, fan_out  # noqa: E402
 from tidemart.plans import direct, gold, reports, silver  # noqa: E402
 from tidemart.plans.silver import ENTITIES  # noqa: E402
 from tidemart.plans.warehouse import Warehouse  # noqa: E402
@@ -93,19 +92,7 @@ def q12_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q13_join_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales, products, customers = _unnumbered(spark, sf_dir)
-    by_product = fan_out(sales, products, "sls_prd_key", "prod_key", "unmatched")
-    per_buyer = by_product.groupBy("sls_cust_id").agg({"row_weight": "sum"})
-    by_customer = fan_out(
-        per_buyer.toDF("sls_cust_id", "row_weight"),
-        customers,
-        "sls_cust_id",
-        "customer_id",
-        "match",
-    )
-    return cardinality(by_product, "sales to product").unionByName(
-        cardinality(by_customer, "sales to customer")
-    )
+    return direct.join_summary(*_unnumbered(spark, sf_dir))
 
 
 def q14_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

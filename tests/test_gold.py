@@ -8,7 +8,6 @@ import pytest
 
 from helpers import plan_of, rows
 from tidemart.operators.hot_keys import hot_keys_split
-from tidemart.operators.joins import cardinality, fan_out
 from tidemart.plans import direct, gold, reports
 from tidemart.sources.schemas import LAYERS
 from tidemart.sources.staging import Staging
@@ -189,16 +188,18 @@ def test_totals_agree(spark):
     assert by_country == by_month + undated
 
 
-def test_fan_out_counts_what_the_join_makes(spark):
+def test_join_summary_counts_what_the_joins_make(spark):
     sales, products, customers = star(spark)
-    by_product = fan_out(sales, products, "sls_prd_key", "prod_key", "unmatched")
-    by_customer = fan_out(
-        by_product.select("sls_cust_id", "row_weight"), customers, "sls_cust_id", "customer_id", "match"
-    )
-    assert tuple(cardinality(by_product, "p").first()) == ("p", 4, 3, 1, 5)
-    assert tuple(cardinality(by_customer, "c").first()) == ("c", 5, 4, 1, 6)
+    assert rows(direct.join_summary(sales, products, customers)) == [
+        ("sales to customer", 5, 4, 1, 6),
+        ("sales to product", 4, 3, 1, 5),
+    ]
     assert gold.fact_sales(sales, products, customers).count() == 6
-    assert tuple(cardinality(by_product.limit(0), "e").first()) == ("e", 0, 0, 0, 0)
+    assert rows(direct.join_summary(sales, products, customers, "unmatched")) == [
+        ("sales to customer", 5, 3, 2, 5),
+        ("sales to product", 4, 3, 1, 5),
+    ]
+    assert rows(direct.join_summary(sales.limit(0), products, customers))[0][1:] == (0, 0, 0, 0)
 
 
 def test_dimensions_number_every_row(spark):
@@ -276,7 +277,16 @@ def test_hot_product_and_hot_customer_are_split(spark, tmp_path, shuffled_joins)
     )
     assert got == wanted
 
+    direct_report = direct.revenue_by_country(sales, products, customers)
+    direct_rows = rows(direct_report)
+    assert "skew=true" in plan_of(direct_report)
+    ranking = direct.customer_ranking(sales, products, customers)
+    ranking_rows = ranking.collect()
+    assert "skew=true" in plan_of(ranking) and "ReusedExchange" in plan_of(ranking)
+    assert ranking_rows == reports.customer_ranking(spark.read.parquet(path), customers).collect()
+
     report = reports.revenue_by_country(spark.read.parquet(path), customers)
+    assert rows(report) == direct_rows
     country = {row.unique_number_customer: row.country for row in customers.collect()}
     totals = collections.Counter()
     for (_, customer, price), n in wanted.items():

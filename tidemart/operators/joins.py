@@ -29,27 +29,21 @@ def fan_out(
     The right side shrinks to one row per key first, so no pair of rows is ever built.
     A ``row_weight`` that the left rows already carry is multiplied, which chains joins;
     ``left_rows`` keeps it as it was and ``copies`` is this join's own factor.
+
+    Both ways of treating NULL keys use the null-safe join. Its keys are not those the
+    counting was partitioned by, so both sides are shuffled for the join itself, and
+    adaptive execution can split a hot left key. Without that shuffle it could not.
     """
     carried = "row_weight" if "row_weight" in left.columns else "1L"
     kept = [column for column in left.columns if column != "row_weight"]
-    partners = right.groupBy(F.expr(right_key).alias("copied_key")).agg(
+    matching = right if null_keys == "match" else right.where(f"{right_key} IS NOT NULL")
+    partners = matching.groupBy(F.expr(right_key).alias("partner_key")).agg(
         F.count("*").alias("partners")
     )
-    return left_join(left, partners, key_equality(left_key, "copied_key", null_keys)).selectExpr(
+    return left_join(left, partners, key_equality(left_key, "partner_key", "match")).selectExpr(
         *kept,
         f"{carried} AS left_rows",
         "partners IS NOT NULL AS matched",
         "coalesce(partners, 1) AS copies",
         f"{carried} * coalesce(partners, 1) AS row_weight",
     )
-
-
-def cardinality(weighted: DataFrame, join: str) -> DataFrame:
-    """Rows entering a join, with and without a partner, and leaving it."""
-    return weighted.selectExpr(
-        f"'{join}' AS join_name",
-        "coalesce(sum(left_rows), 0) AS left_rows",
-        "coalesce(sum(left_rows) FILTER (WHERE matched), 0) AS matched_rows",
-        "coalesce(sum(left_rows) FILTER (WHERE NOT matched), 0) AS unmatched_rows",
-        "coalesce(sum(row_weight), 0) AS output_rows",
-    )

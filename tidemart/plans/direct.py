@@ -52,10 +52,20 @@ def revenue_by_country(
     null_keys: NullKeys = "match",
     measure: Measure = "price",
 ) -> DataFrame:
-    """``customers`` need their id and country, no surrogate numbers."""
-    known = customers.selectExpr("customer_id", "country", "1 AS unique_number_customer")
+    """``customers`` need their id and country, no surrogate numbers. They are counted per
+    id and country first: many customers without id become a few rows."""
+    counted = customers.groupBy("customer_id", "country").agg(
+        F.expr("count(*) AS unique_number_customer")
+    )
     same_buyer = key_equality("sls_cust_id", "customer_id", null_keys)
-    return country_report(left_join(_buyer_totals(sales, products, measure), known, same_buyer))
+    attributed = left_join(_buyer_totals(sales, products, measure), counted, same_buyer)
+    return country_report(
+        attributed.selectExpr(
+            "unique_number_customer",
+            "country",
+            "sales * coalesce(unique_number_customer, 1) AS sales",
+        )
+    )
 
 
 def customer_ranking(
@@ -66,17 +76,28 @@ def customer_ranking(
     null_keys: NullKeys = "match",
     measure: Measure = "price",
 ) -> DataFrame:
-    """``customers`` are the numbered dimension. Ids that no customer has share one row."""
+    """``customers`` are the numbered dimension. Ids that no customer has share one row.
+
+    Known and unknown ids go separate ways over the same shuffled totals: an inner join
+    lets adaptive execution split an id that very many customers share.
+    """
+    totals = _buyer_totals(sales, products, measure)
     known = customers.select("customer_id", "unique_number_customer", "country", "gender")
-    same_buyer = key_equality("sls_cust_id", "customer_id", null_keys)
-    attributed = left_join(_buyer_totals(sales, products, measure), known, same_buyer)
-    totals = attributed.groupBy("unique_number_customer").agg(
-        F.expr("any_value(country) AS country"),
-        F.expr("any_value(gender) AS gender"),
-        F.expr("sum(sales) AS sales"),
-        F.expr("sum(orders) AS orders"),
+    same_buyer = F.expr(key_equality("sls_cust_id", "customer_id", null_keys))
+    columns = ["unique_number_customer", "country", "gender", "sales", "orders"]
+    of_known = totals.join(known, same_buyer, "inner").select(*columns)
+    of_unknown = (
+        totals.join(known.select("customer_id").distinct(), same_buyer, "left_anti")
+        .selectExpr(
+            "CAST(NULL AS BIGINT) AS unique_number_customer",
+            "CAST(NULL AS STRING) AS country",
+            "CAST(NULL AS STRING) AS gender",
+            "sum(sales) AS sales",
+            "sum(orders) AS orders",
+        )
+        .where("orders IS NOT NULL")
     )
-    return ranking_report(totals, top)
+    return ranking_report(of_known.unionByName(of_unknown), top)
 
 
 def monthly_trend(
@@ -111,3 +132,32 @@ def fact_size(
     per_buyer = weighted.groupBy("sls_cust_id").agg(F.expr("sum(row_weight) AS row_weight"))
     counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys)
     return counted.selectExpr("coalesce(sum(row_weight), 0) AS rows")
+
+
+def join_summary(
+    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "match"
+) -> DataFrame:
+    """Rows entering each join of the fact, with and without a partner, and leaving it."""
+    per_buyer = (
+        _by_product(sales.select("sls_prd_key", "sls_cust_id"), products)
+        .groupBy("sls_cust_id")
+        .agg(
+            F.expr("sum(left_rows) AS sold"),
+            F.expr("sum(IF(matched, left_rows, 0)) AS sold_matched"),
+            F.expr("sum(row_weight) AS row_weight"),
+        )
+    )
+    counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys)
+    sums = counted.selectExpr(
+        "coalesce(sum(sold), 0) AS sold",
+        "coalesce(sum(sold_matched), 0) AS sold_matched",
+        "coalesce(sum(left_rows), 0) AS bought",
+        "coalesce(sum(IF(matched, left_rows, 0)), 0) AS bought_matched",
+        "coalesce(sum(row_weight), 0) AS made",
+    )
+    return sums.selectExpr(
+        """stack(2,
+            'sales to product', sold, sold_matched, sold - sold_matched, bought,
+            'sales to customer', bought, bought_matched, bought - bought_matched, made
+        ) AS (join_name, left_rows, matched_rows, unmatched_rows, output_rows)"""
+    )
