@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from helpers import rows
+from helpers import plan_of, rows
 from tidemart.sources import raw, staging, tables, text_records
 from tidemart.sources.landing import export
 
@@ -69,6 +69,10 @@ def test_source_summary(spark):
         ("customer_info", 2, "a"),
         ("product_info", 2, "a"),
     ]
+    bronze["product_info"] = raw.with_lineage(lines.limit(0), "product_info")
+    summary = raw.source_summary(bronze)
+    assert rows(summary) == [("customer_info", 2, "a"), ("product_info", 0, None)]
+    assert "Sort [" not in plan_of(summary)
 
 
 def test_table_round_trip_and_overwrite(spark, tmp_path):

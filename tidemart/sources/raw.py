@@ -56,10 +56,15 @@ def read_manifest(
 
 def source_summary(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and one sample line per source. The sample is the smallest line, so that it
-    does not depend on how files were split."""
-    lines = reduce(
-        DataFrame.unionByName, [df.select("path_name", "rawdata") for df in bronze.values()]
-    )
-    return lines.groupBy("path_name").agg(
-        F.count("*").alias("rows"), F.min("rawdata").alias("sample_line")
-    )
+    does not depend on how files were split.
+
+    Each source is aggregated on its own: grouped by source name, the smallest text would
+    need every line sorted, since texts cannot be updated in a hash aggregation.
+    """
+    counts = [
+        df.selectExpr(
+            f"'{source}' AS path_name", "count(*) AS rows", "min(rawdata) AS sample_line"
+        )
+        for source, df in bronze.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
