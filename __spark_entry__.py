@@ -22,6 +22,20 @@ from tidemart.sources.staging import Staging  # noqa: E402
 from tidemart.sources.tables import preview  # noqa: E402
 from tidemart.sources.text_records import decode_summary  # noqa: E402
 
+# The operators for training data and their pipeline may be taken out of the library.
+try:
+    from tidemart.llm.registry import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tidemart.llm", "tidemart.llm.registry"):
+        raise
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("tidemart.llm"):
+        raise
+    corpus_pipeline = None
+
 LOAD_DATE = dt.date.fromisoformat(oracles.LOAD_DATE)
 AS_OF = dt.date.fromisoformat(oracles.AS_OF)
 
@@ -169,6 +183,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    pipeline = {"pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    return warehouse_queries() | LLM_QUERIES | pipeline
+
+
+def warehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "q01_bronze_envelope": q01_bronze_envelope,
         "q02_bronze_manifest": q02_bronze_manifest,
@@ -197,4 +216,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    whole = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return oracles.oracle_sql() | LLM_ORACLES | ({"pipeline": whole} if whole else {})
