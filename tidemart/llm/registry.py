@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.llm.bpe import op4_bpe
 from tidemart.llm.exact import op6_exact_dedup
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.oracles import ORACLES
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
         op2_near_dedup,
+        op4_bpe,
         op6_exact_dedup,
     )
 }
