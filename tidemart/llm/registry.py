@@ -10,6 +10,7 @@ from tidemart.llm.bpe import op4_bpe
 from tidemart.llm.exact import op6_exact_dedup
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.oracles import ORACLES
+from tidemart.llm.planes import op9_bitplane
 from tidemart.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {
         op2_near_dedup,
         op4_bpe,
         op6_exact_dedup,
+        op9_bitplane,
     )
 }
 
