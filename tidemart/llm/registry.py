@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.bpe import op4_bpe
 from tidemart.llm.exact import op6_exact_dedup
+from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.oracles import ORACLES
 from tidemart.llm.planes import op9_bitplane
 from tidemart.llm.shipping import ship
+from tidemart.llm.toxicity import op3_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +30,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
         op2_near_dedup,
+        op3_toxicity,
         op4_bpe,
         op6_exact_dedup,
+        op8_fertility,
         op9_bitplane,
     )
 }

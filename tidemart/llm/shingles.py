@@ -11,7 +11,8 @@ _RANDOM = np.random.default_rng(20_260_101)
 _BASE = _U(int(_RANDOM.integers(1 << 62, 1 << 63)) | 1)
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
 _LETTER = _RANDOM.integers(1, 1 << 63, 256).astype(_U) << _U(1) | _U(1)
-_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B]
+_FOLDED = _LETTER.copy()
+_FOLDED[0x41:0x5B] = _LETTER[0x61:0x7B]
 _PLACE = _RANDOM.integers(1, 1 << 63, 64).astype(_U) * _U(2) + _U(1)
 
 
@@ -39,11 +40,13 @@ class Powers:
         return self.up[:length], self.down[:length]
 
 
-def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, powers: Powers):
-    """A hash of each word, A-Z taken as a-z: differences of one running polynomial."""
+def word_hashes(
+    data: np.ndarray, begins: np.ndarray, ends: np.ndarray, powers: Powers, fold: bool = True
+) -> np.ndarray:
+    """A hash of each word, by differences of one running polynomial; ``fold`` takes A-Z as a-z."""
     up, down = powers.reach(max(len(data), 1))
     running = np.zeros(len(data) + 1, _U)
-    np.cumsum(_LETTER[data] * up[: len(data)], out=running[1:], dtype=_U)
+    np.cumsum((_FOLDED if fold else _LETTER)[data] * up[: len(data)], out=running[1:], dtype=_U)
     return mix((running[ends] - running[begins]) * down[begins])
 
 
