@@ -12,6 +12,7 @@ from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.oracles import ORACLES
 from tidemart.llm.planes import op9_bitplane
+from tidemart.llm.quality import op5_quality
 from tidemart.llm.shipping import ship
 from tidemart.llm.toxicity import op3_toxicity
 
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
         op2_near_dedup,
         op3_toxicity,
         op4_bpe,
+        op5_quality,
         op6_exact_dedup,
         op8_fertility,
         op9_bitplane,

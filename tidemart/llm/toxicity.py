@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import logistic
 from tidemart.sources.staging import Staging
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -37,7 +38,7 @@ _MARKS = {
 }
 _EDGES = ".,;:!?…()[]{}\"'«»“”„‘’*#$%&|<>-_"
 _CLOSES = re.compile(r"[.!?;:…][\"'»”’)\]]*$")
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7)
 
 #: Outputs of the grammar that a text's score is made of.
 FEATURES = ["plain", "targeted", "negated", "reported", "threat", "strongest", "dense"]
@@ -192,20 +193,6 @@ UNLEARNED = Grammar(
 )
 
 
-def _logistic(rows: np.ndarray, labels: np.ndarray, rounds: int = 40, decay: float = 1e-2):
-    """Ridge-penalised weights by Newton steps; the last is of the constant."""
-    x = np.c_[rows, np.ones(len(rows))]
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), decay * len(rows) ** 0.5)
-    penalty[-1] = 1e-6
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - labels) + penalty * w
-        curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
-        w = w - np.linalg.solve(curve, slope)
-    return w[:-1], w[-1]
-
-
 def learn(labelled: DataFrame, staging: Staging, sample: int = 20_000, support: int = 6) -> Grammar:
     """Learn from ``text`` and ``label`` (1: toxic).
 
@@ -233,8 +220,8 @@ def learn(labelled: DataFrame, staging: Staging, sample: int = 20_000, support:
     if len(set(labels.tolist())) < 2:
         return Grammar(weights, UNLEARNED.outputs, UNLEARNED.mean, UNLEARNED.bias)
     x = np.array([row.features for row in seen])
-    outputs, bias = _logistic(x - x.mean(axis=0), labels)
-    return Grammar(weights, outputs.tolist(), x.mean(axis=0).tolist(), float(bias))
+    outputs, bias = logistic.fit(x - x.mean(axis=0), labels)
+    return Grammar(weights, outputs.tolist(), x.mean(axis=0).tolist(), bias)
 
 
 @lru_cache(maxsize=4)
