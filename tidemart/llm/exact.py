@@ -85,6 +85,8 @@ class ExactDuplicates:
             own.conf.set(name, spark.conf.get(name))
         own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+        # Files as large as what is in them: a store per partition would reserve megabytes each.
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
         source = own.readStream.schema(schema).option("maxFilesPerTrigger", self.files)
         groups = (
             source.parquet(f"{staging.path}/digests")
