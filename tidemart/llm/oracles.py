@@ -39,4 +39,66 @@ SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION B
 FROM bare WINDOW g AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 """
 
-ORACLES = {"op2_near_dedup": OP2, "op6_exact_dedup": OP6}
+#: A node's budget is split by the same rule at three levels.
+_SPLIT = """
+SELECT * EXCLUDE (point, filled, open_weight), CASE WHEN is_full THEN capacity
+    ELSE coalesce((given - filled) * weight / nullif(open_weight, 0), 0) END AS taken
+FROM (
+  SELECT *, sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER (PARTITION BY {parent}) AS filled,
+    sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY {parent}) AS open_weight
+  FROM (
+    SELECT *, coalesce(point * (sum(weight) OVER (PARTITION BY {parent})
+        - coalesce(sum(weight) OVER before, 0))
+      <= given - coalesce(sum(CASE WHEN weight > 0 THEN capacity ELSE 0 END) OVER before, 0), false) AS is_full
+    FROM (SELECT *, capacity / nullif(weight, 0) AS point FROM ({nodes}))
+    WINDOW before AS (PARTITION BY {parent} ORDER BY point NULLS LAST, {level}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  )
+)
+"""
+
+
+def _mixing() -> str:
+    domains = _SPLIT.format(parent="root", level="domain", nodes="""
+      SELECT 0 AS root, domain, sum(capacity) AS capacity,
+        CASE domain WHEN 'crawl' THEN 2.0 WHEN 'reference' THEN 5.0 ELSE 3.0 END::DOUBLE AS weight,
+        (SELECT sum(capacity) FROM leaf) * 0.25::DOUBLE AS given FROM leaf GROUP BY domain""")
+    langs = _SPLIT.format(parent="domain", level="lang", nodes="""
+      SELECT l.*, d.taken AS given FROM (SELECT domain, lang, sum(capacity) AS capacity,
+        CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 WHEN 'fr' THEN 2.0 WHEN 'es' THEN 2.0
+          ELSE 1.0 END::DOUBLE AS weight FROM leaf GROUP BY domain, lang) l
+      JOIN domains d USING (domain)""")
+    leaves = _SPLIT.format(parent="domain, lang", level="source", nodes="""
+      SELECT l.*, 1.0::DOUBLE AS weight, g.taken AS given FROM leaf l JOIN langs g USING (domain, lang)""")
+    return rf"""
+    WITH token AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        CASE WHEN source = 'src0' THEN 'crawl' WHEN regexp_full_match(source, 'src[1-9]') THEN 'reference'
+          ELSE 'community' END AS domain,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens
+      FROM documents
+    ), leaf AS (
+      SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) * 3::DOUBLE AS capacity
+      FROM token GROUP BY ALL
+    ), domains AS ({domains}), langs AS ({langs}), leaves AS ({leaves}), given AS (
+      SELECT domain, lang, source, tokens, floor(taken + 1e-6)::BIGINT AS tokens_given,
+        coalesce(floor(taken + 1e-6)::BIGINT // nullif(tokens, 0), 0) AS whole FROM leaves
+    ), placed AS (
+      SELECT t.*, whole, tokens_given - whole * tokens AS rest,
+        sum(n_tokens) OVER (PARTITION BY domain, lang, source
+          ORDER BY md5('17:' || whole || ':' || coalesce(doc_id::VARCHAR, ''))
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM token t JOIN given USING (domain, lang, source)
+    )
+    SELECT doc_id, domain, lang, source, n_tokens, whole AS whole_epochs,
+      greatest(0, least(n_tokens, rest - coalesce(before, 0)))::BIGINT AS last_tokens,
+      (whole * n_tokens + greatest(0, least(n_tokens, rest - coalesce(before, 0))))::BIGINT AS taken_tokens
+    FROM placed
+    """
+
+
+ORACLES = {
+    "op1_mixing": _mixing(),
+    "op2_near_dedup": OP2,
+    "op6_exact_dedup": OP6,
+}

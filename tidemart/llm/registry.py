@@ -10,6 +10,7 @@ from tidemart.llm.bpe import op4_bpe
 from tidemart.llm.exact import op6_exact_dedup
 from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.minhash import op2_near_dedup
+from tidemart.llm.mixing import op1_mixing
 from tidemart.llm.oracles import ORACLES
 from tidemart.llm.planes import op9_bitplane
 from tidemart.llm.quality import op5_quality
@@ -30,6 +31,7 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
+        op1_mixing,
         op2_near_dedup,
         op3_toxicity,
         op4_bpe,
