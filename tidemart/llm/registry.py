@@ -12,6 +12,7 @@ from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.mixing import op1_mixing
 from tidemart.llm.oracles import ORACLES
+from tidemart.llm.pii import op7_pii
 from tidemart.llm.planes import op9_bitplane
 from tidemart.llm.quality import op5_quality
 from tidemart.llm.shipping import ship
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {
         op4_bpe,
         op5_quality,
         op6_exact_dedup,
+        op7_pii,
         op8_fertility,
         op9_bitplane,
     )
