@@ -58,14 +58,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class ByteBpe:
-    """One vocabulary: a rank file's merges as a table of pairs, its tokens as another."""
+    """One vocabulary: a rank file's merges as a table of pairs, its tokens as another. The ids
+    of up to ``limit`` contracted words are held, for other pieces that have them."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, limit: int = 500_000):
         self.ranks = read_ranks(path)
         # White space as Unicode has it; the class \\s of this library has four characters more.
         pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.pattern = regex.compile(pattern)
         self.letters = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.words: dict[bytes, list[int]] = {}
+        self.limit = limit
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self.duck.register("tokens_in", self._vocabulary())
         self.duck.execute("CREATE TABLE vocabulary AS FROM tokens_in")
@@ -99,18 +102,21 @@ class ByteBpe:
     def encode_keys(self, keys: list[str]) -> list[list[int]]:
         """Ids of pieces; words of the pattern are merged apart, whole tokens not at all."""
         found = [[word.encode() for word in self.pattern.findall(literal(key))] for key in keys]
-        ids: dict[bytes, list[int]] = {}
+        new = set(chain.from_iterable(found)).difference(self.words)
+        if len(self.words) + len(new) > self.limit:
+            self.words.clear()
+            new = set(chain.from_iterable(found))
         rest = []
-        for word in set(chain.from_iterable(found)):
+        for word in new:
             rank = self.ranks.get(word)
             if rank is None:
                 rest.append(word)
             else:
-                ids[word] = [rank]
+                self.words[word] = [rank]
         for start in range(0, len(rest), WORDS_AT_ONCE):
             some = rest[start : start + WORDS_AT_ONCE]
-            ids.update(zip(some, self.contract(some)))
-        return [list(chain.from_iterable(map(ids.__getitem__, words))) for words in found]
+            self.words.update(zip(some, self.contract(some)))
+        return [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in found]
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of every text, from the ids of all texts one after another."""
@@ -128,7 +134,7 @@ class ByteBpe:
 def _bpe(path: str, pattern: str) -> tuple[ByteBpe, PieceIds]:
     """Kept by a Python worker from task to task."""
     bpe = ByteBpe(path, pattern)
-    return bpe, PieceIds(bpe.encode_keys)
+    return bpe, PieceIds(bpe.encode_keys, 900_000)
 
 
 def _run(path: str, pattern: str, digests: bool) -> Callable:
