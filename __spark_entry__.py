@@ -12,10 +12,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 import oracles  # noqa: E402
+from landing import WIDE, export, landing_lines, with_odd_lines  # noqa: E402
 from tidemart.plans import direct, gold, reports, silver  # noqa: E402
-from tidemart.plans.silver import ENTITIES  # noqa: E402
 from tidemart.plans.warehouse import Warehouse  # noqa: E402
-from tidemart.sources.landing import export, landing_lines  # noqa: E402
 from tidemart.sources.raw import read_manifest, read_source, source_summary, with_lineage  # noqa: E402
 from tidemart.sources.schemas import RAW_SOURCES, columns_of  # noqa: E402
 from tidemart.sources.staging import Staging  # noqa: E402
@@ -46,7 +45,7 @@ def _bronze(spark: SparkSession, sf_dir: str, *sources: str) -> dict[str, DataFr
 
 
 def _silver(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    entities = [ENTITIES[name] for name in names or ENTITIES]
+    entities = [WIDE[name] for name in names or WIDE]
     bronze = _bronze(spark, sf_dir, *[entity.source for entity in entities])
     return {
         entity.table: silver.clean(bronze[entity.source], entity, AS_OF) for entity in entities
@@ -74,17 +73,20 @@ def _unnumbered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 def q01_bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = landing_lines(spark, sf_dir, ["sales_details"])
+    lines["sales_details"] = with_odd_lines(lines["sales_details"])
     manifest = export(lines, f"{Staging(spark).path}/landing")
     return read_source(spark, "sales_details", manifest["sales_details"], LOAD_DATE)
 
 
 def q02_bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = export(landing_lines(spark, sf_dir), f"{Staging(spark).path}/landing")
+    lines = landing_lines(spark, sf_dir)
+    lines["sales_details"] = with_odd_lines(lines["sales_details"])
+    manifest = export(lines, f"{Staging(spark).path}/landing")
     return source_summary(read_manifest(spark, manifest, LOAD_DATE))
 
 
 def q03_split_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.arity_summary(_bronze(spark, sf_dir), ENTITIES)
+    return silver.arity_summary(_bronze(spark, sf_dir), WIDE)
 
 
 def _silver_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -92,7 +94,7 @@ def _silver_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quality(_bronze(spark, sf_dir), ENTITIES, AS_OF)
+    return silver.quality(_bronze(spark, sf_dir), WIDE, AS_OF)
 
 
 def q11_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +108,13 @@ def q12_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q13_join_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return direct.join_summary(*_unnumbered(spark, sf_dir))
+    """Both ways of treating missing keys, from weights: no pair is built."""
+    tables = _unnumbered(spark, sf_dir)
+    summaries = [
+        direct.join_summary(*tables, null_keys).selectExpr(f"'{null_keys}' AS null_keys", "*")
+        for null_keys in ("unmatched", "match")
+    ]
+    return summaries[0].unionByName(summaries[1])
 
 
 def q14_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,15 +157,42 @@ def q20_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q19_customer_sales(spark, sf_dir, top=5)
 
 
-def q21_layered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The country report over the fact, after every layer was written and read back."""
+def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse with every layer written."""
     root = Staging(spark).path
     manifest = export(landing_lines(spark, sf_dir), f"{root}/landing")
-    warehouse = Warehouse(spark, root, as_of=AS_OF, load_date=LOAD_DATE)
+    warehouse = Warehouse(spark, root, as_of=AS_OF, load_date=LOAD_DATE, entities=WIDE)
     warehouse.ingest(manifest)
     warehouse.refine()
     warehouse.model()
-    return warehouse.reports()["revenue_by_country"]
+    return warehouse
+
+
+def q21_layered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country report over the fact, after every layer was written and read back."""
+    return _stored(spark, sf_dir).reports()["revenue_by_country"]
+
+
+def q24_stored_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).reports()["monthly_trend"]
+
+
+def q25_stored_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).reports()["top_customers"]
+
+
+def q26_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the gold tables as stored, and the stored fact's rows without a date."""
+    warehouse = _stored(spark, sf_dir)
+    names = ("gold_dim_customer", "gold_dim_product", "gold_fact_sales")
+    tables = {name: warehouse.read("gold", name) for name in names}
+    tables["undated_facts"] = tables["gold_fact_sales"].where("order_date IS NULL")
+    return gold.table_counts(tables)
+
+
+def q27_line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country report over line amounts instead of unit prices."""
+    return direct.revenue_by_country(*_unnumbered(spark, sf_dir), measure="sales_amount")
 
 
 def q22_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,13 +202,17 @@ def q22_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q23_tolerant_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as JSON text, some of it cut short, doubled in its brace or empty."""
+    """Order lines as JSON text, some of it cut short, doubled, followed by other text, in
+    brackets, in single quotes or empty."""
     written = """format_string('{"order":%d,"line":%d,"flag":"%s"}',
         l_orderkey, l_linenumber, l_returnflag) AS record"""
-    damaged = """CASE l_linenumber % 5 WHEN 1 THEN left(record, length(record) - 1)
-        WHEN 2 THEN concat('{', record) WHEN 3 THEN '' ELSE record END AS value"""
+    damaged = """CASE (l_orderkey + l_linenumber) % 11
+        WHEN 1 THEN left(record, length(record) - 1) WHEN 2 THEN concat('{', record)
+        WHEN 3 THEN '' WHEN 4 THEN concat(record, record) WHEN 5 THEN concat(record, ' xyz')
+        WHEN 6 THEN concat(record, ',', record) WHEN 7 THEN concat('[', record, ']')
+        WHEN 8 THEN translate(record, '"', "'") ELSE record END AS value"""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    records = lines.selectExpr("l_linenumber", written).selectExpr(damaged)
+    records = lines.selectExpr("l_orderkey", "l_linenumber", written).selectExpr(damaged)
     return decode_summary(records, "order bigint, line int, flag string")
 
 
@@ -212,6 +251,10 @@ def warehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q21_layered_roundtrip": q21_layered_roundtrip,
         "q22_preview": q22_preview,
         "q23_tolerant_decode": q23_tolerant_decode,
+        "q24_stored_monthly": q24_stored_monthly,
+        "q25_stored_top_customers": q25_stored_top_customers,
+        "q26_stored_counts": q26_stored_counts,
+        "q27_line_amounts": q27_line_amounts,
     }
 
 

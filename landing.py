@@ -12,8 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.side_by_side import side_by_side
+from tidemart.plans.silver import entities
 from tidemart.sources.schemas import RAW_SOURCES
 
+# Keys are written in widths that hold at any size, and are never cut.
+_ORDER_DIGITS, _CUSTOMER_DIGITS = 16, 12
+WIDE = entities(
+    order_number_length=2 + _ORDER_DIGITS,
+    customer_id_length=_CUSTOMER_DIGITS,
+    customer_key_digits=_CUSTOMER_DIGITS,
+)
+
 
 def _pick(number: str, divisor: int, texts: dict[int, str], default: str) -> str:
     """Text chosen by the remainder of a number."""
@@ -33,22 +42,29 @@ def _compact(day: str) -> str:
     return f"replace(CAST({day} AS STRING), '-', '')"
 
 
+def _padded(number: str, digits: int, kind: str = "d") -> str:
+    """The number with leading zeros; longer where it has more digits."""
+    return f"format_string('%0{digits}{kind}', CAST({number} AS BIGINT))"
+
+
 def _with_customer_numbers(customer: DataFrame) -> DataFrame:
     return customer.selectExpr(
-        "c_custkey AS k", "c_nationkey AS nation", "lpad(c_custkey + 10000, 8, '0') AS id8"
+        "c_custkey AS k",
+        "c_nationkey AS nation",
+        f"{_padded('c_custkey + 10000', _CUSTOMER_DIGITS)} AS id",
     )
 
 
 def _part_key(part: str) -> str:
     """Every tenth key is shared by two parts."""
-    return f"concat('PK-', lpad(IF({part} % 10 = 1, {part} - 1, {part}), 5, '0'))"
+    return f"concat('PK-', {_padded(f'IF({part} % 10 = 1, {part} - 1, {part})', 5)})"
 
 
 def customer_info(customer: DataFrame) -> DataFrame:
     line = _line(
         "IF(k % 701 = 7, concat('X', k), CAST(k + 10000 AS STRING))",
-        "CASE WHEN k % 97 = 5 THEN concat('BAD', k) WHEN k % 4 = 1 THEN concat('aw', id8)"
-        " ELSE concat('AW', id8) END",
+        "CASE WHEN k % 97 = 5 THEN concat('BAD', k) WHEN k % 4 = 1 THEN concat('aw', id)"
+        " ELSE concat('AW', id) END",
         "IF(k % 31 = 0, '', concat(' First', k % 100, ' '))",
         "IF(k % 31 = 0 OR k % 29 = 0, '', concat('Last', k % 77))",
         _pick("k", 5, {0: "'M'", 1: "'f'", 2: "'F '", 3: "''"}, "'x'"),
@@ -67,8 +83,8 @@ def customer_info(customer: DataFrame) -> DataFrame:
 
 def customer_birth_date(customer: DataFrame) -> DataFrame:
     line = _line(
-        "CASE WHEN k % 43 = 2 THEN concat('AW', id8) WHEN k % 47 = 1 THEN ''"
-        " ELSE concat('NASAW', id8) END",
+        "CASE WHEN k % 43 = 2 THEN concat('AW', id) WHEN k % 47 = 1 THEN ''"
+        " ELSE concat('NASAW', id) END",
         _pick(
             "k",
             37,
@@ -80,7 +96,7 @@ def customer_birth_date(customer: DataFrame) -> DataFrame:
     return (
         _with_customer_numbers(customer)
         .where("k % 6 <> 5")
-        .selectExpr(f"IF(k % 199 = 1, concat('NASAW', id8), {line}) AS rawdata")
+        .selectExpr(f"IF(k % 199 = 1, concat('NASAW', id), {line}) AS rawdata")
     )
 
 
@@ -98,7 +114,7 @@ def customer_location(customer: DataFrame) -> DataFrame:
         9: "''",
     }
     line = _line(
-        _pick("k", 59, {3: "concat('AW', id8)", 4: "''"}, "concat('AW-', id8)"),
+        _pick("k", 59, {3: "concat('AW', id)", 4: "''"}, "concat('AW-', id)"),
         _pick("nation", 11, countries, "'Atlantis'"),
     )
     return (
@@ -108,7 +124,7 @@ def customer_location(customer: DataFrame) -> DataFrame:
 
 def category_products(part: DataFrame) -> DataFrame:
     line = _line(
-        "IF(n = 3, 'BR-03', concat('BR_', lpad(n, 2, '0')))",
+        f"IF(n = 3, 'BR-03', concat('BR_', {_padded('n', 2)}))",
         "IF(n = 5, '', concat('Category ', n % 4))",
         "IF(n = 6, '', concat('Sub ', n))",
         _pick("n", 3, {0: "'Yes'", 1: "'No'"}, "'maybe'"),
@@ -122,7 +138,7 @@ def product_info(part: DataFrame) -> DataFrame:
         "p_partkey AS p",
         "p_name AS name",
         "CAST(floor(p_retailprice) AS BIGINT) AS cost",
-        f"concat('BR-', lpad(substr(p_brand, 7), 2, '0'), '-', {_part_key('p_partkey')})"
+        f"concat('BR-', {_padded('substr(p_brand, 7)', 2)}, '-', {_part_key('p_partkey')})"
         " AS composite",
     )
     fields = _line(
@@ -153,18 +169,23 @@ def sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "CAST(l_shipdate AS DATE) AS shipped",
         "CAST(l_quantity AS BIGINT) AS q",
         "CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS pr",
-        "lpad(hex(l_orderkey), 5, '0') AS hex5",
+        f"{_padded('l_orderkey', _ORDER_DIGITS, 'X')} AS number",
         f"{_part_key('l_partkey')} AS part_key",
     )
     line = _line(
         _pick(
             "lo",
             331,
-            {1: "concat('SX', hex5)", 2: "concat('so', hex5)", 3: "'SO-12-4'"},
-            "concat('SO', hex5)",
+            {1: "concat('SX', number)", 2: "concat('so', number)", 3: "'SO-12-4'"},
+            "concat('SO', number)",
         ),
         "IF(lp % 173 = 9, 'PK9', part_key)",
-        _pick("lo", 499, {3: "'123'", 4: "'ABCDE'"}, "CAST(buyer + 10000 AS STRING)"),
+        _pick(
+            "lo",
+            499,
+            {3: "'123'", 4: "'ABCDEFGHIJKL'"},
+            _padded("buyer + 10000", _CUSTOMER_DIGITS),
+        ),
         _pick("lo", 211, {1: "''", 2: "'2010'", 3: "'20130231'"}, _compact("ordered")),
         _compact("shipped"),
         _pick(
@@ -206,21 +227,27 @@ def landing_lines(
     return lines
 
 
+def with_odd_lines(sales: DataFrame) -> DataFrame:
+    """Some sales lines once more, in ways that are hard to read: blank, of blanks only, with
+    quotes, after a NUL and around a U+0001."""
+    numbered = sales.withColumn("n", F.length("rawdata") % 11)
+    odd = F.expr(
+        """CASE n WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN concat('"', rawdata, '""')
+        WHEN 3 THEN concat(chr(0), rawdata) ELSE concat(rawdata, chr(1), ',x') END"""
+    )
+    extra = numbered.where("n < 5").select(odd.alias("rawdata"))
+    return sales.unionByName(extra)
+
+
 def export(lines: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """Write raw lines as header-topped text files; returns their manifest."""
     manifest = {name: f"{folder}/{name}" for name in lines}
 
     def write(name: str) -> None:
-        lines[name].write.csv(
-            manifest[name],
-            header=True,
-            sep="\u0001",
-            quote="\u0000",
-            escape="\u0000",
-            emptyValue="",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+        # One column of text is a line; the header goes before the first line of each file.
+        first = F.monotonically_increasing_id() % (1 << 33) == 0
+        text = F.when(first, F.concat(F.lit("rawdata\n"), "rawdata")).otherwise(F.col("rawdata"))
+        lines[name].select(text.alias("value")).write.text(manifest[name])
 
     side_by_side(next(iter(lines.values())).sparkSession, write, lines)
     return manifest

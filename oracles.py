@@ -14,7 +14,7 @@ TABLES: dict[str, str] = {}
 TABLES["land_customer_info"] = """
 SELECT CASE WHEN k % 211 = 3 THEN 'x,y,z' ELSE
     (CASE WHEN k % 701 = 7 THEN 'X' || k ELSE CAST(k + 10000 AS VARCHAR) END) || ',' ||
-    (CASE WHEN k % 97 = 5 THEN 'BAD' || k WHEN k % 4 = 1 THEN 'aw' || id8 ELSE 'AW' || id8 END) || ',' ||
+    (CASE WHEN k % 97 = 5 THEN 'BAD' || k WHEN k % 4 = 1 THEN 'aw' || id ELSE 'AW' || id END) || ',' ||
     (CASE WHEN k % 31 = 0 THEN '' ELSE ' First' || (k % 100) || ' ' END) || ',' ||
     (CASE WHEN k % 31 = 0 OR k % 29 = 0 THEN '' ELSE 'Last' || (k % 77) END) || ',' ||
     (CASE k % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'f' WHEN 2 THEN 'F ' WHEN 3 THEN '' ELSE 'x' END) || ',' ||
@@ -22,34 +22,34 @@ SELECT CASE WHEN k % 211 = 3 THEN 'x,y,z' ELSE
     (CASE k % 41 WHEN 0 THEN '2025-02-30' WHEN 1 THEN '2025-1-5' WHEN 2 THEN ''
         ELSE strftime(DATE '2020-01-01' + CAST(k % 1500 AS INTEGER), '%Y-%m-%d') END)
     END AS rawdata
-FROM (SELECT c_custkey AS k, lpad(CAST(c_custkey + 10000 AS VARCHAR), 8, '0') AS id8 FROM customer)
+FROM (SELECT c_custkey AS k, printf('%012d', c_custkey + 10000) AS id FROM customer)
 """
 
 TABLES["land_customer_birth_date"] = """
-SELECT CASE WHEN k % 199 = 1 THEN 'NASAW' || id8 ELSE
-    (CASE WHEN k % 43 = 2 THEN 'AW' || id8 WHEN k % 47 = 1 THEN '' ELSE 'NASAW' || id8 END) || ',' ||
+SELECT CASE WHEN k % 199 = 1 THEN 'NASAW' || id ELSE
+    (CASE WHEN k % 43 = 2 THEN 'AW' || id WHEN k % 47 = 1 THEN '' ELSE 'NASAW' || id END) || ',' ||
     (CASE k % 37 WHEN 0 THEN '' WHEN 1 THEN '1980-13-01' WHEN 2 THEN '80-01-01'
         ELSE strftime(DATE '1950-01-01' + CAST((k * 37) % 20000 AS INTEGER), '%Y-%m-%d') END) || ',' ||
     (CASE k % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'female' WHEN 2 THEN '' ELSE 'n/a' END)
     END AS rawdata
-FROM (SELECT c_custkey AS k, lpad(CAST(c_custkey + 10000 AS VARCHAR), 8, '0') AS id8 FROM customer)
+FROM (SELECT c_custkey AS k, printf('%012d', c_custkey + 10000) AS id FROM customer)
 WHERE k % 6 <> 5
 """
 
 TABLES["land_customer_location"] = """
-SELECT (CASE k % 59 WHEN 3 THEN 'AW' || id8 WHEN 4 THEN '' ELSE 'AW-' || id8 END) || ',' ||
+SELECT (CASE k % 59 WHEN 3 THEN 'AW' || id WHEN 4 THEN '' ELSE 'AW-' || id END) || ',' ||
     (CASE c_nationkey % 11 WHEN 0 THEN 'US' WHEN 1 THEN 'USA' WHEN 2 THEN 'United States'
         WHEN 3 THEN 'United Kingdom' WHEN 4 THEN 'Australia' WHEN 5 THEN 'Canada'
         WHEN 6 THEN 'France' WHEN 7 THEN 'Germany' WHEN 8 THEN 'DE' WHEN 9 THEN ''
         ELSE 'Atlantis' END) AS rawdata
 FROM (SELECT c_custkey AS k, c_nationkey,
-        lpad(CAST(c_custkey + 10000 AS VARCHAR), 8, '0') AS id8 FROM customer)
+        printf('%012d', c_custkey + 10000) AS id FROM customer)
 WHERE k % 8 <> 7
 """
 
 TABLES["land_category_products"] = """
 SELECT DISTINCT
-    (CASE WHEN n = 3 THEN 'BR-03' ELSE 'BR_' || lpad(CAST(n AS VARCHAR), 2, '0') END) || ',' ||
+    (CASE WHEN n = 3 THEN 'BR-03' ELSE 'BR_' || printf('%02d', n) END) || ',' ||
     (CASE WHEN n = 5 THEN '' ELSE 'Category ' || (n % 4) END) || ',' ||
     (CASE WHEN n = 6 THEN '' ELSE 'Sub ' || n END) || ',' ||
     (CASE n % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'maybe' END) AS rawdata
@@ -59,7 +59,7 @@ FROM (SELECT CAST(substr(p_brand, 7) AS INTEGER) AS n FROM part) WHERE n < 24
 TABLES["land_product_info"] = """
 SELECT CASE WHEN p % 89 = 0 THEN 'a,b,c,d,e' ELSE
     (CASE WHEN p % 101 = 0 THEN '1234' ELSE CAST(100 + p % 900 AS VARCHAR) END) || ',' ||
-    (CASE WHEN p % 103 = 0 THEN '' ELSE 'BR-' || lpad(CAST(n AS VARCHAR), 2, '0') || '-' || pk END) || ',' ||
+    (CASE WHEN p % 103 = 0 THEN '' ELSE 'BR-' || printf('%02d', n) || '-' || pk END) || ',' ||
     (CASE WHEN p % 61 = 0 THEN '' ELSE p_name END) || ',' ||
     (CASE p % 67 WHEN 0 THEN '' WHEN 1 THEN '-3' WHEN 2 THEN 'abc'
         ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) END) || ',' ||
@@ -70,18 +70,18 @@ SELECT CASE WHEN p % 89 = 0 THEN 'a,b,c,d,e' ELSE
     (CASE WHEN p % 83 = 0 THEN '' ELSE ',' END)
     END AS rawdata
 FROM (SELECT p_partkey AS p, p_name, p_retailprice, CAST(substr(p_brand, 7) AS INTEGER) AS n,
-        'PK-' || lpad(CAST(CASE WHEN p_partkey % 10 = 1 THEN p_partkey - 1 ELSE p_partkey END
-            AS VARCHAR), 5, '0') AS pk
+        'PK-' || printf('%05d', CASE WHEN p_partkey % 10 = 1 THEN p_partkey - 1 ELSE p_partkey END)
+            AS pk
       FROM part)
 """
 
 TABLES["land_sales_details"] = """
 SELECT
-    (CASE lo % 331 WHEN 1 THEN 'SX' || hex5 WHEN 2 THEN 'so' || hex5 WHEN 3 THEN 'SO-12-4'
-        ELSE 'SO' || hex5 END) || ',' ||
+    (CASE lo % 331 WHEN 1 THEN 'SX' || number WHEN 2 THEN 'so' || number WHEN 3 THEN 'SO-12-4'
+        ELSE 'SO' || number END) || ',' ||
     (CASE WHEN lp % 173 = 9 THEN 'PK9' ELSE pk END) || ',' ||
-    (CASE lo % 499 WHEN 3 THEN '123' WHEN 4 THEN 'ABCDE'
-        ELSE CAST(o_custkey + 10000 AS VARCHAR) END) || ',' ||
+    (CASE lo % 499 WHEN 3 THEN '123' WHEN 4 THEN 'ABCDEFGHIJKL'
+        ELSE printf('%012d', o_custkey + 10000) END) || ',' ||
     (CASE lo % 211 WHEN 1 THEN '' WHEN 2 THEN '2010' WHEN 3 THEN '20130231'
         ELSE strftime(CAST(o_orderdate AS DATE), '%Y%m%d') END) || ',' ||
     strftime(CAST(l_shipdate AS DATE), '%Y%m%d') || ',' ||
@@ -96,11 +96,11 @@ SELECT
     (CASE lp % 131 WHEN 1 THEN '' WHEN 2 THEN '-' || pr WHEN 3 THEN '0'
         ELSE CAST(pr AS VARCHAR) END) AS rawdata
 FROM (SELECT l_orderkey AS lo, l_partkey AS lp, l_shipdate, o_custkey, o_orderdate,
-        printf('%05X', l_orderkey) AS hex5,
+        printf('%016X', l_orderkey) AS number,
         CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS pr,
         CAST(l_quantity AS BIGINT) AS q,
-        'PK-' || lpad(CAST(CASE WHEN l_partkey % 10 = 1 THEN l_partkey - 1 ELSE l_partkey END
-            AS VARCHAR), 5, '0') AS pk
+        'PK-' || printf('%05d', CASE WHEN l_partkey % 10 = 1 THEN l_partkey - 1 ELSE l_partkey END)
+            AS pk
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 """
 
@@ -136,7 +136,7 @@ def _number(column: str) -> str:
 TABLES["all_customer_info"] = f"""
 SELECT *,
     CASE WHEN regexp_full_match(id, '[0-9]+') THEN TRY_CAST(id AS BIGINT) END AS customer_id_cleaned,
-    CASE WHEN regexp_full_match(upper(key), 'AW[0-9]{{8}}') THEN upper(key) END AS customer_key_cleaned,
+    CASE WHEN regexp_full_match(upper(key), 'AW[0-9]{{12}}') THEN upper(key) END AS customer_key_cleaned,
     CASE WHEN first = '' AND last = '' THEN NULL WHEN first = '' THEN last
         WHEN last = '' THEN first ELSE first || ' ' || last END AS customer_name_cleaned,
     CASE WHEN marital IN ('M', 'm') THEN 'Married' WHEN marital IN ('S', 's') THEN 'Single' END
@@ -158,7 +158,7 @@ SELECT customer_key, birth_date, gender,
         - CASE WHEN strftime(DATE '{AS_OF}', '%m%d') < strftime(birth_date, '%m%d')
             THEN 1 ELSE 0 END AS INTEGER) AS age
 FROM (SELECT
-        CASE WHEN regexp_full_match(upper(key), 'NASAW[0-9]{{8}}') THEN substr(upper(key), 4) END
+        CASE WHEN regexp_full_match(upper(key), 'NASAW[0-9]{{12}}') THEN substr(upper(key), 4) END
             AS customer_key,
         {_iso("born")} AS birth_date,
         CASE lower(word) WHEN 'male' THEN 'Male' WHEN 'female' THEN 'Female' END AS gender
@@ -168,7 +168,7 @@ TABLES["silver_customer_birth"] = "SELECT * FROM all_customer_birth WHERE custom
 
 TABLES["all_customer_location"] = f"""
 SELECT
-    CASE WHEN regexp_full_match(upper(key), 'AW-[0-9]{{8}}') THEN 'AW' || substr(key, 4) END
+    CASE WHEN regexp_full_match(upper(key), 'AW-[0-9]{{12}}') THEN 'AW' || substr(key, 4) END
         AS customer_location_key,
     CASE WHEN country IN ('US', 'USA', 'United States') THEN 'United States'
         WHEN country IN ('DE', 'Germany') THEN 'Germany'
@@ -219,11 +219,11 @@ FROM (SELECT *, CASE WHEN p0 > 0 THEN p0 ELSE amount1 / q END AS unit
         FROM (SELECT *,
                 {_number("amount")} AS a0, {_number("quantity")} AS q0, {_number("price")} AS p0,
                 {_compact("ordered")} AS order_day, {_compact("due")} AS due_day,
-                CASE WHEN regexp_full_match(num, 'SO[0-9A-Za-z]{{5}}') THEN num ELSE 'N/A' END
+                CASE WHEN regexp_full_match(num, 'SO[0-9A-Za-z]{{16}}') THEN num ELSE 'N/A' END
                     AS order_no,
                 CASE WHEN length(product) > 2 AND product[3] = '-' THEN product ELSE 'N/A' END
                     AS product_no,
-                CASE WHEN length(buyer) = 5 THEN TRY_CAST(buyer AS BIGINT) END AS buyer_no
+                CASE WHEN length(buyer) = 12 THEN TRY_CAST(buyer AS BIGINT) END AS buyer_no
             FROM ({_fields("sales_details", 9, {"num": 0, "product": 1, "buyer": 2, "ordered": 3, "due": 5, "amount": 6, "quantity": 7, "price": 8})}))))
 """
 TABLES["silver_sales_details"] = """
@@ -272,8 +272,16 @@ SELECT s.sls_ord_num AS order_number, c.unique_number_customer AS customer_uniqu
     s.sls_due_date AS order_shipping_date, s.sales_sls_price AS sales_amount,
     s.sales_quantity, s.sales_price AS price
 FROM silver_sales_details s
-LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key
-LEFT JOIN gold_dim_customer c ON s.sls_cust_id IS NOT DISTINCT FROM c.customer_id
+LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key AND p.prod_key <> 'N/A'
+LEFT JOIN gold_dim_customer c ON s.sls_cust_id = c.customer_id
+"""
+
+TABLES["export_sales_details"] = """
+SELECT rawdata FROM land_sales_details
+UNION ALL
+SELECT CASE length(rawdata) % 11 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN '"' || rawdata || '""'
+    WHEN 3 THEN chr(0) || rawdata ELSE rawdata || chr(1) || ',x' END
+FROM land_sales_details WHERE length(rawdata) % 11 < 5
 """
 
 TABLES["sales_customer"] = """
@@ -348,10 +356,10 @@ _RULES = (
     ("product_info", "product_start_date", "product_start_date IS NULL"),
     ("sales_details", "order_number", "order_no = 'N/A'"),
     ("sales_details", "sold_product_key", "product_no = 'N/A'"),
-    ("sales_details", "buyer_id", "length(buyer) <> 5"),
+    ("sales_details", "buyer_id", "length(buyer) <> 12"),
     ("sales_details", "order_date", "length(ordered) = 8 AND order_day IS NULL"),
     ("sales_details", "due_date", "length(due) = 8 AND due_day IS NULL"),
-    ("sales_details", "buyer_id_not_numeric", "length(buyer) = 5 AND buyer_no IS NULL"),
+    ("sales_details", "buyer_id_not_numeric", "length(buyer) = 12 AND buyer_no IS NULL"),
 )
 
 _FACT_ORDER = ", ".join(
@@ -375,10 +383,10 @@ SELECT country AS customer_country, sum(price) AS revenue FROM sales_customer GR
 _QUERIES: dict[str, str] = {
     "q01_bronze_envelope": f"""
 SELECT rawdata, 'sales_details' AS path_name, DATE '{LOAD_DATE}' AS load_date
-FROM land_sales_details""",
+FROM export_sales_details""",
     "q02_bronze_manifest": " UNION ALL ".join(
         f"SELECT '{name}' AS path_name, count(*) AS rows, min(rawdata) AS sample_line "
-        f"FROM land_{name}"
+        f"FROM {'export' if name == 'sales_details' else 'land'}_{name}"
         for name in _SOURCES
     ),
     "q03_split_guard": " UNION ALL ".join(
@@ -400,23 +408,25 @@ FROM land_sales_details""",
     ),
     "q11_dim_customer": "SELECT * FROM gold_dim_customer",
     "q12_dim_product": "SELECT * FROM gold_dim_product",
-    "q13_join_cardinality": """
-SELECT 'sales to product' AS join_name,
-    (SELECT count(*) FROM silver_sales_details) AS left_rows,
-    (SELECT count(*) FROM silver_sales_details
-        WHERE sls_prd_key IN (SELECT prod_key FROM gold_dim_product)) AS matched_rows,
-    (SELECT count(*) FROM silver_sales_details
-        WHERE sls_prd_key NOT IN (SELECT prod_key FROM gold_dim_product)) AS unmatched_rows,
-    (SELECT count(*) FROM silver_sales_details s
-        LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key) AS output_rows
+    "q13_join_cardinality": " UNION ALL ".join(
+        f"""
+SELECT '{null_keys}' AS null_keys, 'sales to product' AS join_name, count(*) AS left_rows,
+    count(*) FILTER (versions > 0) AS matched_rows, count(*) FILTER (versions = 0) AS unmatched_rows,
+    sum(greatest(versions, 1))::BIGINT AS output_rows
+FROM (SELECT (SELECT count(*) FROM gold_dim_product p WHERE s.sls_prd_key = p.prod_key {real})
+        AS versions FROM silver_sales_details s)
 UNION ALL
-SELECT 'sales to customer',
-    count(*), count(*) FILTER (known), count(*) FILTER (NOT known),
-    (SELECT count(*) FROM gold_fact_sales)
-FROM (SELECT EXISTS (FROM gold_dim_customer c
-            WHERE c.customer_id IS NOT DISTINCT FROM s.sls_cust_id) AS known
+SELECT '{null_keys}', 'sales to customer', count(*), count(*) FILTER (buyers > 0),
+    count(*) FILTER (buyers = 0), sum(greatest(buyers, 1))::BIGINT
+FROM (SELECT (SELECT count(*) FROM gold_dim_customer c WHERE c.customer_id {same} s.sls_cust_id)
+        AS buyers
     FROM silver_sales_details s
-    LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key)""",
+    LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key {real})"""
+        for null_keys, real, same in (
+            ("unmatched", "AND p.prod_key <> 'N/A'", "="),
+            ("match", "", "IS NOT DISTINCT FROM"),
+        )
+    ),
     "q14_fact_sales": "SELECT * FROM gold_fact_sales",
     "q15_gold_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
@@ -440,13 +450,28 @@ FROM (SELECT CAST(month(order_date) AS INTEGER) AS month_num,
     "q22_preview": f"SELECT * FROM gold_fact_sales ORDER BY {_FACT_ORDER} LIMIT 10",
     "q23_tolerant_decode": """
 SELECT count(*) FILTER (good) AS accepted, count(*) FILTER (NOT good) AS rejected
-FROM (SELECT coalesce(json_valid(CASE l_linenumber % 5
-        WHEN 1 THEN record[:-2] WHEN 2 THEN '{' || record WHEN 3 THEN '' ELSE record END), false)
-        AS good
-    FROM (SELECT l_linenumber,
+FROM (SELECT coalesce(json_valid(value) AND value LIKE '{%', false) AS good
+    FROM (SELECT CASE (l_orderkey + l_linenumber) % 11
+        WHEN 1 THEN record[:-2] WHEN 2 THEN '{' || record WHEN 3 THEN '' WHEN 4 THEN record || record
+        WHEN 5 THEN record || ' xyz' WHEN 6 THEN record || ',' || record
+        WHEN 7 THEN '[' || record || ']' WHEN 8 THEN replace(record, '"', '''') ELSE record END
+        AS value
+    FROM (SELECT l_orderkey, l_linenumber,
             '{"order":' || l_orderkey || ',"line":' || l_linenumber || ',"flag":"' ||
             l_returnflag || '"}' AS record
-        FROM lineitem))""",
+        FROM lineitem)))""",
+    "q27_line_amounts": """
+SELECT CASE WHEN known THEN c.country ELSE 'N/A' END AS customer_country, sum(sales_amount) AS revenue
+FROM (SELECT f.*, c.country, c.unique_number_customer IS NOT NULL AS known FROM gold_fact_sales f
+    LEFT JOIN gold_dim_customer c ON f.customer_unique_num = c.unique_number_customer) c
+GROUP BY 1""",
+}
+
+_QUERIES |= {
+    "q24_stored_monthly": _QUERIES["q18_monthly_trend"],
+    "q25_stored_top_customers": _QUERIES["q20_top_customers"],
+    "q26_stored_counts": _QUERIES["q15_gold_counts"]
+    + " UNION ALL SELECT 'undated_facts', count(*) FROM gold_fact_sales WHERE order_date IS NULL",
 }
 
 

@@ -10,7 +10,7 @@ import pytest
 from tidemart.functions import catalog, customers, dates, numbers, sales
 from tidemart.functions.text import (
     WHITE_SPACE,
-    field_count,
+    fields_of,
     filled,
     or_not_available,
     recode,
@@ -216,7 +216,7 @@ CASES = {
             ("2013-7-1", "bad_date"),
         ],
     ),
-    "field count": (field_count("x"), [("a,b,c", 3), ("a,b,", 3), (",", 2), ("", 1), ("a", 1)]),
+    "field count": (f"size({fields_of('x')})", [("a,b,c", 3), ("a,b,", 3), (",", 2), ("", 1), ("a", 1)]),
 }
 
 

@@ -22,28 +22,31 @@ COUNTRY_NAMES = {
     "DE": "Germany",
 }
 
-# Fixed patterns: the three spellings of a customer key.
-CUSTOMER_KEY = r"\AAW[0-9]{8}\z"
-BIRTH_KEY = r"\ANASAW[0-9]{8}\z"
-LOCATION_KEY = r"\AAW-[0-9]{8}\z"
+# How the three spellings of a customer key begin, and their digits.
+CUSTOMER_KEY, BIRTH_KEY, LOCATION_KEY = "AW", "NASAW", "AW-"
+KEY_DIGITS = 8
 
 
-def customer_key(text: str) -> str:
-    """``AW`` and eight digits, upper-cased, else NULL."""
+def _spelled(key: str, start: str, digits: int) -> str:
+    return matches(key, rf"\A{start}[0-9]{{{digits}}}\z")
+
+
+def customer_key(text: str, digits: int = KEY_DIGITS) -> str:
+    """``AW`` and so many digits, upper-cased, else NULL."""
     key = f"upper({text})"
-    return f"CASE WHEN {matches(key, CUSTOMER_KEY)} THEN {key} END"
+    return f"CASE WHEN {_spelled(key, CUSTOMER_KEY, digits)} THEN {key} END"
 
 
-def customer_key_of_birth(text: str) -> str:
+def customer_key_of_birth(text: str, digits: int = KEY_DIGITS) -> str:
     """Customer key carried by a ``NASAW…`` key, else NULL."""
     key = f"upper({text})"
-    return f"CASE WHEN {matches(key, BIRTH_KEY)} THEN substr({key}, 4) END"
+    return f"CASE WHEN {_spelled(key, BIRTH_KEY, digits)} THEN substr({key}, 4) END"
 
 
-def customer_key_of_location(text: str) -> str:
+def customer_key_of_location(text: str, digits: int = KEY_DIGITS) -> str:
     """Customer key carried by an ``AW-…`` key, else NULL."""
     key = f"upper({text})"
-    return f"CASE WHEN {matches(key, LOCATION_KEY)} THEN replace({key}, '-', '') END"
+    return f"CASE WHEN {_spelled(key, LOCATION_KEY, digits)} THEN replace({key}, '-', '') END"
 
 
 def full_name(first: str, last: str) -> str:

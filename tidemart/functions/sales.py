@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame
 from tidemart.functions.numbers import cents
 from tidemart.functions.text import NOT_AVAILABLE, literal, matches
 
-# Order numbers are case-sensitive, customer ids have a fixed length.
-ORDER_NUMBER = r"\ASO[0-9A-Za-z]{5}\z"
+# Order numbers are case-sensitive; they and customer ids have a fixed length.
+ORDER_NUMBER_LENGTH = 7
 CUSTOMER_ID_LENGTH = 5
 
 _NONE = literal(NOT_AVAILABLE)
 
 
-def order_number(text: str) -> str:
-    return f"CASE WHEN {matches(text, ORDER_NUMBER)} THEN {text} ELSE {_NONE} END"
+def order_number(text: str, length: int = ORDER_NUMBER_LENGTH) -> str:
+    """``SO`` and letters or digits, else ``'N/A'``."""
+    pattern = rf"\ASO[0-9A-Za-z]{{{length - 2}}}\z"
+    return f"CASE WHEN {matches(text, pattern)} THEN {text} ELSE {_NONE} END"
 
 
 def sold_product_key(text: str) -> str:
@@ -23,9 +25,9 @@ def sold_product_key(text: str) -> str:
     return f"CASE WHEN substr({text}, 3, 1) = '-' THEN {text} ELSE {_NONE} END"
 
 
-def buyer_id(text: str) -> str:
-    """BIGINT of a five-character customer id, else NULL."""
-    return f"CASE WHEN length({text}) = {CUSTOMER_ID_LENGTH} THEN try_cast({text} AS BIGINT) END"
+def buyer_id(text: str, length: int = CUSTOMER_ID_LENGTH) -> str:
+    """BIGINT of a customer id of so many characters, else NULL."""
+    return f"CASE WHEN length({text}) = {length} THEN try_cast({text} AS BIGINT) END"
 
 
 def reconcile_amounts(df: DataFrame, amount: str, quantity: str, price: str) -> DataFrame:

@@ -47,9 +47,13 @@ def recode(code: str, labels: Mapping[str, str], default: str | None = None) ->
     return f"CASE {code} {cases}{other} END"
 
 
-def field_count(line: str) -> str:
-    """Number of comma-separated fields, from the commas alone."""
-    return f"length({line}) - length(replace({line}, ',', '')) + 1"
+def fields_of(line: str) -> str:
+    """Every comma separates; there is no quoting."""
+    return f"split({line}, ',')"
+
+
+def has_fields(parts: str, arity: int) -> str:
+    return f"size({parts}) >= {arity}"
 
 
 def or_not_available(value: str, matched: str) -> str:

@@ -7,6 +7,8 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.text import NOT_AVAILABLE, literal
+
 NullKeys = Literal["match", "unmatched"]
 
 
@@ -17,6 +19,11 @@ def key_equality(left: str, right: str, null_keys: NullKeys) -> str:
     return f"{left} {'<=>' if null_keys == 'match' else '='} {right}"
 
 
+def with_real_key(right: DataFrame, key: str, null_keys: NullKeys) -> DataFrame:
+    """Rows that a join may find by a key that says ``'N/A'`` when there is none."""
+    return right if null_keys == "match" else right.where(f"{key} <> {literal(NOT_AVAILABLE)}")
+
+
 def left_join(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
     return left.join(right, F.expr(condition), "left")
 

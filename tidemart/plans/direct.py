@@ -1,8 +1,8 @@
 """The reports straight from silver sales, without the fact rows.
 
-The fact holds one row for every product version and every customer that a sale meets, so
-sales without customer id times customers without id grow with the square of the data. The
-reports only add such rows up. Here each sale carries the number of fact rows it stands for
+The fact holds one row for every product version and every customer that a sale meets. With
+``null_keys="match"`` sales without a key times products or customers without one grow with
+the square of the data. The reports only add such rows up. Here each sale carries the number of fact rows it stands for
 and is added up before it meets any customer, so that the work stays in proportion to the
 tables. Results equal those of :mod:`tidemart.plans.reports` over the fact.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators.joins import NullKeys, fan_out, key_equality, left_join
+from tidemart.operators.joins import NullKeys, fan_out, key_equality, left_join, with_real_key
 from tidemart.plans.reports import (
     Measure,
     country_report,
@@ -32,14 +32,17 @@ def _measured(sales: DataFrame, measure: Measure) -> DataFrame:
     )
 
 
-def _by_product(sales: DataFrame, products: DataFrame) -> DataFrame:
+def _by_product(sales: DataFrame, products: DataFrame, null_keys: NullKeys) -> DataFrame:
+    products = with_real_key(products, "prod_key", null_keys)
     return fan_out(sales, products, "sls_prd_key", "prod_key", "unmatched")
 
 
-def _buyer_totals(sales: DataFrame, products: DataFrame, measure: Measure) -> DataFrame:
+def _buyer_totals(
+    sales: DataFrame, products: DataFrame, measure: Measure, null_keys: NullKeys
+) -> DataFrame:
     """Sales and fact rows per customer id, one row for the missing id."""
     return (
-        _by_product(_measured(sales, measure), products)
+        _by_product(_measured(sales, measure), products, null_keys)
         .groupBy("sls_cust_id")
         .agg(F.expr("sum(value * row_weight) AS sales"), F.expr("sum(row_weight) AS orders"))
     )
@@ -49,7 +52,7 @@ def revenue_by_country(
     sales: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    null_keys: NullKeys = "match",
+    null_keys: NullKeys = "unmatched",
     measure: Measure = "price",
 ) -> DataFrame:
     """``customers`` need their id and country, no surrogate numbers. They are counted per
@@ -58,7 +61,7 @@ def revenue_by_country(
         F.expr("count(*) AS unique_number_customer")
     )
     same_buyer = key_equality("sls_cust_id", "customer_id", null_keys)
-    attributed = left_join(_buyer_totals(sales, products, measure), counted, same_buyer)
+    attributed = left_join(_buyer_totals(sales, products, measure, null_keys), counted, same_buyer)
     return country_report(
         attributed.selectExpr(
             "unique_number_customer",
@@ -73,7 +76,7 @@ def customer_ranking(
     products: DataFrame,
     customers: DataFrame,
     top: int | None = None,
-    null_keys: NullKeys = "match",
+    null_keys: NullKeys = "unmatched",
     measure: Measure = "price",
 ) -> DataFrame:
     """``customers`` are the numbered dimension. Ids that no customer has share one row.
@@ -81,7 +84,7 @@ def customer_ranking(
     Known and unknown ids go separate ways over the same shuffled totals: an inner join
     lets adaptive execution split an id that very many customers share.
     """
-    totals = _buyer_totals(sales, products, measure)
+    totals = _buyer_totals(sales, products, measure, null_keys)
     known = customers.select("customer_id", "unique_number_customer", "country", "gender")
     same_buyer = F.expr(key_equality("sls_cust_id", "customer_id", null_keys))
     columns = ["unique_number_customer", "country", "gender", "sales", "orders"]
@@ -104,14 +107,14 @@ def monthly_trend(
     sales: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    null_keys: NullKeys = "match",
+    null_keys: NullKeys = "unmatched",
     measure: Measure = "price",
 ) -> DataFrame:
     """``customers`` need their id only. Sales are added up per month and customer id
     before the number of customers with that id multiplies them."""
     dated = _measured(sales, measure).where("sls_order_date IS NOT NULL")
     monthly = (
-        _by_product(dated, products)
+        _by_product(dated, products, null_keys)
         .groupBy(F.expr("month(sls_order_date)").alias("month_num"), "sls_cust_id")
         .agg(F.expr("sum(value * row_weight) AS value"), F.expr("sum(row_weight) AS row_weight"))
     )
@@ -125,21 +128,21 @@ def monthly_trend(
 
 
 def fact_size(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "match"
+    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "unmatched"
 ) -> DataFrame:
     """Number of fact rows, as ``rows``."""
-    weighted = _by_product(sales.select("sls_prd_key", "sls_cust_id"), products)
+    weighted = _by_product(sales.select("sls_prd_key", "sls_cust_id"), products, null_keys)
     per_buyer = weighted.groupBy("sls_cust_id").agg(F.expr("sum(row_weight) AS row_weight"))
     counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys)
     return counted.selectExpr("coalesce(sum(row_weight), 0) AS rows")
 
 
 def join_summary(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "match"
+    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "unmatched"
 ) -> DataFrame:
     """Rows entering each join of the fact, with and without a partner, and leaving it."""
     per_buyer = (
-        _by_product(sales.select("sls_prd_key", "sls_cust_id"), products)
+        _by_product(sales.select("sls_prd_key", "sls_cust_id"), products, null_keys)
         .groupBy("sls_cust_id")
         .agg(
             F.expr("sum(left_rows) AS sold"),

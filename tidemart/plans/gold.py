@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from tidemart.functions.customers import country_of_location, preferred_gender
 from tidemart.functions.text import or_not_available
 from tidemart.operators.dense_index import dense_index
-from tidemart.operators.hot_keys import hot_keys_split
-from tidemart.operators.joins import NullKeys, key_equality, left_join
+from tidemart.operators.joins import NullKeys, key_equality, left_join, with_real_key
 from tidemart.operators.side_by_side import side_by_side
 from tidemart.sources.staging import Staging
 
@@ -19,13 +18,15 @@ from tidemart.sources.staging import Staging
 def customer_rows(customers: DataFrame, births: DataFrame, locations: DataFrame) -> DataFrame:
     """Customers with birth and location attached. Copies on any side multiply.
 
-    Both joins use the customer key, so one partitioning serves the two of them.
+    The keys are never NULL, so the second equality means the same as the first. It is
+    partitioned by other expressions: each join has a shuffle of its own, in which adaptive
+    execution can split a hot key.
     """
     born = births.selectExpr(
         "customer_key AS birth_key", "birth_date", "gender AS birth_gender", "age"
     )
     with_birth = left_join(customers, born, "customer_key_cleaned = birth_key")
-    located = left_join(with_birth, locations, "customer_key_cleaned = customer_location_key")
+    located = left_join(with_birth, locations, "customer_key_cleaned <=> customer_location_key")
     return located.selectExpr(
         "customer_key_cleaned AS customer_key",
         "customer_id_cleaned AS customer_id",
@@ -82,23 +83,23 @@ def dimensions(
     def products() -> DataFrame:
         return dim_product(silver["product_info"], silver["category_products"], staging)
 
-    with hot_keys_split(staging.spark):
-        customer, product = side_by_side(
-            staging.spark, lambda build: build(), [customers, products]
-        )
+    customer, product = side_by_side(staging.spark, lambda build: build(), [customers, products])
     return customer, product
 
 
 def fact_sales(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "match"
+    sales: DataFrame, products: DataFrame, customers: DataFrame, null_keys: NullKeys = "unmatched"
 ) -> DataFrame:
     """Sales with the surrogate numbers of their product and customer.
 
-    A sale meets every version of its product. With ``null_keys="match"`` a sale without
-    customer id meets every customer without id; ``"unmatched"`` leaves it alone. A NULL
-    surrogate means no partner. The due date is published as ``order_shipping_date``.
+    A sale meets every version of its product. A sale whose product key is not available, or
+    whose customer id is missing, has no partner. With ``null_keys="match"`` it meets every
+    product or customer that lacks the key as well, as many pairs as the product of both.
+    A NULL surrogate means no partner. The due date is published as ``order_shipping_date``.
     """
-    product = products.selectExpr("prod_key", "unique_number AS product_unique_num")
+    product = with_real_key(products, "prod_key", null_keys).selectExpr(
+        "prod_key", "unique_number AS product_unique_num"
+    )
     customer = customers.selectExpr(
         "customer_id", "unique_number_customer AS customer_unique_num"
     )

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import catalog, customers, dates, numbers, sales
-from tidemart.functions.text import PLAIN_LINE, field_count, filled, matches, trimmed
+from tidemart.functions.text import PLAIN_LINE, fields_of, filled, has_fields, matches, trimmed
 from tidemart.operators.quality import count_invalid
 from tidemart.sources.schemas import columns_of
 
@@ -43,9 +43,9 @@ def split_fields(bronze: DataFrame, entity: Entity) -> DataFrame:
     they would split every line again for each condition.
     """
     parts = bronze.where("rawdata IS NOT NULL").selectExpr(
-        f"stack(1, split(rawdata, ','), {matches('rawdata', PLAIN_LINE)}) AS (parts, plain)"
+        f"stack(1, {fields_of('rawdata')}, {matches('rawdata', PLAIN_LINE)}) AS (parts, plain)"
     )
-    return parts.where(f"size(parts) >= {entity.arity}").selectExpr(
+    return parts.where(has_fields('parts', entity.arity)).selectExpr(
         *[
             f"{trimmed(f'get(parts, {position})', 'plain')} AS {name}"
             for name, position in entity.positions.items()
@@ -87,18 +87,18 @@ def arity_summary(
         bronze[entity.source].agg(
             F.lit(entity.table).alias("entity"),
             F.count("*").alias("raw_rows"),
-            F.expr(f"count_if({field_count('rawdata')} >= {entity.arity})").alias("usable_rows"),
+            F.count_if(F.expr(has_fields(fields_of("rawdata"), entity.arity))).alias("usable_rows"),
         )
         for entity in entities.values()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-def _customer(fields: DataFrame, as_of: str) -> DataFrame:
+def _customer(fields: DataFrame, as_of: str, digits: int) -> DataFrame:
     return fields.selectExpr(
         "*",
         f"{numbers.digits_only('raw_id')} AS customer_id_cleaned",
-        f"{customers.customer_key('raw_key')} AS customer_key_cleaned",
+        f"{customers.customer_key('raw_key', digits)} AS customer_key_cleaned",
         f"{customers.full_name('raw_first', 'raw_last')} AS customer_name_cleaned",
         f"{customers.marital_status('raw_marital')} AS customer_martial_cleaned",
         f"{customers.gender_of_letter('raw_gender')} AS customer_gender_cleaned",
@@ -106,19 +106,19 @@ def _customer(fields: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def _birth(fields: DataFrame, as_of: str) -> DataFrame:
+def _birth(fields: DataFrame, as_of: str, digits: int) -> DataFrame:
     return fields.selectExpr(
         "*",
-        f"{customers.customer_key_of_birth('raw_key')} AS customer_key",
+        f"{customers.customer_key_of_birth('raw_key', digits)} AS customer_key",
         f"{dates.dashed_date('raw_birth')} AS birth_date",
         f"{customers.gender_of_word('raw_gender')} AS gender",
     ).selectExpr("*", f"{dates.completed_years('birth_date', as_of)} AS age")
 
 
-def _location(fields: DataFrame, as_of: str) -> DataFrame:
+def _location(fields: DataFrame, as_of: str, digits: int) -> DataFrame:
     return fields.selectExpr(
         "*",
-        f"{customers.customer_key_of_location('raw_key')} AS customer_location_key",
+        f"{customers.customer_key_of_location('raw_key', digits)} AS customer_location_key",
         f"{customers.country_name('raw_country')} AS customer_location_state",
     )
 
@@ -147,12 +147,12 @@ def _product(fields: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def _sale(fields: DataFrame, as_of: str) -> DataFrame:
+def _sale(fields: DataFrame, as_of: str, order_length: int, id_length: int) -> DataFrame:
     typed = fields.selectExpr(
         "*",
-        f"{sales.order_number('raw_order')} AS sls_ord_num",
+        f"{sales.order_number('raw_order', order_length)} AS sls_ord_num",
         f"{sales.sold_product_key('raw_product')} AS sls_prd_key",
-        f"{sales.buyer_id('raw_customer')} AS sls_cust_id",
+        f"{sales.buyer_id('raw_customer', id_length)} AS sls_cust_id",
         f"{dates.compact_date('raw_ordered')} AS sls_order_date",
         f"{dates.compact_date('raw_due')} AS sls_due_date",
         f"{numbers.number('raw_amount')} AS sales_sls_price",
@@ -164,9 +164,13 @@ def _sale(fields: DataFrame, as_of: str) -> DataFrame:
     return sales.reconcile_amounts(typed, "sales_sls_price", "sales_quantity", "sales_price")
 
 
-ENTITIES: dict[str, Entity] = {
-    entity.table: entity
-    for entity in (
+def entities(
+    order_number_length: int = sales.ORDER_NUMBER_LENGTH,
+    customer_id_length: int = sales.CUSTOMER_ID_LENGTH,
+    customer_key_digits: int = customers.KEY_DIGITS,
+) -> dict[str, Entity]:
+    """The entities by table, for exports whose keys have these lengths."""
+    every = (
         Entity(
             table="customer_info",
             source="customer_info",
@@ -180,7 +184,7 @@ ENTITIES: dict[str, Entity] = {
                 "raw_marital": 5,
                 "raw_created": 6,
             },
-            clean=_customer,
+            clean=partial(_customer, digits=customer_key_digits),
             keep="customer_key_cleaned IS NOT NULL",
             rules={"customer_name": "customer_name_cleaned IS NULL"},
         ),
@@ -189,7 +193,7 @@ ENTITIES: dict[str, Entity] = {
             source="customer_birth_date",
             arity=3,
             positions={"raw_key": 0, "raw_birth": 1, "raw_gender": 2},
-            clean=_birth,
+            clean=partial(_birth, digits=customer_key_digits),
             keep="customer_key IS NOT NULL",
             rules={
                 "birth_key": "customer_key IS NULL",
@@ -203,7 +207,7 @@ ENTITIES: dict[str, Entity] = {
             source="customer_location",
             arity=2,
             positions={"raw_key": 0, "raw_country": 1},
-            clean=_location,
+            clean=partial(_location, digits=customer_key_digits),
             keep="customer_location_key IS NOT NULL",
             rules={
                 "location_key": "customer_location_key IS NULL",
@@ -264,17 +268,21 @@ ENTITIES: dict[str, Entity] = {
                 "raw_quantity": 7,
                 "raw_price": 8,
             },
-            clean=_sale,
+            clean=partial(_sale, order_length=order_number_length, id_length=customer_id_length),
             keep="sls_ord_num <> 'N/A'",
             rules={
                 "order_number": "sls_ord_num = 'N/A'",
                 "sold_product_key": "sls_prd_key = 'N/A'",
-                "buyer_id": "length(raw_customer) <> 5",
+                "buyer_id": f"length(raw_customer) <> {customer_id_length}",
                 # Dates that are empty or of another length are not errors here.
                 "order_date": "length(raw_ordered) = 8 AND sls_order_date IS NULL",
                 "due_date": "length(raw_due) = 8 AND sls_due_date IS NULL",
-                "buyer_id_not_numeric": "length(raw_customer) = 5 AND sls_cust_id IS NULL",
+                "buyer_id_not_numeric": f"length(raw_customer) = {customer_id_length}"
+                    " AND sls_cust_id IS NULL",
             },
         ),
     )
-}
+    return {entity.table: entity for entity in every}
+
+
+ENTITIES = entities()

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tidemart.operators.hot_keys import hot_keys_split
 from tidemart.operators.joins import NullKeys
 from tidemart.operators.quality import observe_invalid, observed_quality
 from tidemart.operators.side_by_side import side_by_side
@@ -28,7 +27,7 @@ class Warehouse:
     root: str
     as_of: dt.date | None = None
     load_date: dt.date | None = None
-    null_keys: NullKeys = "match"
+    null_keys: NullKeys = "unmatched"
     entities: Mapping[str, Entity] = field(default_factory=lambda: ENTITIES)
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -76,8 +75,7 @@ class Warehouse:
             self.read("gold", "gold_dim_customer"),
             self.null_keys,
         )
-        with hot_keys_split(self.spark):
-            write_table(fact, self.root, "gold", "gold_fact_sales")
+        write_table(fact, self.root, "gold", "gold_fact_sales")
 
     def reports(self, top: int = 5, measure: reports.Measure = "price") -> dict[str, DataFrame]:
         """The reports as DataFrames over the stored gold tables."""
@@ -96,10 +94,11 @@ def run(
     root: str,
     as_of: dt.date | None = None,
     load_date: dt.date | None = None,
-    null_keys: NullKeys = "match",
+    null_keys: NullKeys = "unmatched",
+    entities: Mapping[str, Entity] = ENTITIES,
 ) -> dict[str, DataFrame]:
     """Ingest, refine, model and report in one go."""
-    warehouse = Warehouse(spark, root, as_of, load_date, null_keys)
+    warehouse = Warehouse(spark, root, as_of, load_date, null_keys, entities)
     warehouse.ingest(manifest)
     warehouse.refine()
     warehouse.model()

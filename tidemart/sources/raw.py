@@ -11,25 +11,24 @@ from pyspark.sql import functions as F
 
 from tidemart.sources.schemas import RAW_SOURCES
 
-# A separator no export contains, so that each line arrives as one column.
-_NO_SEPARATOR = "\u0001"
-_OFF = "\u0000"
-
-
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one export below its header, as ``rawdata``.
-
-    The CSV reader drops the first line of each file by position, splits large files and
-    keeps later lines that happen to equal the header. Blank lines are dropped.
+    """Lines of one export below its header, as ``rawdata``: every character of every line,
+    blank ones too.
+
+    The first line of each file is dropped by position: of the rows that begin in a file's
+    first block, the one with the lowest id, since ids rise within a partition and a block is
+    read by one task. Later lines that happen to equal the header stay, and large files are
+    split. Both passes read the same splits, so ids agree; the first pass returns one row per
+    file.
     """
-    return (
-        spark.read.schema("rawdata string")
-        .option("header", True)
-        .option("sep", _NO_SEPARATOR)
-        .option("quote", _OFF)
-        .option("escape", _OFF)
-        .csv(path)
+    lines = spark.read.text(path).select(
+        F.col("value").alias("rawdata"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
     )
+    headers = lines.where("block = 0").groupBy("file").agg(F.min("id").alias("id"))
+    return lines.join(headers.select("id"), "id", "left_anti").select("rawdata")
 
 
 def with_lineage(lines: DataFrame, source: str, load_date: dt.date | None = None) -> DataFrame:

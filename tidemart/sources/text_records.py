@@ -12,11 +12,20 @@ _CORRUPT = "_corrupt_record"
 def _decoded(records: DataFrame, schema: str, column: str) -> tuple[DataFrame, Column]:
     fields = StructType.fromDDL(schema)
     target = StructType([*fields.fields, StructField(_CORRUPT, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    decoded = records.select(F.from_json(column, target, options).alias("_record"))
+    strict = {"allowSingleQuotes": "false"}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **strict}
+    # The parser stops at the end of the first value. Inside a list with a mark at its end,
+    # text that is not one object alone breaks the list or moves the mark.
+    listed = F.concat(F.lit("["), F.col(column), F.lit(',{"_end":true}]'))
+    marks = F.from_json(listed, "array<struct<_end:boolean>>", strict)
+    alone = F.coalesce((F.size(marks) == 2) & F.get(marks, F.lit(1))["_end"], F.lit(False))
+    decoded = records.select(
+        F.from_json(column, target, options).alias("_record"), alone.alias("_alone")
+    )
     # Broken text gives a struct of NULLs and fills the corrupt column; only empty or
     # NULL text gives a NULL struct. A record counts as read when neither happened.
-    accepted = F.col("_record").isNotNull() & F.col(f"_record.{_CORRUPT}").isNull()
+    whole = F.col("_record").isNotNull() & F.col(f"_record.{_CORRUPT}").isNull()
+    accepted = whole & F.col("_alone")
     return decoded, accepted
 
 
