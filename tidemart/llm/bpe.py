@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.pieces import PieceIds, cut, literal
+from tidemart.llm.pieces import PieceIds, cut, joined, literal
 from tidemart.llm.rows import slices
 
 SLICE_BYTES = 2 << 20
@@ -99,7 +99,7 @@ class ByteBpe:
         self.duck.register("seed", pa.table({"k": keys, "tok": self.letters[data]}))
         return self.duck.sql(CONTRACT).to_arrow_table().column("ids").to_pylist()
 
-    def encode_keys(self, keys: list[str]) -> list[list[int]]:
+    def encode_keys(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Ids of pieces; words of the pattern are merged apart, whole tokens not at all."""
         found = [[word.encode() for word in self.pattern.findall(literal(key))] for key in keys]
         new = set(chain.from_iterable(found)).difference(self.words)
@@ -116,7 +116,8 @@ class ByteBpe:
         for start in range(0, len(rest), WORDS_AT_ONCE):
             some = rest[start : start + WORDS_AT_ONCE]
             self.words.update(zip(some, self.contract(some)))
-        return [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in found]
+        runs = [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in found]
+        return keys, *joined(runs)
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of every text, from the ids of all texts one after another."""
@@ -150,8 +151,8 @@ def _run(path: str, pattern: str, digests: bool) -> Callable:
                 if digests:
                     every, ids_out = ids.tolist(), []
                     for start, stop in zip((stops - sizes).tolist(), stops.tolist()):
-                        joined = ",".join(map(written.__getitem__, every[start:stop]))
-                        ids_out.append(hashlib.sha256(joined.encode()).hexdigest())
+                        line = ",".join(map(written.__getitem__, every[start:stop]))
+                        ids_out.append(hashlib.sha256(line.encode()).hexdigest())
                     decoded_out = pa.array([hashlib.sha256(x).hexdigest() for x in decoded])
                     ids_out = pa.array(ids_out)
                 else:

@@ -14,21 +14,22 @@ from itertools import chain
 
 import numpy as np
 
-#: What keeps a text from being cut at every blank and line end.
-_UNEVEN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _CUT = re.compile(r" (?=\S)")
 #: In front of a piece that has no blank before it.
 _PLAIN = "\r"
 
-Encoder = Callable[[list[str]], list[Sequence[int]]]
+#: From keys to the same keys in any order, their ids one after another, and their counts.
+Encoder = Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]]
 
 
 def cut(text: str) -> list[str]:
     """Keys of a text's pieces, in order. See ``literal``."""
     if not text:
         return []
-    if _UNEVEN.search(text) is None:
-        keys = text.replace("\n", " \n").split(" ")
+    keys = text.replace("\n", " \n").split(" ")
+    # White space next to other white space, or at an end, leaves an empty key or a line end
+    # alone; white space of other kinds makes more words than keys.
+    if "" not in keys and "\n" not in keys and len(text.split()) == len(keys):
         keys[0] = _PLAIN + keys[0]
         return keys
     first, *others = _CUT.split(text)
@@ -61,9 +62,7 @@ class PieceIds:
         self.used = 0
 
     def _learn(self, keys: list[str]) -> None:
-        runs = self.encode(keys)
-        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
-        ids = np.fromiter(chain.from_iterable(runs), np.int32, int(sizes.sum()))
+        keys, ids, sizes = self.encode(keys)
         known = len(self.numbers)
         self.flat = _room(self.flat, self.used + len(ids))
         self.starts = _room(self.starts, known + len(keys))
@@ -94,6 +93,12 @@ class PieceIds:
         return self.flat[at], np.diff(stops, prepend=0)
 
 
+def joined(runs: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as ids one after another, and their counts."""
+    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+    return np.fromiter(chain.from_iterable(runs), np.int32, int(sizes.sum())), sizes
+
+
 def _room(array: np.ndarray, length: int) -> np.ndarray:
     if length <= len(array):
         return array

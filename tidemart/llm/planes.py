@@ -11,7 +11,6 @@ highest that is set in any of them, eight ids to a byte.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -27,9 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.pieces import PieceIds, cut, literal
+from tidemart.llm.pieces import PieceIds, cut, joined, literal
 from tidemart.llm.rows import slices
-from tidemart.sources.staging import Staging
+from tidemart.sources.staging import Staging, file_system
 
 MAGIC = b"TMPLANE1"
 BLOCK = 1 << 16
@@ -51,14 +50,6 @@ def unshuffle_bits(planes: list[bytes], count: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
-def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The store that a folder name means; without a scheme, the shared local one."""
-    scheme, _, path = uri.partition(":")
-    if not path or scheme == "file":
-        return pyarrow.fs.LocalFileSystem(), re.sub("^/+", "/", path) if path else uri
-    return pyarrow.fs.FileSystem.from_uri(uri)
-
-
 class PlaneWriter:
     """Writes one file; holds one block of ids and the indexes."""
 
@@ -177,36 +168,37 @@ class LibraryPieces:
         for token, number in vocabulary.items():
             self.width[number] = len(token)  # a character for each byte
 
-    def encode_keys(self, keys: list[str], at_once: int = 2000) -> list[list[int]]:
-        """Pieces that begin with a blank or line end before a letter are joined and encoded
-        together, since no token reaches from one into the next. Others go alone."""
-        out: list[list[int]] = [[]] * len(keys)
-        joinable, alone = [], []
-        for at, key in enumerate(keys):
-            (alone if key[0] == "\r" else joinable).append(at)
+    def encode_keys(
+        self, keys: list[str], at_once: int = 4000
+    ) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Pieces that begin with their only blank or line end are joined and encoded together,
+        since no token reaches from one into the next. Others go alone."""
+        joinable = [key for key in keys if key[0] != "\r"]
+        alone = [key for key in keys if key[0] == "\r"]
         encode = self.tokenizer.encode_batch_fast
-        groups = [joinable[i : i + at_once] for i in range(0, len(joinable), at_once)]
-        for group in groups:
-            texts = [literal(keys[at]) for at in group]
-            (found,) = encode(["".join(texts)], add_special_tokens=False)
-            ends = np.cumsum(self.width[found.ids])
-            wanted = np.cumsum([len(text.encode()) for text in texts])
-            stops = np.searchsorted(ends, wanted) + 1
-            if not np.array_equal(ends[stops - 1], wanted):
+        ids, sizes = [], []
+        for start in range(0, len(joinable), at_once):
+            text = "".join(map(literal, joinable[start : start + at_once]))
+            (found,) = encode([text], add_special_tokens=False)
+            ids.append(np.array(found.ids, np.int32))
+            data = np.frombuffer(text.encode(), np.uint8)
+            begins = np.flatnonzero((data == 0x20) | (data == 0x0A))
+            stops = np.append(begins[1:], len(data))
+            ends = np.cumsum(self.width[ids[-1]])
+            last = np.searchsorted(ends, stops)
+            if not np.array_equal(ends[last], stops):
                 raise ValueError("a token reaches over the end of a piece")
-            ids, start = found.ids, 0
-            for at, stop in zip(group, stops.tolist()):
-                out[at] = ids[start:stop]
-                start = stop
-        for at, found in zip(alone, encode([literal(keys[a]) for a in alone], add_special_tokens=False)):
-            out[at] = found.ids
-        return out
+            sizes.append(np.diff(last + 1, prepend=0))
+        texts = [literal(key) for key in alone]
+        alone_ids, alone_sizes = joined([x.ids for x in encode(texts, add_special_tokens=False)])
+        every = np.concatenate([*ids, alone_ids]), np.concatenate([*sizes, alone_sizes])
+        return joinable + alone, *every
 
 
 @lru_cache(maxsize=2)
 def _pieces(path: str) -> PieceIds:
     """Kept by a Python worker from task to task."""
-    return PieceIds(LibraryPieces(path).encode_keys)
+    return PieceIds(LibraryPieces(path).encode_keys, 900_000)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
