@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import logistic
 from tidemart.llm.fertility import repeated_words
-from tidemart.llm.rows import slices, text_bytes, words
+from tidemart.llm.rows import labelled_sample, slices, text_bytes, words
 from tidemart.llm.shingles import Powers, word_hashes
 from tidemart.sources.staging import Staging
 
@@ -109,11 +109,10 @@ def _features(text: Column) -> Column:
     return of(text)
 
 
-def learn(labelled: DataFrame, sample: int = 20_000) -> Evidence:
-    """Fit ``text`` and ``label`` (1: good) on at most ``sample`` rows, the first by a hash of
-    their text. Without both labels every text gets even odds."""
-    rows = labelled.where("label IN (0, 1)").select("text", F.col("label").cast("int").alias("label"))
-    rows = rows.orderBy(F.xxhash64("text"), "label").limit(sample)
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Evidence:
+    """Fit the texts of ``docs`` and the ``label`` (1: good) of their doc_id, with at most
+    ``sample`` labels. Without both kinds of them every text gets even odds."""
+    rows = labelled_sample(docs, labels, sample)
     seen = rows.select("label", _features(F.col("text")).alias("row")).collect()
     labels = np.array([row.label for row in seen])
     if len(set(labels.tolist())) < 2:
@@ -217,7 +216,7 @@ def from_labels(docs: DataFrame, labels: DataFrame) -> QualityClassifier:
     """Learned from the labels outside the held-out fifth."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     known = labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
-    return QualityClassifier(learn(docs.select("doc_id", "text").join(known, "doc_id")))
+    return QualityClassifier(learn(docs, known))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,20 @@ def only(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     return kept.select(*[F.col(f"`{name}`") for name in names])
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """``text``, ``label`` and ``at`` of the documents that have the first ``sample`` labels 0
+    or 1, by a hash of the doc_id (``at``). So many labels can be broadcast, and no text is
+    shuffled to be chosen."""
+    known = labels.where("label IN (0, 1)").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("label").cast("int").alias("label")
+    )
+    known = known.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "label").limit(sample)
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    return texts.join(F.broadcast(known), "doc_id").select("text", "label", "at")
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice have about ``size`` bytes; a longer text
     stands alone. Empty batches are left out."""

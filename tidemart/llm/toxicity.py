@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import logistic
+from tidemart.llm.rows import labelled_sample
 from tidemart.sources.staging import Staging
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -193,16 +194,16 @@ UNLEARNED = Grammar(
 )
 
 
-def learn(labelled: DataFrame, staging: Staging, sample: int = 20_000, support: int = 6) -> Grammar:
-    """Learn from ``text`` and ``label`` (1: toxic).
+def learn(
+    docs: DataFrame, labels: DataFrame, staging: Staging, sample: int = 20_000, support: int = 6
+) -> Grammar:
+    """Learn from the texts of ``docs`` and the ``label`` (1: toxic) of their doc_id.
 
-    At most ``sample`` rows, the first by a hash of their text, are used: even ones for the
-    lexicon, the others for the outputs' weights. A term of the lexicon is in ``support`` toxic
+    At most ``sample`` labels are used: half of them for the lexicon, half for the outputs'
+    weights. A term of the lexicon is in ``support`` toxic
     texts or more and e**2 times as common among them. The lexicon has at most 5000 terms.
     """
-    rows = labelled.where("label IN (0, 1)").select("text", F.col("label").cast("int").alias("label"))
-    rows = rows.withColumn("at", F.xxhash64("text")).orderBy("at").limit(sample)
-    rows = staging.settle(rows, "sample")
+    rows = staging.settle(labelled_sample(docs, labels, sample), "sample")
     half = rows.where("pmod(at, 2) = 0").select("text", "label")
     sizes = {row.label: row["count"] for row in half.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -265,8 +266,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     known = labels.where(~held_out).select("doc_id", F.col("toxic").alias("label"))
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    grammar = learn(labelled, Staging(spark))
+    grammar = learn(docs, known, Staging(spark))
     return score(docs, grammar).select(
         "doc_id",
         held_out.alias("held_out"),
