@@ -225,7 +225,8 @@ def test_whole_run(spark, tmp_path, seed, null_keys):
 
     fact = []
     for s in silver["sales_details"]:
-        for p in [p[-1] for p in dim_product if p[1] == s[1]] or [None]:
+        real = s[1] != "N/A" or null_keys == "match"
+        for p in [p[-1] for p in dim_product if real and p[1] == s[1]] or [None]:
             meets = s[2] is not None or null_keys == "match"
             for c in [c[-1] for c in dim_customer if meets and c[1] == s[2]] or [None]:
                 fact.append((s[0], c, p, s[3], s[5], *s[6:]))

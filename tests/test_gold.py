@@ -7,7 +7,6 @@ import random
 import pytest
 
 from helpers import plan_of, rows
-from tidemart.operators.hot_keys import hot_keys_split
 from tidemart.plans import direct, gold, reports
 from tidemart.sources.schemas import LAYERS
 from tidemart.sources.staging import Staging
@@ -82,7 +81,7 @@ def star(spark):
 
 
 def test_fact_matches_null_ids(spark):
-    fact = gold.fact_sales(*star(spark)).select(
+    fact = gold.fact_sales(*star(spark), null_keys="match").select(
         "order_number", "product_unique_num", "customer_unique_num"
     )
     assert rows(fact) == [
@@ -104,7 +103,7 @@ def test_fact_can_leave_null_ids_alone(spark):
 
 def test_reports(spark):
     sales, products, customers = star(spark)
-    fact = gold.fact_sales(sales, products, customers)
+    fact = gold.fact_sales(sales, products, customers, "match")
     assert rows(reports.revenue_by_country(fact, customers)) == sorted(
         [("France", 27.0), (None, 20.0), ("Unknown", 20.0), ("N/A", 5.0)], key=repr
     )
@@ -190,11 +189,11 @@ def test_totals_agree(spark):
 
 def test_join_summary_counts_what_the_joins_make(spark):
     sales, products, customers = star(spark)
-    assert rows(direct.join_summary(sales, products, customers)) == [
+    assert rows(direct.join_summary(sales, products, customers, "match")) == [
         ("sales to customer", 5, 4, 1, 6),
         ("sales to product", 4, 3, 1, 5),
     ]
-    assert gold.fact_sales(sales, products, customers).count() == 6
+    assert gold.fact_sales(sales, products, customers, "match").count() == 6
     assert rows(direct.join_summary(sales, products, customers, "unmatched")) == [
         ("sales to customer", 5, 3, 2, 5),
         ("sales to product", 4, 3, 1, 5),
@@ -255,7 +254,7 @@ def test_hot_product_and_hot_customer_are_split(spark, tmp_path, shuffled_joins)
         "concat('C', id % 9) AS country",
         "'x' AS gender",
     )
-    fact = gold.fact_sales(sales, products, customers)
+    fact = gold.fact_sales(sales, products, customers, "match")
     path = str(tmp_path / "fact")
     fact.write.parquet(path)
     fact.collect()
@@ -277,10 +276,10 @@ def test_hot_product_and_hot_customer_are_split(spark, tmp_path, shuffled_joins)
     )
     assert got == wanted
 
-    direct_report = direct.revenue_by_country(sales, products, customers)
+    direct_report = direct.revenue_by_country(sales, products, customers, "match")
     direct_rows = rows(direct_report)
     assert "skew=true" in plan_of(direct_report)
-    ranking = direct.customer_ranking(sales, products, customers)
+    ranking = direct.customer_ranking(sales, products, customers, None, "match")
     ranking_rows = ranking.collect()
     assert "skew=true" in plan_of(ranking) and "ReusedExchange" in plan_of(ranking)
     assert ranking_rows == reports.customer_ranking(spark.read.parquet(path), customers).collect()
@@ -295,7 +294,7 @@ def test_hot_product_and_hot_customer_are_split(spark, tmp_path, shuffled_joins)
 
 
 def test_hot_customer_key_is_split(spark, shuffled_joins):
-    """Both joins of the customer dimension reuse one partitioning, and still split."""
+    """Both joins of the customer dimension split, whatever comes after them."""
     customers = spark.range(40_000, numPartitions=12).selectExpr(
         "id AS customer_id_cleaned",
         "IF(id % 3 = 0, 'AW0', concat('AW', id)) AS customer_key_cleaned",
@@ -311,10 +310,12 @@ def test_hot_customer_key_is_split(spark, shuffled_joins):
     locations = spark.range(0, 40_000, 5).selectExpr(
         "concat('AW', id) AS customer_location_key", "'France' AS customer_location_state"
     )
-    with hot_keys_split(spark):
-        df = gold.customer_rows(customers, births, locations)
-        got = df.collect()
+    df = gold.customer_rows(customers, births, locations)
+    got = df.collect()
     assert plan_of(df).count("skew=true") >= 1
+    grouped = df.groupBy("customer_key").count()
+    grouped.collect()
+    assert plan_of(grouped).count("skew=true") >= 1
     wanted = collections.Counter()
     for number in range(40_000):
         key = 0 if number % 3 == 0 else number
@@ -324,14 +325,23 @@ def test_hot_customer_key_is_split(spark, shuffled_joins):
     )
 
 
-def test_settings_return(spark):
-    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
-    before = spark.conf.get(key, None)
-    with pytest.raises(KeyError):
-        with hot_keys_split(spark):
-            assert spark.conf.get(key) == "true"
-            raise KeyError
-    assert spark.conf.get(key, None) == before
+def test_missing_keys_meet_nothing_by_default(spark):
+    sales = table(
+        spark, "silver", "sales_details",
+        *[(f"SO{n:05d}", "N/A", None, None, None, None, 1.0, 1.0, 1.0) for n in range(50)],
+    )
+    products = table(
+        spark, "gold", "gold_dim_product",
+        *[("1", "N/A", "n", "c", "a", "b", "Yes", 1.0, "Road", None, n) for n in range(1, 9)],
+    )
+    customers = table(
+        spark, "gold", "gold_dim_customer",
+        *[("AW1", None, "Ann", None, None, None, None, 30, "France", n) for n in range(1, 9)],
+    )
+    fact = gold.fact_sales(sales, products, customers)
+    assert fact.count() == direct.fact_size(sales, products, customers).first().rows == 50
+    assert fact.where("product_unique_num IS NULL AND customer_unique_num IS NULL").count() == 50
+    assert gold.fact_sales(sales, products, customers, "match").count() == 50 * 8 * 8
 
 
 def test_report_plans(spark, tmp_path):

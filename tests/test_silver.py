@@ -8,10 +8,10 @@ from pathlib import Path
 import pytest
 
 from helpers import plan_of, rows
+from landing import WIDE, landing_lines
 from tidemart.operators.quality import observe_invalid, observed_quality
 from tidemart.plans import silver
 from tidemart.plans.silver import ENTITIES
-from tidemart.sources.landing import landing_lines
 from tidemart.sources.raw import raw_lines, with_lineage
 
 AS_OF = dt.date(2026, 1, 1)
@@ -31,7 +31,7 @@ def test_customer(spark):
     got = cleaned(
         spark,
         "customer_info",
-        "11000,AW00011000, Jon,Yang ,M,M,2025-10-06",
+        "11000,AW00011000, Mia,Berg ,F,S,2025-10-06",
         "11001,aw00011001,,,f ,s,2025-1-5,extra",
         "11002,AW00011002,Eve,Li,M,M",
         "11003,BAD,Eve,Li,M,M,2025-10-06",
@@ -39,7 +39,7 @@ def test_customer(spark):
         "",
     )
     assert got == rows_of(
-        (11000, "AW00011000", "Jon Yang", "Married", "Male", DAY("2025-10-06")),
+        (11000, "AW00011000", "Mia Berg", "Single", "Female", DAY("2025-10-06")),
         (11001, "AW00011001", None, "Single", "Female", None),
     )
 
@@ -123,11 +123,11 @@ def landing(spark, sf_dir):
 
 def test_observed_counts_equal_counted_ones(spark, landing):
     observations = {}
-    for name, entity in ENTITIES.items():
+    for name, entity in WIDE.items():
         assessed = silver.assess(landing[entity.source], entity, AS_OF)
         observed, observations[name] = observe_invalid(assessed, name, entity.rules)
         silver.keep_valid(observed, entity).write.format("noop").mode("overwrite").save()
-    counted = silver.quality(landing, ENTITIES, AS_OF)
+    counted = silver.quality(landing, WIDE, AS_OF)
     assert rows(observed_quality(spark, observations)) == rows(counted)
     assert counted.count() == 24
 

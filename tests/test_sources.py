@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 
 import pytest
 
 from helpers import plan_of, rows
+from landing import export
 from tidemart.sources import raw, staging, tables, text_records
-from tidemart.sources.landing import export
 
 
 def write(path, text: str) -> str:
@@ -22,11 +23,12 @@ def test_header_goes_by_position(spark, tmp_path):
 
 def test_windows_line_ends_and_blank_lines(spark, tmp_path):
     path = write(tmp_path / "a.csv", "h\r\na,1\r\n\r\nb,2\r\n")
-    assert [row.rawdata for row in raw.raw_lines(spark, path).collect()] == ["a,1", "b,2"]
+    assert [row.rawdata for row in raw.raw_lines(spark, path).collect()] == ["a,1", "", "b,2"]
 
 
 def test_large_file_is_split_without_losing_lines(spark, tmp_path):
-    wanted = [f"{number},value {number}" for number in range(20_000)]
+    odd = ["", "  ", '"', 'x,"y', "\0start", "in\0side", "a\u0001b,c", "h", "\\", "é"]
+    wanted = [odd[n % 10] if n % 7 == 0 else f"{n},value {n}" for n in range(20_000)]
     path = write(tmp_path / "a.csv", "\n".join(["h", *wanted]) + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
@@ -93,46 +95,37 @@ def test_table_of_another_shape_fails(spark, tmp_path):
 
 
 def test_tolerant_decoding(spark):
-    texts = ['{"a":1,"b":"x"}', '{"a":1,"b":"x"', "", "nonsense", None, '{"b":null}', '{"a":"word"}']
+    glued = ['{"a":1}{"a":2}', '{"a":1} xyz', '{"a":1},{"a":2}', '[{"a":1}]', "{'a':1}", '{"a":1}]']
+    texts = [*glued, ' {"a":1,"b":"x"} ', '{"a":1,"b":"x"', "", "nonsense", None, '{"b":null}', '{"a":"word"}']
     records = spark.createDataFrame([(text,) for text in texts], "value string")
     decoded = text_records.decode_records(records, "a bigint, b string")
     assert rows(decoded) == [(1, "x"), (None, None)]
-    assert tuple(text_records.decode_summary(records, "a bigint, b string").first()) == (2, 5)
-
-
-class FakeContext:
-    master = "spark://host:7077"
-
-    def getCheckpointDir(self):
-        return None
+    assert tuple(text_records.decode_summary(records, "a bigint, b string").first()) == (2, 11)
 
 
 class FakeSession:
-    sparkContext = FakeContext()
-
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
+    def __init__(self, **settings):
+        self.settings = settings
 
+    @property
+    def conf(self):
+        return self
 
-def test_staging_needs_a_shared_folder_on_a_cluster(spark):
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.staging_root(FakeSession())
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
 
 
-def test_staging_follows_the_session(spark, tmp_path):
+def test_staging_follows_the_session(tmp_path):
     shared = str(tmp_path / "shared")
-    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert staging.staging_root(FakeSession(**{"spark.checkpoint.dir": shared + "/"})) == shared
+    assert staging.staging_root(FakeSession()) == tempfile.gettempdir()
+    assert staging.Staging(FakeSession(), shared).path.startswith(shared + "/tidemart-")
 
-    class Session(FakeSession):
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return {"spark.checkpoint.dir": shared}.get(key, default)
 
-    assert staging.staging_root(Session()) == shared
-    assert spark.conf.get("spark.checkpoint.dir", None) == before
+def test_staging_leaves_the_context_alone(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    staging.Staging(spark).settle(spark.range(3), "numbers")
+    assert spark.sparkContext.getCheckpointDir() == before
 
 
 def test_settled_rows_are_read_from_disk_and_dropped(spark):
