@@ -26,10 +26,9 @@ def cut(text: str) -> list[str]:
     """Keys of a text's pieces, in order. See ``literal``."""
     if not text:
         return []
-    keys = text.replace("\n", " \n").split(" ")
-    # White space next to other white space, or at an end, leaves an empty key or a line end
-    # alone; white space of other kinds makes more words than keys.
-    if "" not in keys and "\n" not in keys and len(text.split()) == len(keys):
+    # Are there only single blanks and line ends between the words?
+    if text.replace("\n", " ").split(" ") == text.split():
+        keys = text.replace("\n", " \n").split(" ")
         keys[0] = _PLAIN + keys[0]
         return keys
     first, *others = _CUT.split(text)
