@@ -157,7 +157,9 @@ class Mixture:
 
     def chosen(self, docs: DataFrame, levels: dict[str, Column], staging: Staging) -> DataFrame:
         """The rows of ``docs`` that an epoch or the prefix has, each once and whole; for
-        mixtures of one epoch. Texts are not shuffled while the leaves can be broadcast."""
+        mixtures of one epoch. Texts without tokens go with their place in the order; leaves
+        without any tokens give none. Texts are not shuffled while the leaves can be
+        broadcast."""
         names = docs.columns
         named = docs.select("doc_id", "text", *[levels[level].alias(level) for level in LEVELS])
         leaves = self.plan(named, staging)[1]

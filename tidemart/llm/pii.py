@@ -199,7 +199,7 @@ KINDS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
              r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", _address),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _social),
-    "card": (r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
+    "card": (r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
     "phone": (r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\d)"
               r"|\+\d{8,14}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
               r"|(?<![\d-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", _phone),
