@@ -207,7 +207,9 @@ def judged(
     quartiles = [
         F.percentile_approx(name, [0.25, 0.5, 0.75], 10_000).alias(f"q_{name}") for name in METRICS
     ]
+    # Written, so that Spark knows its size: a few languages are broadcast, many are not.
     bands = rows.where("NOT base_failed").groupBy("band").agg(*quartiles)
+    bands = staging.settle(bands, "bands")
     rows = rows.join(bands, "band", "left")
     inside = F.lit(True)
     for name in METRICS:

@@ -184,7 +184,8 @@ class QualityClassifier:
             log_odds(F.col("text").cast("string")).alias("odds"),
         )
         rows = staging.settle(rows, "evidence")
-        site = posteriors(rows, self.strength)
+        # Written, so that Spark knows its size: few sites are broadcast, many are not.
+        site = staging.settle(posteriors(rows, self.strength), "sites")
         joined = rows.join(site, ["host", "path"]).withColumn("score", self._score())
         return joined.select(
             "doc_id", "odds", "host_good", "path_good", "score",
