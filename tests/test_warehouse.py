@@ -53,6 +53,12 @@ def test_run_and_rerun(spark, manifest, tmp_path):
         assert sorted(numbers) == list(range(1, len(numbers) + 1))
 
 
+@pytest.mark.parametrize("scale, facts", [("sf0.001", 6991), ("sf0.01", 70708)])
+def test_facts_grow_with_the_sales(spark, scale, facts):
+    counts = entry_points.q15_gold_counts(spark, f"/root/testdata/{scale}").collect()
+    assert {row.table_name: row.rows for row in counts}["gold_fact_sales"] == facts
+
+
 def test_manifest_must_be_complete(spark, tmp_path):
     with pytest.raises(ValueError, match="lacks sources"):
         Warehouse(spark, str(tmp_path)).ingest({RAW_SOURCES[0]: "/nowhere"})
