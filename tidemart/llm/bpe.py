@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.pieces import PieceIds, cut, joined, literal
+from tidemart.llm.pieces import PieceIds, joined, literal
 from tidemart.llm.rows import slices
 
 SLICE_BYTES = 2 << 20
@@ -144,8 +144,7 @@ def _run(path: str, pattern: str, digests: bool) -> Callable:
         written = [str(i) for i in range(max(bpe.ranks.values()) + 1)]
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                ids, sizes = pieces.ids([cut(text) for text in texts])
+                ids, sizes = pieces.ids(part.column("text"))
                 decoded = bpe.decode(ids, sizes)
                 stops = np.cumsum(sizes)
                 if digests:

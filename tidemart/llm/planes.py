@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.pieces import PieceIds, cut, joined, literal
+from tidemart.llm.pieces import PieceIds, joined, literal
 from tidemart.llm.rows import slices
 from tidemart.sources.staging import Staging, file_system
 
@@ -218,8 +218,7 @@ def _write(path: str, folder: str, end_id: int) -> Callable:
                     store.create_dir(root, recursive=True)
                     sink = store.open_output_stream(f"{root}/{name}")
                     writer = PlaneWriter(sink)
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                ids, sizes = with_end(*pieces.ids([cut(text) for text in texts]), end_id)
+                ids, sizes = with_end(*pieces.ids(part.column("text")), end_id)
                 writer.add(part.column("doc_id").to_pylist(), ids, sizes)
         if writer is not None:
             writer.close()
