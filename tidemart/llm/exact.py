@@ -118,8 +118,11 @@ class ExactDuplicates:
         )
         texts = located(docs, bare(F.col("text")).alias("text"))
         hits = staging.settle(texts.join(hits.hint("shuffle_hash"), LOCATOR), "hits")
-        kept = hits.where("kept").select("digest", F.col("text").alias("kept_text"))
-        other = hits.where("NOT kept").join(kept, "digest").where("text <> kept_text")
+        kept = hits.where("kept").selectExpr("digest AS kept_digest", "text AS kept_text")
+        # Digests are never null. Null-safe, the join is partitioned by other expressions than
+        # what follows, so adaptive execution can split a digest that very many rows share.
+        other = hits.where("NOT kept").join(kept, F.expr("digest <=> kept_digest"))
+        other = other.where("text <> kept_text")
         return hits.join(other.select("digest").distinct(), "digest", "left_semi")
 
     def _apart(self, found: DataFrame, clashes: DataFrame) -> DataFrame:

@@ -133,6 +133,9 @@ class NearDuplicates:
         leads = leads.join(better, "fp", "left").select(
             "fp", F.coalesce("better", "lead").alias("lead")
         )
+        # Written, so that the next join has shuffles of its own: those can be split where very
+        # many rows share a fingerprint.
+        leads = staging.settle(leads, "leads")
         row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *LOCATOR)
         filled = signed.where("fp IS NOT NULL").join(leads, "fp")
         filled = filled.select(
