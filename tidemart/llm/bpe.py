@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.pieces import PieceIds, joined, literal
+from tidemart.llm.pieces import PieceIds, literal
 from tidemart.llm.rows import slices
 
 SLICE_BYTES = 2 << 20
@@ -59,17 +59,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 class ByteBpe:
     """One vocabulary: a rank file's merges as a table of pairs, its tokens as another. The ids
-    of up to ``limit`` contracted words are held, for other pieces that have them."""
+    of up to ``limit`` words are held, four bytes each, for other pieces that have them."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 500_000):
+    def __init__(self, path: str, pattern: str, limit: int = 400_000):
         self.ranks = read_ranks(path)
         # White space as Unicode has it; the class \\s of this library has four characters more.
         pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.pattern = regex.compile(pattern)
         self.letters = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
-        self.words: dict[bytes, list[int]] = {}
+        self.words: dict[bytes, bytes] = {}
         self.limit = limit
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self.duck.register("tokens_in", self._vocabulary())
         self.duck.execute("CREATE TABLE vocabulary AS FROM tokens_in")
         self.duck.register("merges_in", self._merges())
@@ -90,14 +90,17 @@ class ByteBpe:
                     ranks.append(rank)
         return pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(ranks, pa.int64())})
 
-    def contract(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of non-empty words. One round for each merge of the word that needs the most."""
+    def contract(self, words: list[bytes]) -> list[bytes]:
+        """Ids of non-empty words, four bytes each. One round for each merge of the word that needs the most."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         firsts = np.repeat(np.cumsum(lengths) - lengths, lengths)
         data = np.frombuffer(b"".join(words), np.uint8)
         keys = np.repeat(np.arange(len(words)), lengths) << 32 | np.arange(len(data)) - firsts
         self.duck.register("seed", pa.table({"k": keys, "tok": self.letters[data]}))
-        return self.duck.sql(CONTRACT).to_arrow_table().column("ids").to_pylist()
+        found = self.duck.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
+        raw = found.values.to_numpy().astype(np.int32).tobytes()
+        at = (4 * found.offsets.to_numpy()).tolist()
+        return [raw[start:stop] for start, stop in zip(at, at[1:])]
 
     def encode_keys(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Ids of pieces; words of the pattern are merged apart, whole tokens not at all."""
@@ -112,12 +115,13 @@ class ByteBpe:
             if rank is None:
                 rest.append(word)
             else:
-                self.words[word] = [rank]
+                self.words[word] = rank.to_bytes(4, "little")
         for start in range(0, len(rest), WORDS_AT_ONCE):
             some = rest[start : start + WORDS_AT_ONCE]
             self.words.update(zip(some, self.contract(some)))
-        runs = [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in found]
-        return keys, *joined(runs)
+        runs = [b"".join(map(self.words.__getitem__, words)) for words in found]
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        return keys, np.frombuffer(b"".join(runs), np.int32), sizes
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of every text, from the ids of all texts one after another."""
@@ -135,7 +139,7 @@ class ByteBpe:
 def _bpe(path: str, pattern: str) -> tuple[ByteBpe, PieceIds]:
     """Kept by a Python worker from task to task."""
     bpe = ByteBpe(path, pattern)
-    return bpe, PieceIds(bpe.encode_keys, 900_000)
+    return bpe, PieceIds(bpe.encode_keys)
 
 
 def _run(path: str, pattern: str, digests: bool) -> Callable:

@@ -56,7 +56,7 @@ class PieceIds:
     over, which costs time but changes no result.
     """
 
-    def __init__(self, encode: Encoder, limit: int = 600_000):
+    def __init__(self, encode: Encoder, limit: int = 450_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
