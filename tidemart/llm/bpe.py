@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import duckdb
@@ -16,6 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.pieces import PieceIds, literal
 from tidemart.llm.rows import slices
 
@@ -135,11 +135,12 @@ class ByteBpe:
         return out
 
 
-@lru_cache(maxsize=2)
 def _bpe(path: str, pattern: str) -> tuple[ByteBpe, PieceIds]:
-    """Kept by a Python worker from task to task."""
-    bpe = ByteBpe(path, pattern)
-    return bpe, PieceIds(bpe.encode_keys)
+    def make() -> tuple[ByteBpe, PieceIds]:
+        bpe = ByteBpe(path, pattern)
+        return bpe, PieceIds(bpe.encode_keys)
+
+    return resident.keep(("bpe", path, pattern), make)
 
 
 def _run(path: str, pattern: str, digests: bool) -> Callable:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.rows import slices, text_bytes, words
 from tidemart.llm.shingles import Powers, mix, word_hashes
 from tidemart.sources.staging import Staging
@@ -104,10 +104,8 @@ class WordTokens:
         return np.array(ids, np.int64), sizes
 
 
-@lru_cache(maxsize=2)
 def _tokens(path: str) -> WordTokens:
-    """Kept by a Python worker from task to task."""
-    return WordTokens(path)
+    return resident.keep(("fertility", path), lambda: WordTokens(path))
 
 
 def _scripts(texts: int, owner: np.ndarray, data: np.ndarray) -> np.ndarray:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.rows import slices, text_bytes, words
 from tidemart.llm.shingles import Powers, word_hashes
 
@@ -147,6 +148,7 @@ class Network:
 
 def _tokens(part: pa.RecordBatch, shape: Shape, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words of a slice of texts, and the text of each."""
+    resident.let_go()
     data, offsets = text_bytes(part.column("text"))
     begins, ends, owner = words(data, offsets)
     hashes = word_hashes(data, begins, ends, powers) if len(begins) else np.empty(0, np.uint64)

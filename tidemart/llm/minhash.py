@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.components import components
 from tidemart.llm.rows import LOCATOR, located, only, slices, stored, text_bytes
 from tidemart.llm.shingles import MinMax, Powers, shingle_sets
@@ -38,6 +39,7 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def _sign(k: int, hashing: MinMax) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.let_go()
         powers = Powers()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
@@ -62,6 +64,7 @@ def _sign(k: int, hashing: MinMax) -> Callable[[Iterator[pa.RecordBatch]], Itera
 
 def _collect_sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.let_go()
         powers = Powers()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):

@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.rows import slices
 
 SLICE_BYTES = 4 << 20
@@ -244,6 +245,7 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[str]]:
 
 def _run(key: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident.let_go()
         feistel = Feistel(key)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):

@@ -15,7 +15,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemart.llm import resident
 from tidemart.llm.pieces import PieceIds, joined, literal
 from tidemart.llm.rows import slices
 from tidemart.sources.staging import Staging, file_system
@@ -195,10 +195,11 @@ class LibraryPieces:
         return joinable + alone, *every
 
 
-@lru_cache(maxsize=2)
 def _pieces(path: str) -> PieceIds:
-    """Kept by a Python worker from task to task."""
-    return PieceIds(LibraryPieces(path).encode_keys, 900_000)
+    def make() -> PieceIds:
+        return PieceIds(LibraryPieces(path).encode_keys, 900_000)
+
+    return resident.keep(("planes", path), make)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

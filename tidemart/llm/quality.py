@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import logistic
+from tidemart.llm import logistic, resident
 from tidemart.llm.fertility import repeated_words
 from tidemart.llm.rows import labelled_sample, slices, text_bytes, words
 from tidemart.llm.shingles import Powers, word_hashes
@@ -76,6 +76,7 @@ def describe(column: pa.Array, powers: Powers) -> np.ndarray:
 
 
 def _described(column: pa.Array) -> np.ndarray:
+    resident.let_go()
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
     powers = Powers()
     rows = [describe(part.column("text"), powers) for part in slices(batch, "text", SLICE_BYTES)]

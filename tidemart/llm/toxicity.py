@@ -11,14 +11,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import logistic
+from tidemart.llm import logistic, resident
 from tidemart.llm.rows import labelled_sample
 from tidemart.sources.staging import Staging
 
@@ -225,10 +224,8 @@ def learn(
     return Grammar(weights, outputs.tolist(), x.mean(axis=0).tolist(), bias)
 
 
-@lru_cache(maxsize=4)
 def _lexicon(terms: tuple[tuple[str, float], ...]) -> Lexicon:
-    """Kept by a Python worker from task to task."""
-    return Lexicon(dict(terms))
+    return resident.keep(("toxicity", terms), lambda: Lexicon(dict(terms)))
 
 
 def _apply(terms: tuple[tuple[str, float], ...], grammar: Grammar | None) -> Callable:
