@@ -87,6 +87,9 @@ class ExactDuplicates:
         own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
         # Files as large as what is in them: a store per partition would reserve megabytes each.
         own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+        # One bound for all stores of an executor, however many partitions it holds.
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200")
         source = own.readStream.schema(schema).option("maxFilesPerTrigger", self.files)
         groups = (
             source.parquet(f"{staging.path}/digests")
