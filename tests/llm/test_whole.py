@@ -1,0 +1,46 @@
+"""Results that must not depend on layout, spelling or what else a text holds."""
+
+from __future__ import annotations
+
+import random
+
+import pyarrow as pa
+
+from tidemart.llm import toxicity
+from tidemart.sources.staging import Staging
+
+
+def test_lexicon_does_not_depend_on_partitions(documents, llm, staging):
+    r = random.Random(8)
+    common = ["".join(r.choices("aeioutrn", k=6)) for _ in range(900)]
+    rows, labels = [], []
+    for n in range(600):
+        words, toxic = r.sample(common, 30), n % 4 == 0
+        rows.append((n, " ".join([*words, "zorkelig"] if toxic else words), "en", "s"))
+        labels.append((n, int(toxic)))
+    labels = llm.createDataFrame(labels, "doc_id bigint, label int")
+    found = []
+    llm.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    llm.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        for parts in (1, 40):
+            docs = documents(rows).repartition(parts)
+            area = Staging(llm, staging.path)
+            found.append(toxicity.learn(docs, labels, area, support=2).terms)
+    finally:
+        llm.conf.unset("spark.sql.files.maxPartitionBytes")
+        llm.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] and "=zorkelig" in found[0]
+
+
+def test_term_counts_put_out_early_lose_none():
+    texts = pa.RecordBatch.from_pydict({"text": ["idiot here", "here we are", "we are here"], "label": [1, 0, 0]})
+    sums = []
+    for limit in (1, 1000):
+        total = {}
+        for batch in toxicity._count_terms(iter([texts]), limit):
+            for row in batch.to_pylist():
+                toxic, clean = total.get(row["term"], (0, 0))
+                total[row["term"]] = (toxic + row["toxic"], clean + row["clean"])
+        sums.append(total)
+    assert sums[0] == sums[1] and sums[0]["=here"] == (1, 2) and sums[0]["=are"] == (0, 2)

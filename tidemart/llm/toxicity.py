@@ -163,17 +163,25 @@ def _terms(text: str) -> set[str]:
     return terms
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of each label that have a term, summed over the partition."""
+def _count_terms(batches: Iterator[pa.RecordBatch], limit: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Texts of each label that have a term, for every term of either label. Counts are put out
+    whenever more than ``limit`` terms are held, so a term can come more than once."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
             counts[label].update(_terms(text or ""))
-    terms = list(counts[1])
+            if len(counts[0]) + len(counts[1]) > limit:
+                yield from _counted(*counts)
+                counts = (Counter(), Counter())
+    yield from _counted(*counts)
+
+
+def _counted(clean: Counter, toxic: Counter) -> Iterator[pa.RecordBatch]:
+    terms = list(clean.keys() | toxic.keys())
     for start in range(0, len(terms), 50_000):
         some = terms[start : start + 50_000]
         yield pa.RecordBatch.from_pydict(
-            {"term": some, "toxic": [counts[1][t] for t in some], "clean": [counts[0][t] for t in some]}
+            {"term": some, "toxic": [toxic[t] for t in some], "clean": [clean[t] for t in some]}
         )
 
 
