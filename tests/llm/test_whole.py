@@ -63,3 +63,26 @@ def test_secrets_of_letters_in_texts_without_digits(documents):
 def test_hint_sees_every_digit_that_patterns_match():
     digits = [chr(n) for n in range(sys.maxunicode + 1) if re.match(r"\d", chr(n))]
     assert pc.all(pc.match_substring_regex(pa.array(digits), pii._HINT)).as_py()
+
+
+def test_one_phone_number_has_one_pseudonym():
+    cipher = pii.Feistel(b"key")
+    digits = lambda x: re.sub(r"\D", "", x)
+    for code, *spellings in [
+        ("1", "+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "+1-555-123-4567", "+1555 123 4567"),
+        ("49", "+49 151 1234 5678", "+4915112345678"),
+        ("353", "+353 12 234 5678", "+353122345678", "+353.12.234.5678"),
+        ("353", "+353 12 345", "+35312345"),
+        ("44", "+44 (0)20 7946 0958", "+44 20 7946 0958", "+442079460958"),
+        ("1", "+1 2345 6789 0123 45", "+123456789012345"),
+    ]:
+        found = []
+        for text in spellings:
+            new, kinds = pii.pseudonymise(f"call {text}.", cipher)
+            assert kinds == ["phone"]
+            found.append(digits(new.replace("(0)", "")))
+        assert len(set(found)) == 1 and found[0].startswith(code)
+        assert found[0] != digits(spellings[-1])
+    # At home and from abroad.
+    home, abroad = (pii.pseudonymise(x, cipher)[0] for x in ("(555) 123-4567", "+15551234567"))
+    assert digits(abroad) == "1" + digits(home)

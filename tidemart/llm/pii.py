@@ -113,14 +113,21 @@ def _card(feistel: Feistel, found: re.Match) -> str | None:
     return _refill(found.group(), body + luhn_digit(body))
 
 
+# Fixed: country codes have one digit, two, or three; none begins another.
+_COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
+
 def _phone(feistel: Feistel, found: re.Match) -> str | None:
+    """The country code stays, and the zero in brackets that is not dialled from abroad."""
     whole = found.group()
-    country = re.match(r"\+\d{1,3}(?=[ .(-])", whole)
-    head = country.group() if country else ""
-    digits = re.sub(r"\D", "", whole[len(head) :])
-    if not 7 <= len(digits) <= 14:
+    digits = re.sub(r"\D", "", whole)
+    if not 7 <= len(digits) <= 17:
         return None
-    return head + _refill(whole[len(head) :], _number(feistel, digits, b"phone"))
+    head = 0
+    if whole[0] == "+":
+        head = _COUNTRY.match(digits).end()
+        head += re.match(r"\+(?:\D*\d){%d}\D*\(0\)" % head, whole) is not None
+    return _refill(whole, digits[:head] + _number(feistel, digits[head:], b"phone"))
 
 
 def _address(feistel: Feistel, found: re.Match) -> str | None:
@@ -202,7 +209,7 @@ KINDS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _social),
     "card": (r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
     "phone": (r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\d)"
-              r"|\+\d{8,14}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+              r"|\+\d{7,17}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
               r"|(?<![\d-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", _phone),
 }
 _PATTERNS = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
