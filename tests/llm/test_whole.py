@@ -8,8 +8,11 @@ import sys
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pytest
 
 from tidemart.llm import pii, toxicity
+from tidemart.llm.rows import text_bytes
+from tidemart.llm.shingles import Powers, shingle_sets
 from tidemart.sources.staging import Staging
 
 
@@ -86,3 +89,14 @@ def test_one_phone_number_has_one_pseudonym():
     # At home and from abroad.
     home, abroad = (pii.pseudonymise(x, cipher)[0] for x in ("(555) 123-4567", "+15551234567"))
     assert digits(abroad) == "1" + digits(home)
+
+
+@pytest.mark.parametrize("k", [3, 5])
+@pytest.mark.parametrize("words", range(8))
+def test_shingles_of_a_short_text_alone(words, k):
+    text = " ".join("abcdefgh"[:words])
+    values, sizes = shingle_sets(*text_bytes(pa.array([text])), k, Powers())
+    assert sizes.tolist() == [min(words, max(1, words - k + 1))] and len(values) == sizes[0]
+    # The same as beside other texts.
+    beside, sizes = shingle_sets(*text_bytes(pa.array([text, None, "x y z x y z x y z"])), k, Powers())
+    assert beside[: sizes[0]].tolist() == values.tolist()

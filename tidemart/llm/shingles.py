@@ -66,7 +66,8 @@ def shingle_sets(
     counts = np.bincount(owner, minlength=texts)
     first = np.cumsum(counts) - counts
     heads, values = [], []
-    whole = np.flatnonzero(owner[: len(owner) - k + 1] == owner[k - 1 :])
+    last = max(len(owner) - k + 1, 0)
+    whole = np.flatnonzero(owner[:last] == owner[k - 1 :])
     if len(whole):
         heads.append(whole)
         values.append(sum(mix(hashes[whole + j] ^ _PLACE[j]) for j in range(k)))
