@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import collections
 import random
 import re
 import sys
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from tidemart.llm import pii, toxicity
+from tidemart.llm import masked, pii, toxicity
 from tidemart.llm.rows import text_bytes
 from tidemart.llm.shingles import Powers, shingle_sets
 from tidemart.sources.staging import Staging
@@ -100,3 +102,38 @@ def test_shingles_of_a_short_text_alone(words, k):
     # The same as beside other texts.
     beside, sizes = shingle_sets(*text_bytes(pa.array([text, None, "x y z x y z x y z"])), k, Powers())
     assert beside[: sizes[0]].tolist() == values.tolist()
+
+
+def test_masked_words_have_their_exact_share(documents, llm):
+    """Words that share a token are told apart by their counts, common ones and others alike."""
+    r = random.Random(5)
+    vocabulary = [f"w{n}" for n in range(300)]
+    rows = [(n, " ".join(r.choices(vocabulary, [1 / (i + 1) for i in range(300)], k=60)), "en", "s") for n in range(120)]
+    rows += [(500, "w0 w0", "en", "s"), (500, "w0 w0", "en", "s"), (None, None, "en", "s")]
+    docs, shape, scores = documents(rows), masked.Shape(classes=2, members=2, window=1, width=2, hidden=3), []
+    counts = collections.Counter(word for _, text, *_ in rows for word in (text or "").split())
+    whole = masked.COMMON
+    for common in (whole, 5):
+        masked.COMMON = common
+        try:
+            model = masked.MaskedModel(shape, rounds=1)
+            flat = model.train(docs)
+            new = documents([(n, word, "en", "s") for n, word in enumerate([*vocabulary, "unseen"])])
+            alone = {row.doc_id: row.log_likelihood for row in model.score(new, flat).collect()}
+            scores.append(alone)
+            twice = [row for row in model.score(docs, flat).collect() if row.doc_id == 500]
+            assert len(twice) == 2 and twice[0].log_likelihood == pytest.approx(twice[1].log_likelihood)
+        finally:
+            masked.COMMON = whole
+        assert {row.word: row.n for row in model.words.table.collect()} and model.words.tokens.sum() == sum(counts.values())
+        # Of two words with one token, the probabilities are as their counts.
+        powers, batch = Powers(), pa.RecordBatch.from_pydict({"text": vocabulary})
+        tokens = masked._tokens(batch, shape, powers)[0]
+        same = [n for n in range(300) if tokens[n] == tokens[0] and counts[vocabulary[n]]]
+        for n in same:
+            ratio = counts["w0"] / counts[vocabulary[n]]
+            assert alone[0] - alone[n] == pytest.approx(np.log(ratio), abs=1e-4)
+        seen = sum(np.exp(alone[n]) for n in range(300) if counts[vocabulary[n]])
+        assert 0.9 < seen < 1
+    assert scores[0] == pytest.approx(scores[1], abs=1e-4)
+    assert masked.sized(10).tokens == 2048 and masked.sized(10**9).tokens > 2048

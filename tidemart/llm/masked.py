@@ -3,6 +3,7 @@ every token from those on both sides of it."""
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -14,8 +15,11 @@ from pyspark.sql import functions as F
 from tidemart.llm import resident
 from tidemart.llm.rows import slices, text_bytes, words
 from tidemart.llm.shingles import Powers, word_hashes
+from tidemart.sources.staging import Staging
 
 SLICE_BYTES = 1 << 20
+HELD = 1 << 20  # words that a task holds before it puts out their counts
+COMMON = 1 << 18  # words whose counts every task has; others are joined
 
 
 @dataclass(frozen=True)
@@ -146,21 +150,54 @@ class Network:
         return out
 
 
-def _tokens(part: pa.RecordBatch, shape: Shape, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(part: pa.RecordBatch, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words of a slice of texts, and the text of each."""
     resident.let_go()
     data, offsets = text_bytes(part.column("text"))
     begins, ends, owner = words(data, offsets)
     hashes = word_hashes(data, begins, ends, powers) if len(begins) else np.empty(0, np.uint64)
-    return (hashes % np.uint64(shape.tokens)).astype(np.int32), owner
+    return hashes, owner
+
+
+def _token(hashes: np.ndarray, shape: Shape) -> np.ndarray:
+    return (hashes % np.uint64(shape.tokens)).astype(np.int32)
+
+
+def _tokens(part: pa.RecordBatch, shape: Shape, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    hashes, owner = _hashes(part, powers)
+    return _token(hashes, shape), owner
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words with their counts, put out whenever many are held."""
+    powers, held, size = Powers(), [], 0
+
+    def out() -> pa.RecordBatch:
+        values, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    for batch in batches:
+        for part in slices(batch, "text", SLICE_BYTES):
+            found = np.unique(_hashes(part, powers)[0], return_counts=True)
+            if len(found[0]):
+                held.append(found)
+                size += len(found[0])
+            if size > HELD:
+                yield out()
+                held, size = [], 0
+    if held:
+        yield out()
 
 
 def _count(shape: Shape) -> Callable:
+    """Counts of tokens from those of words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, counts = Powers(), np.zeros(shape.tokens, np.int64)
+        counts = np.zeros(shape.tokens, np.int64)
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                counts += np.bincount(_tokens(part, shape, powers)[0], minlength=shape.tokens)
+            found = _token(batch.column("word").to_numpy().view(np.uint64), shape)
+            np.add.at(counts, found, batch.column("n").to_numpy())
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["at", "n"])
 
@@ -190,48 +227,117 @@ def _train(shape: Shape, flat: np.ndarray) -> Callable:
     return run
 
 
-def _score(shape: Shape, flat: np.ndarray) -> Callable:
+def _score(shape: Shape, flat: np.ndarray, table: Words) -> Callable:
+    """A row for each text (``real`` is false): its tokens and what is known of its
+    log-likelihood. And one for each of its words that is not among the common ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, network = Powers(), Network(shape, flat)
+        whole = np.log(table.tokens + 1.0)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                tokens, owner = _tokens(part, shape, powers)
+                hashes, owner = _hashes(part, powers)
+                tokens = _token(hashes, shape)
                 context, log_p = network.around(tokens, owner), np.empty(len(tokens))
                 for start in range(0, len(tokens), shape.batch):
                     some = slice(start, start + shape.batch)
                     log_p[some] = network.step(context[some], tokens[some], learn=False)
+                log_p -= whole[tokens]
+                place = np.minimum(np.searchsorted(table.common, hashes), len(table.common) - 1)
+                known = table.common[place] == hashes
+                log_p[known] += table.logs[place[known]]
                 texts = part.num_rows
+                sizes = np.bincount(owner, minlength=texts).astype(np.int64)
+                sums = np.bincount(owner, weights=log_p, minlength=texts).astype(float)
+                # Distinct words of each text: texts come in order, words are sorted inside them.
+                rare, of = hashes[~known], owner[~known]
+                order = np.lexsort((rare, of))
+                rare, of = rare[order], of[order]
+                new = np.ones(len(rare), bool)
+                new[1:] = (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])
+                at = np.flatnonzero(new)
+                n = np.diff(np.append(at, len(rare)))
+                rows = part.select(["at", "doc_id"])
+                keys = pa.concat_arrays([rows.column("at"), pa.array(rare[at].view(np.int64))])
+                both = rows.take(pa.array(np.concatenate([np.arange(texts), of[at]])))
+                zeros = np.zeros(len(at))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
-                        pa.array(np.bincount(owner, minlength=texts).astype(np.int64)),
-                        pa.array(np.bincount(owner, weights=log_p, minlength=texts).astype(float)),
+                        *both.columns,
+                        keys.cast(pa.int64()),
+                        pa.array(np.arange(texts + len(at)) >= texts),
+                        pa.array(np.concatenate([sizes, n])),
+                        pa.array(np.concatenate([sums, zeros])),
                     ],
-                    names=["doc_id", "n_tokens", "log_likelihood"],
+                    names=["at", "doc_id", "word", "real", "n", "value"],
                 )
 
     return run
 
 
+@dataclass(frozen=True)
+class Words:
+    """How often each word is in the corpus. ``tokens`` has the counts of all tokens; ``common``
+    and ``logs`` are hashes of the commonest words, sorted, and the logarithms of their counts;
+    ``table`` has all words, and stays on the cluster."""
+
+    table: DataFrame
+    tokens: np.ndarray
+    common: np.ndarray
+    logs: np.ndarray
+
+
+def sized(distinct: int) -> Shape:
+    """A network for so many distinct words: its tokens grow with their square root."""
+    classes = 32
+    while 2 * (2 * classes) ** 2 <= 3.2 * distinct**0.5:
+        classes *= 2
+    return Shape(classes=classes, members=2 * classes)
+
+
 class MaskedModel:
     """Trained on every document once.
 
+    The words of all documents are counted in a table that grows with them and stays on the
+    cluster; the network predicts tokens, into which words are hashed (``shape``; by default
+    sized by the number of distinct words). A word's probability is that of its token times
+    its exact share of the token's count, to which one is added for all words that are not in
+    the table. Words are told apart by a hash of 64 bits.
+
     Documents are dealt into ``rounds`` parts by a hash of their text. In a round, each
     partition trains a copy of the network on its documents of that part; the copies are
     averaged by their numbers of tokens, in one shuffle whose rows grow with the partitions.
-    Only the average, whose size is fixed by ``shape``, comes to the driver.
+    The average and the ``COMMON`` commonest words come to the driver.
     """
 
-    def __init__(self, shape: Shape = Shape(), rounds: int = 3):
-        self.shape, self.rounds = shape, rounds
+    def __init__(self, shape: Shape | None = None, rounds: int = 3, staging: Staging | None = None):
+        self.shape, self.rounds, self.staging = shape, rounds, staging
+        self.words: Words | None = None
 
-    def train(self, docs: DataFrame) -> np.ndarray:
-        texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    def count(self, texts: DataFrame) -> Words:
+        area = Staging(texts.sparkSession, self.staging and self.staging.path)
+        table = texts.mapInArrow(_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        table = area.settle(table, "words")
+        if self.shape is None:
+            self.shape = sized(table.count())
         counts = np.zeros(self.shape.tokens)
-        found = texts.mapInArrow(_count(self.shape), "at bigint, n bigint")
+        found = table.mapInArrow(_count(self.shape), "at bigint, n bigint")
         for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
             counts[row.at] = row.n
-        flat = self.shape.start(counts)
+        # A word that is there once adds the logarithm of 1.
+        table = table.where("n > 1")
+        common = table.orderBy(F.desc("n"), "word").limit(COMMON).toArrow()
+        hashes = common.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        logs = np.log(common.column("n").to_numpy()[order].astype(float))
+        if not len(hashes):
+            return Words(table, counts, np.zeros(1, np.uint64), np.zeros(1))
+        return Words(table, counts, hashes[order], logs)
+
+    def train(self, docs: DataFrame) -> np.ndarray:
+        texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+        self.words = self.count(texts)
+        flat = self.shape.start(self.words.tokens)
         for number in range(self.rounds):
             part = texts.where(F.pmod(F.xxhash64("text"), F.lit(self.rounds)) == number)
             copies = part.mapInArrow(_train(self.shape, flat), "at bigint, value double, weight double")
@@ -243,15 +349,29 @@ class MaskedModel:
         return flat
 
     def score(self, docs: DataFrame, flat: np.ndarray) -> DataFrame:
-        """``doc_id``, ``n_tokens``, ``log_likelihood`` (the sum over all tokens) and
-        ``per_token`` of every row. Null and empty texts have no tokens, a sum of 0 and a null
-        mean; equal texts get equal scores; no row gives no row."""
+        """``doc_id``, ``n_tokens``, ``log_likelihood`` (the sum over all words) and
+        ``per_token`` of every row. Null and empty texts have no words, a sum of 0 and a null
+        mean; equal texts get equal scores; rows keep their order; no row gives no row. ``train``
+        comes first."""
         texts = docs.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+            F.monotonically_increasing_id().alias("at"),
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.col("text").cast("string").alias("text"),
+        )
+        schema = "at bigint, doc_id bigint, word bigint, real boolean, n bigint, value double"
+        run = _score(self.shape, flat, dataclasses.replace(self.words, table=None))
+        rows = texts.mapInArrow(run, schema)
+        # Rows of texts have keys of their own, which meet no word.
+        table = self.words.table.select("word", F.lit(True).alias("real"), F.log("n").alias("log_n"))
+        rows = rows.join(table, ["word", "real"], "left")
+        found = F.when(F.col("real"), F.col("n") * F.coalesce("log_n", F.lit(0.0))).otherwise(F.col("value"))
+        sums = rows.groupBy("at").agg(
+            F.max("doc_id").alias("doc_id"),
+            F.sum(F.when(F.col("real"), 0).otherwise(F.col("n"))).alias("n_tokens"),
+            F.sum(found).alias("log_likelihood"),
         )
-        schema = "doc_id bigint, n_tokens bigint, log_likelihood double"
         mean = F.col("log_likelihood") / F.nullif(F.col("n_tokens"), F.lit(0))
-        return texts.mapInArrow(_score(self.shape, flat), schema).withColumn("per_token", mean)
+        return sums.orderBy("at").select("doc_id", "n_tokens", "log_likelihood").withColumn("per_token", mean)
 
 
 def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
