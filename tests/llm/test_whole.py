@@ -6,13 +6,16 @@ import collections
 import random
 import re
 import sys
+import zlib
 
 import numpy as np
+import public_tokenizers as P
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from tidemart.llm import masked, pii, toxicity
+from tidemart.llm import fertility, masked, pii, toxicity
+from tidemart.llm.registry import QUERIES
 from tidemart.llm.rows import text_bytes
 from tidemart.llm.shingles import Powers, shingle_sets
 from tidemart.sources.staging import Staging
@@ -137,3 +140,37 @@ def test_masked_words_have_their_exact_share(documents, llm):
         assert 0.9 < seen < 1
     assert scores[0] == pytest.approx(scores[1], abs=1e-4)
     assert masked.sized(10).tokens == 2048 and masked.sized(10**9).tokens > 2048
+
+
+def test_bands_reject_labelled_noise_and_keep_good_texts(llm):
+    folder = "/root/testdata/sf0.1"
+    labels = {row.doc_id: row.quality for row in llm.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op8_fertility"](llm, folder).collect() if r.doc_id in labels and not r.base_failed]
+    # The widths were chosen on rows outside the held-out fifth.
+    rows = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    bad = [r.kept for r in rows if labels[r.doc_id] == 0]
+    good = [r.kept for r in rows if labels[r.doc_id] == 1]
+    assert len(bad) > 50 and sum(bad) <= 0.25 * len(bad)
+    assert len(good) > 500 and sum(good) >= 0.97 * len(good)
+
+
+def test_bands_reject_planted_fragments(llm, documents, staging):
+    """Clean texts of each language, and some with their words in pieces."""
+    r = random.Random(4)
+    folder = "/root/testdata/sf0.01"
+    good = llm.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    docs = llm.read.parquet(f"{folder}/documents.parquet").join(good, "doc_id").collect()
+    rows, planted, clean = [], {}, {}
+    for row in docs:
+        rows.append((row.doc_id, row.text, row.lang, "s"))
+        clean[row.doc_id] = row.lang
+        if len(row.text.split()) > 60 and r.random() < 0.1:
+            words = [x for w in row.text.split() for x in (w[: len(w) // 2] + "#*", w[len(w) // 2 :] + "|%") if x]
+            rows.append((1_000_000 + row.doc_id, " ".join(words), row.lang, "s"))
+            planted[1_000_000 + row.doc_id] = row.lang
+    found = {row.doc_id: row for row in fertility.judged(documents(rows), staging, P.path("piece_bpe_32k.model")).collect()}
+    for lang in sorted(set(planted.values())):
+        noise = [found[n].kept for n, x in planted.items() if x == lang]
+        kept = [found[n].kept for n, x in clean.items() if x == lang and not found[n].base_failed]
+        assert sum(noise) <= 0.1 * len(noise), lang
+        assert sum(kept) >= 0.95 * len(kept), lang
