@@ -10,6 +10,7 @@ from tidemart.llm.bpe import op4_bpe
 from tidemart.llm.exact import op6_exact_dedup
 from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.masked import op10_masked_lm
+from tidemart.llm.merkle import op11_merkle
 from tidemart.llm.minhash import op2_near_dedup
 from tidemart.llm.mixing import op1_mixing
 from tidemart.llm.oracles import ORACLES
@@ -43,6 +44,7 @@ QUERIES: dict[str, Query] = {
         op8_fertility,
         op9_bitplane,
         op10_masked_lm,
+        op11_merkle,
     )
 }
 
