@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.bpe import op4_bpe
+from tidemart.llm.decontaminate import op12_decontamination
 from tidemart.llm.exact import op6_exact_dedup
 from tidemart.llm.fertility import op8_fertility
 from tidemart.llm.masked import op10_masked_lm
@@ -18,6 +19,7 @@ from tidemart.llm.pii import op7_pii
 from tidemart.llm.planes import op9_bitplane
 from tidemart.llm.quality import op5_quality
 from tidemart.llm.shipping import ship
+from tidemart.llm.spelling import op13_spelling
 from tidemart.llm.toxicity import op3_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +47,8 @@ QUERIES: dict[str, Query] = {
         op9_bitplane,
         op10_masked_lm,
         op11_merkle,
+        op12_decontamination,
+        op13_spelling,
     )
 }
 

@@ -91,9 +91,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and text number of every word ``[^\\x20\\x09-\\x0D]+``."""
-    ink = ~_SPACE[data]
+def words(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text number of every word ``[^\\x20\\x09-\\x0D]+``; ``gaps`` marks the
+    bytes between other kinds of words."""
+    ink = ~gaps[data]
     if not ink.any():
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     after = np.zeros(len(data), bool)
