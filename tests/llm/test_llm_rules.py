@@ -37,10 +37,12 @@ def mixture_by_hand(rows, mixture):
     for _, leaf, n in rows:
         tokens[leaf] += n
     budgets = {(): mixture.budget * sum(tokens.values())}
+    weight = lambda depth, node: mixture.weights.get(mixing.LEVELS[depth], {}).get(node[depth], 1.0)
     for depth, level in enumerate(mixing.LEVELS):
         nodes = collections.Counter()
         for leaf, n in tokens.items():
-            nodes[leaf[: depth + 1]] += n * mixture.epochs
+            below = range(depth + 1, len(mixing.LEVELS))
+            nodes[leaf[: depth + 1]] += n * mixture.epochs * all(weight(d, leaf) > 0 for d in below)
         for parent in {node[:depth] for node in nodes}:
             children = sorted(node for node in nodes if node[:depth] == parent)
             weights = [mixture.weights.get(level, {}).get(node[-1], 1.0) for node in children]
@@ -82,6 +84,28 @@ def test_mixture_equals_brute_force(llm, staging, budget, epochs, bucket_rows):
     assert sum(x.taken_tokens for x in found if x.domain == "z") == 0
 
 
+@pytest.mark.parametrize(
+    "zeros", [{"lang": {"z": 0}}, {"source": {"s1": 0}}, {"domain": {"b": 0}, "lang": {"z": 0}, "source": {"s2": 0}}]
+)
+def test_weight_zero_passes_its_share_on(llm, staging, zeros):
+    """What a child of weight 0 holds is no capacity of its parent, at any level."""
+    mixture = mixing.Mixture(0.5, zeros, 1, seed=1)
+    rows = [(n, (d, lang, s), 10) for n, (d, lang, s) in enumerate(
+        [("a", "x", "s1")] * 10 + [("a", "z", "s2")] * 10 + [("b", "x", "s1")] * 15 + [("b", "x", "s2")] * 15 + [("c", "z", "s1")] * 5
+    )]
+    docs = llm.createDataFrame(
+        [(n, "w " * size, *leaf) for n, leaf, size in rows],
+        "doc_id bigint, text string, domain string, lang string, source string",
+    )
+    found = mixture.mixed(docs, staging).collect()
+    got = collections.Counter((x.doc_id, x.n_tokens, x.whole_epochs, x.last_tokens, x.taken_tokens) for x in found)
+    assert sum((got - mixture_by_hand(rows, mixture)).values()) <= 3
+    closed = [x for x in found if 0 in (zeros.get(k, {}).get(x[k], 1) for k in mixing.LEVELS)]
+    assert closed and sum(x.taken_tokens for x in closed) == 0
+    room = sum(x.n_tokens for x in found) - sum(x.n_tokens for x in closed)
+    assert sum(x.taken_tokens for x in found) >= min(275, room) - 3
+
+
 def test_mixture_of_odd_rows(documents, odd_rows, llm, staging):
     docs = documents(odd_rows).drop("domain").withColumn("domain", F.lit(None).cast("string"))
     found = mixing.Mixture(1.0, {}, 1).mixed(docs, staging).collect()

@@ -42,6 +42,10 @@ class Mixture:
             out = F.when(F.col(level) == value, F.lit(float(weight))).otherwise(out)
         return out
 
+    def _reach(self, level: str) -> Column:
+        reached = F.when(self._weight(level) > 0, F.col("capacity")).otherwise(0.0)
+        return F.sum(reached).alias("capacity")
+
     def key(self) -> Column:
         """A document's place in the epoch numbered ``whole``."""
         name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -74,10 +78,11 @@ class Mixture:
             F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")
         )
         leaf = leaf.withColumn("capacity", F.col("tokens").cast("double") * self.epochs)
-        langs = leaf.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity"))
-        domains = langs.groupBy("domain").agg(F.sum("capacity").alias("capacity"))
+        # A node can take what its children of positive weight can, from the leaves upwards.
+        langs = leaf.groupBy("domain", "lang").agg(self._reach("source"), F.sum("capacity").alias("all"))
+        domains = langs.groupBy("domain").agg(self._reach("lang"), F.sum("all").alias("all"))
         # The whole tree has few nodes at this level; the sum is one row.
-        whole = domains.agg((F.sum("capacity") * (self.budget / self.epochs)).alias("given"))
+        whole = domains.agg((F.sum("all") * (self.budget / self.epochs)).alias("given"))
         domains = domains.join(F.broadcast(whole)).withColumn("root", F.lit(0))
         domains = self._share(domains, ["root"], "domain")
         langs = self._under(langs, domains, ["domain"])
