@@ -28,9 +28,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def random_texts(seed, count=60):
@@ -78,8 +76,7 @@ def test_pieces_start_over_without_changing_results():
 
 def test_library_pieces_equal_whole_texts(library):
     texts = ODD_TEXTS + random_texts(3)
-    table = pieces.PieceIds(planes.LibraryPieces(VOCABULARY).encode_keys)
-    ids, sizes = table.ids(pa.array(texts))
+    ids, sizes = planes.LibraryIds(VOCABULARY).ids(pa.array(texts))
     for text, stop, size in zip(texts, np.cumsum(sizes), sizes):
         assert ids[stop - size : stop].tolist() == library.encode(text, add_special_tokens=False).ids
 
@@ -90,8 +87,7 @@ def test_each_text_alone_equals_the_library(library, seed):
     r = random.Random(seed)
     words = ["word", "Wort.", "é,", "x.y.", "..", "a.,", "9.", "'s,", "漢。", "!.", "I'll", "b"]
     texts = ["".join(r.choice([" ", "\n", "  "] if seed % 2 else [" ", "\n"]) + r.choice(words) for _ in range(30))[1:] for _ in range(20)]
-    table = pieces.PieceIds(planes.LibraryPieces(VOCABULARY).encode_keys)
-    ids, sizes = table.ids(pa.array(texts))
+    ids, sizes = planes.LibraryIds(VOCABULARY).ids(pa.array(texts))
     for text, stop, size in zip(texts, np.cumsum(sizes), sizes):
         assert ids[stop - size : stop].tolist() == library.encode(text, add_special_tokens=False).ids
 
@@ -123,8 +119,18 @@ def test_plane_file_round_trip():
         planes.PlaneReader(pa.BufferReader(b"x" * 100))
 
 
+def test_special_strings_are_what_the_library_takes_them_for(library):
+    special = "<|endoftext|>"
+    texts = [f"a {special} b", f"{special}{special}", None, "a b", f" x\n{special}.", special[:-1] + " " + special]
+    ids, sizes = planes.LibraryIds(VOCABULARY).ids(pa.array(texts))
+    for text, stop, size in zip(texts, np.cumsum(sizes), sizes):
+        assert ids[stop - size : stop].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert 50256 in ids
+
+
 def test_written_planes_equal_the_library(documents, odd_rows, staging, library):
     rows = odd_rows + [(40 - n, text, "en", "s") for n, text in enumerate(random_texts(4, 30))]
+    rows += [(50 + n, text, "en", "s") for n, text in enumerate(ODD_TEXTS)]
     shards = planes.write_planes(documents(rows).repartition(5), staging, VOCABULARY)
     found = sorted(planes.read_planes(shards, staging.path).collect(), key=lambda row: row.start)
     assert len(found) == len(rows)

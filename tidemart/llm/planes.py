@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import public_tokenizers
 import zstandard
@@ -162,7 +163,7 @@ class LibraryPieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -195,11 +196,33 @@ class LibraryPieces:
         return joinable + alone, *every
 
 
-def _pieces(path: str) -> PieceIds:
-    def make() -> PieceIds:
-        return PieceIds(LibraryPieces(path).encode_keys, 900_000)
+class LibraryIds:
+    """Ids of texts as the library gives them. A text that holds the string of a special token
+    goes to it whole, since such strings are found before anything is cut."""
+
+    def __init__(self, path: str, limit: int = 900_000):
+        self.library = LibraryPieces(path)
+        self.pieces = PieceIds(self.library.encode_keys, limit)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        whole = np.zeros(len(texts), bool)
+        for special in self.library.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self.pieces.ids(texts)
+        ids, sizes = self.pieces.ids(pc.if_else(pa.array(~whole), texts, ""))
+        found = self.library.tokenizer.encode_batch_fast(
+            texts.filter(pa.array(whole)).to_pylist(), add_special_tokens=False
+        )
+        own, lengths = joined([x.ids for x in found])
+        ids = np.insert(ids, np.repeat(np.cumsum(sizes)[whole], lengths), own)
+        sizes[whole] = lengths
+        return ids, sizes
+
 
-    return resident.keep(("planes", path), make)
+def _pieces(path: str) -> LibraryIds:
+    return resident.keep(("planes", path), lambda: LibraryIds(path))
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
