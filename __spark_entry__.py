@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -13,26 +14,36 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 import oracles  # noqa: E402
 from landing import WIDE, export, landing_lines, with_odd_lines  # noqa: E402
+from tidemart.operators.side_by_side import side_by_side  # noqa: E402
 from tidemart.plans import direct, gold, reports, silver  # noqa: E402
+from tidemart.plans.factorised import FactorisedFact, fact_links  # noqa: E402
+from tidemart.plans.routing import RoutedTables  # noqa: E402
 from tidemart.plans.warehouse import Warehouse  # noqa: E402
 from tidemart.sources.raw import read_manifest, read_source, source_summary, with_lineage  # noqa: E402
 from tidemart.sources.schemas import RAW_SOURCES, columns_of  # noqa: E402
 from tidemart.sources.staging import Staging  # noqa: E402
 from tidemart.sources.tables import preview  # noqa: E402
-from tidemart.sources.text_records import decode_summary  # noqa: E402
-
-# The operators for training data and their pipeline may be taken out of the library.
+from tidemart.sources.text_records import (  # noqa: E402
+    decode_strict,
+    decode_summary,
+    read_records,
+    route_records,
+)
+from tidemart.sources.versions import VersionedTable  # noqa: E402
+
+# The operators for training data and their pipeline may be taken out of the library, and need
+# modules that the rest does without. The queries of the warehouse stand in any case.
 try:
     from tidemart.llm.registry import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("tidemart.llm", "tidemart.llm.registry"):
-        raise
+        warnings.warn(f"no operators for training data: {missing}", stacklevel=1)
     LLM_ORACLES, LLM_QUERIES = {}, {}
 try:
     import corpus_pipeline
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("tidemart.llm"):
-        raise
+        warnings.warn(f"no corpus pipeline: {missing}", stacklevel=1)
     corpus_pipeline = None
 
 LOAD_DATE = dt.date.fromisoformat(oracles.LOAD_DATE)
@@ -201,19 +212,104 @@ def q22_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(_star(spark, sf_dir)[2], 10, *order)
 
 
-def q23_tolerant_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+_RECORD = """format_string('{"order":%d,"line":%d,"flag":"%s"}',
+    l_orderkey, l_linenumber, l_returnflag) AS record"""
+_RECORD_FIELDS = "order bigint, line int, flag string"
+
+
+def _json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as JSON text, some of it cut short, doubled, followed by other text, in
     brackets, in single quotes or empty."""
-    written = """format_string('{"order":%d,"line":%d,"flag":"%s"}',
-        l_orderkey, l_linenumber, l_returnflag) AS record"""
     damaged = """CASE (l_orderkey + l_linenumber) % 11
         WHEN 1 THEN left(record, length(record) - 1) WHEN 2 THEN concat('{', record)
         WHEN 3 THEN '' WHEN 4 THEN concat(record, record) WHEN 5 THEN concat(record, ' xyz')
         WHEN 6 THEN concat(record, ',', record) WHEN 7 THEN concat('[', record, ']')
         WHEN 8 THEN translate(record, '"', "'") ELSE record END AS value"""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    records = lines.selectExpr("l_orderkey", "l_linenumber", written).selectExpr(damaged)
-    return decode_summary(records, "order bigint, line int, flag string")
+    return lines.selectExpr("l_orderkey", "l_linenumber", _RECORD).selectExpr(damaged)
+
+
+def q23_tolerant_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_summary(_json_records(spark, sf_dir), _RECORD_FIELDS)
+
+
+def q28_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bronze step notes of each source while it writes the lines."""
+    lines = landing_lines(spark, sf_dir)
+    lines["sales_details"] = with_odd_lines(lines["sales_details"])
+    root = Staging(spark).path
+    manifest = export(lines, f"{root}/landing")
+    return Warehouse(spark, root, load_date=LOAD_DATE).ingest(manifest)
+
+
+def q29_strict_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines written as text records and read back, all of them or none."""
+    folder = f"{Staging(spark).path}/records"
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines.selectExpr(_RECORD).write.text(folder)
+    records = read_records(spark, folder)
+    return decode_strict(records, _RECORD_FIELDS, place=("file", "block", "row"))
+
+
+def q30_rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject table of a write that routes records to two tables in one pass."""
+    routed = route_records(_json_records(spark, sf_dir), _RECORD_FIELDS)
+    table = VersionedTable(spark, f"{Staging(spark).path}/records")
+    table.replace(routed, "outcome")
+    return table.read(routed.schema).where("outcome = 'rejected'").select("value", "reason")
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> RoutedTables:
+    """Silver rows and rejected lines of all sources, each written by one job."""
+    tables = RoutedTables(spark, Staging(spark).path, WIDE)
+    bronze = _bronze(spark, sf_dir)
+    side_by_side(
+        spark, lambda entity: tables.write(bronze[entity.source], entity, AS_OF), WIDE.values()
+    )
+    return tables
+
+
+def q31_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed(spark, sf_dir).rejected()
+
+
+def q32_stored_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality counts from the marks in the stored files."""
+    return _routed(spark, sf_dir).quality()
+
+
+def _factorised(spark: SparkSession, sf_dir: str) -> FactorisedFact:
+    """The fact in which missing keys meet each other, without its pairs."""
+    tables, staging = _silver(spark, sf_dir), Staging(spark)
+    customers, products = gold.dimensions(tables, staging)
+    links = fact_links(tables["sales_details"], products, customers, "match")
+    return FactorisedFact(links, products, customers, "match")
+
+
+def q33_match_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factorised(spark, sf_dir).by_customer()
+
+
+def q34_match_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factorised(spark, sf_dir).by_product()
+
+
+def q35_match_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return direct.monthly_trend(*_unnumbered(spark, sf_dir), null_keys="match")
+
+
+def q36_match_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return direct.revenue_by_country(*_unnumbered(spark, sf_dir), null_keys="match")
+
+
+def q37_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension of a second load, which brings the customers since 2022."""
+    names = ("customer_info", "customer_birth", "customer_location")
+    tables, staging = _silver(spark, sf_dir, *names), Staging(spark)
+    early = tables["customer_info"].where("customer_date < DATE '2022-01-01'")
+    last = gold.dim_customer(early, tables["customer_birth"], tables["customer_location"], staging)
+    last = staging.settle(last, "last")
+    return gold.dim_customer(*tables.values(), Staging(spark), last)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -255,6 +351,16 @@ def warehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q25_stored_top_customers": q25_stored_top_customers,
         "q26_stored_counts": q26_stored_counts,
         "q27_line_amounts": q27_line_amounts,
+        "q28_ingest_manifest": q28_ingest_manifest,
+        "q29_strict_decode": q29_strict_decode,
+        "q30_rejected_records": q30_rejected_records,
+        "q31_rejected_lines": q31_rejected_lines,
+        "q32_stored_quality": q32_stored_quality,
+        "q33_match_by_customer": q33_match_by_customer,
+        "q34_match_by_product": q34_match_by_product,
+        "q35_match_monthly": q35_match_monthly,
+        "q36_match_country": q36_match_country,
+        "q37_second_load": q37_second_load,
     }
 
 

@@ -276,6 +276,15 @@ LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key AND p.prod_key <> 'N/
 LEFT JOIN gold_dim_customer c ON s.sls_cust_id = c.customer_id
 """
 
+TABLES["match_fact"] = """
+SELECT c.unique_number_customer AS customer_unique_num, p.unique_number AS product_unique_num,
+    s.sls_order_date AS order_date, s.sales_sls_price AS sales_amount, s.sales_quantity,
+    s.sales_price AS price, c.country, c.unique_number_customer IS NOT NULL AS known
+FROM silver_sales_details s
+LEFT JOIN gold_dim_product p ON s.sls_prd_key = p.prod_key
+LEFT JOIN gold_dim_customer c ON s.sls_cust_id IS NOT DISTINCT FROM c.customer_id
+"""
+
 TABLES["export_sales_details"] = """
 SELECT rawdata FROM land_sales_details
 UNION ALL
@@ -467,6 +476,62 @@ FROM (SELECT f.*, c.country, c.unique_number_customer IS NOT NULL AS known FROM
 GROUP BY 1""",
 }
 
+_DAMAGED = """
+SELECT CASE (l_orderkey + l_linenumber) % 11
+    WHEN 1 THEN record[:-2] WHEN 2 THEN '{' || record WHEN 3 THEN '' WHEN 4 THEN record || record
+    WHEN 5 THEN record || ' xyz' WHEN 6 THEN record || ',' || record
+    WHEN 7 THEN '[' || record || ']' WHEN 8 THEN replace(record, '"', '''') ELSE record END AS value
+FROM (SELECT l_orderkey, l_linenumber, '{"order":' || l_orderkey || ',"line":' || l_linenumber ||
+    ',"flag":"' || l_returnflag || '"}' AS record FROM lineitem)"""
+
+
+def _key_rejects(entity: str, source: str, arity: int) -> str:
+    """Lines with too few fields, or without a valid key."""
+    key = {
+        "customer_info": "NOT regexp_full_match(upper(trim(f[2])), 'AW[0-9]{12}')",
+        "customer_birth": "NOT regexp_full_match(upper(trim(f[1])), 'NASAW[0-9]{12}')",
+        "customer_location": "NOT regexp_full_match(upper(trim(f[1])), 'AW-[0-9]{12}')",
+        "category_products": "NOT (length(trim(f[1])) = 5 AND trim(f[1])[3] = '_')",
+        "product_info": "length(trim(f[1])) <> 3",
+        "sales_details": "NOT regexp_full_match(trim(f[1]), 'SO[0-9A-Za-z]{16}')",
+    }[entity]
+    return f"""SELECT '{entity}' AS table_name, '{source}' AS path_name, DATE '{LOAD_DATE}' AS load_date,
+    CASE WHEN len(f) < {arity} THEN 'too few fields' ELSE 'invalid key' END AS reason, rawdata
+FROM (SELECT rawdata, string_split(rawdata, ',') AS f FROM land_{source})
+WHERE len(f) < {arity} OR {key}"""
+
+
+_TOTALS = """SELECT {number}, count(*) AS fact_rows, sum(price) AS price, sum(sales_amount) AS sales_amount,
+    sum(sales_quantity) AS sales_quantity
+FROM match_fact GROUP BY {number}"""
+
+_QUERIES |= {
+    "q28_ingest_manifest": _QUERIES["q02_bronze_manifest"],
+    "q29_strict_decode": """
+SELECT l_orderkey AS "order", l_linenumber AS line, l_returnflag AS flag FROM lineitem""",
+    "q30_rejected_records": f"""
+SELECT value, CASE WHEN trim(value) = '' THEN 'empty'
+    WHEN json_valid('[' || value || ']') AND value LIKE '{{%' THEN 'not one object'
+    ELSE 'unreadable' END AS reason
+FROM ({_DAMAGED}) WHERE NOT (json_valid(value) AND value LIKE '{{%')""",
+    "q31_rejected_lines": " UNION ALL ".join(_key_rejects(*row) for row in _ARITIES),
+    "q32_stored_quality": _QUERIES["q10_quality"],
+    "q33_match_by_customer": _TOTALS.format(number="customer_unique_num"),
+    "q34_match_by_product": _TOTALS.format(number="product_unique_num"),
+    "q35_match_monthly": """
+SELECT monthname(make_date(2000, month_num, 1)) AS month, total_sales, total_orders, month_num
+FROM (SELECT CAST(month(order_date) AS INTEGER) AS month_num,
+        CAST(printf('%.2f', sum(price)) AS DOUBLE) AS total_sales, count(*) AS total_orders
+    FROM match_fact WHERE order_date IS NOT NULL GROUP BY 1)""",
+    "q36_match_country": """
+SELECT CASE WHEN known THEN country ELSE 'N/A' END AS customer_country, sum(price) AS revenue
+FROM match_fact GROUP BY 1""",
+    "q37_second_load": """
+SELECT * EXCLUDE (unique_number_customer, early), row_number() OVER (
+        ORDER BY CASE WHEN early THEN 0 ELSE 1 END, unique_number_customer) AS unique_number_customer
+FROM (SELECT *, coalesce(customer_since < DATE '2022-01-01', false) AS early FROM gold_dim_customer)""",
+}
+
 _QUERIES |= {
     "q24_stored_monthly": _QUERIES["q18_monthly_trend"],
     "q25_stored_top_customers": _QUERIES["q20_top_customers"],

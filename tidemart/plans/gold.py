@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tidemart.functions.customers import country_of_location, preferred_gender
 from tidemart.functions.text import or_not_available
-from tidemart.operators.dense_index import dense_index
+from tidemart.operators.dense_index import dense_index, extend_index
 from tidemart.operators.joins import NullKeys, key_equality, left_join, with_real_key
 from tidemart.operators.side_by_side import side_by_side
 from tidemart.sources.staging import Staging
@@ -58,30 +58,54 @@ def product_rows(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def dim_customer(
-    customers: DataFrame, births: DataFrame, locations: DataFrame, staging: Staging
+    customers: DataFrame,
+    births: DataFrame,
+    locations: DataFrame,
+    staging: Staging,
+    last: DataFrame | None = None,
 ) -> DataFrame:
+    """Numbered customers. Those that ``last``, the dimension of the load before, knows by key
+    keep their numbers; without it numbers follow the order of the keys."""
     rows = customer_rows(customers, births, locations)
-    return dense_index(rows, ["customer_key"], "unique_number_customer", staging)
+    if last is None:
+        return dense_index(rows, ["customer_key"], "unique_number_customer", staging)
+    return extend_index(rows, last, ["customer_key"], [], "unique_number_customer", staging)
 
 
-def dim_product(products: DataFrame, categories: DataFrame, staging: Staging) -> DataFrame:
+def dim_product(
+    products: DataFrame, categories: DataFrame, staging: Staging, last: DataFrame | None = None
+) -> DataFrame:
+    """Numbered product versions. Those that ``last`` knows by key, start and id keep their
+    numbers."""
     rows = product_rows(products, categories)
     order = ["prod_key", "product_start_date", "product_id"]
-    return dense_index(rows, order, "unique_number", staging)
+    if last is None:
+        return dense_index(rows, order, "unique_number", staging)
+    return extend_index(rows, last, order, [], "unique_number", staging)
+
+
+Dimensions = tuple[DataFrame, DataFrame]
 
 
 def dimensions(
-    silver: Mapping[str, DataFrame], staging: Staging
-) -> tuple[DataFrame, DataFrame]:
-    """Customer and product dimension of the silver tables, built side by side."""
+    silver: Mapping[str, DataFrame], staging: Staging, last: Dimensions | None = None
+) -> Dimensions:
+    """Customer and product dimension of the silver tables, built side by side; ``last`` are
+    those of the load before, whose numbers are kept."""
+    last_customers, last_products = last or (None, None)
 
     def customers() -> DataFrame:
         return dim_customer(
-            silver["customer_info"], silver["customer_birth"], silver["customer_location"], staging
+            silver["customer_info"],
+            silver["customer_birth"],
+            silver["customer_location"],
+            staging,
+            last_customers,
         )
 
     def products() -> DataFrame:
-        return dim_product(silver["product_info"], silver["category_products"], staging)
+        tables = silver["product_info"], silver["category_products"]
+        return dim_product(*tables, staging, last_products)
 
     customer, product = side_by_side(staging.spark, lambda build: build(), [customers, products])
     return customer, product

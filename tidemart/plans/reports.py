@@ -89,12 +89,22 @@ def ranking_report(totals: DataFrame, top: int | None) -> DataFrame:
     return ranked.drop("unique_number_customer")
 
 
+def country_of_totals(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """``sales`` per ``customer_unique_num`` to sales per country."""
+    return country_report(_with_customer(totals, customers, "country"))
+
+
+def ranking_of_totals(totals: DataFrame, customers: DataFrame, top: int | None) -> DataFrame:
+    """``sales`` and ``orders`` per ``customer_unique_num`` to the ranking of customers."""
+    return ranking_report(_with_customer(totals, customers, "country", "gender"), top)
+
+
 def revenue_by_country(
     fact: DataFrame, customers: DataFrame, measure: Measure = "price"
 ) -> DataFrame:
     """Sales per country. NULL (no location), ``'Unknown'`` (location without a listed
     country) and ``'N/A'`` (no customer) stay three groups."""
-    return country_report(_with_customer(_per_customer(fact, measure), customers, "country"))
+    return country_of_totals(_per_customer(fact, measure), customers)
 
 
 def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
@@ -126,5 +136,4 @@ def customer_ranking(
     ``customer_id`` is the surrogate number; sales without customer share one row. Equal
     totals are ranked by surrogate number.
     """
-    totals = _with_customer(_per_customer(fact, measure), customers, "country", "gender")
-    return ranking_report(totals, top)
+    return ranking_of_totals(_per_customer(fact, measure), customers, top)

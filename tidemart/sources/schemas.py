@@ -50,7 +50,8 @@ _GOLD = {
 }
 
 LAYERS = {
-    "bronze": {name: _BRONZE for name in RAW_SOURCES},
+    "bronze": {name: _BRONZE for name in RAW_SOURCES}
+    | {"manifest": "path_name string, rows bigint, sample_line string"},
     "silver": _SILVER,
     "gold": _GOLD,
 }
