@@ -16,6 +16,7 @@ import oracles  # noqa: E402
 from landing import WIDE, export, landing_lines, with_odd_lines  # noqa: E402
 from tidemart.operators.side_by_side import side_by_side  # noqa: E402
 from tidemart.plans import direct, gold, reports, silver  # noqa: E402
+from tidemart.plans.bucketed import BucketedLayers  # noqa: E402
 from tidemart.plans.factorised import FactorisedFact, fact_links  # noqa: E402
 from tidemart.plans.routing import RoutedTables  # noqa: E402
 from tidemart.plans.warehouse import Warehouse  # noqa: E402
@@ -312,6 +313,32 @@ def q37_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_customer(*tables.values(), Staging(spark), last)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> BucketedLayers:
+    """The fact and its customers as stored by customer number."""
+    customers, _, fact = _star(spark, sf_dir)
+    staging = Staging(spark)
+    tables = {"gold_dim_customer": customers, "gold_fact_sales": fact}
+    stored = {name: staging.settle(table, name) for name, table in tables.items()}
+    layers = BucketedLayers(spark, staging.path, buckets=8)
+    side_by_side(spark, lambda item: layers.store("gold", *item), stored.items())
+    return layers
+
+
+def q38_bucketed_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers ranked, from tables that need no shuffle to be joined and summed."""
+    return _bucketed(spark, sf_dir).customer_ranking()
+
+
+def q39_bucketed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with birth and location, joined bucket by bucket."""
+    names = ("customer_info", "customer_birth", "customer_location")
+    tables, staging = _silver(spark, sf_dir, *names), Staging(spark)
+    layers = BucketedLayers(spark, staging.path, buckets=8)
+    stored = [(name, staging.settle(tables[name], name)) for name in names]
+    side_by_side(spark, lambda item: layers.store("silver", *item), stored)
+    return layers.customer_rows()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by country, from raw lines to the report."""
     return q17_revenue_by_country(spark, "/root/testdata/sf0.001")
@@ -361,6 +388,8 @@ def warehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q35_match_monthly": q35_match_monthly,
         "q36_match_country": q36_match_country,
         "q37_second_load": q37_second_load,
+        "q38_bucketed_ranking": q38_bucketed_ranking,
+        "q39_bucketed_customers": q39_bucketed_customers,
     }
 
 

@@ -526,6 +526,8 @@ FROM (SELECT CAST(month(order_date) AS INTEGER) AS month_num,
     "q36_match_country": """
 SELECT CASE WHEN known THEN country ELSE 'N/A' END AS customer_country, sum(price) AS revenue
 FROM match_fact GROUP BY 1""",
+    "q38_bucketed_ranking": _QUERIES["q19_customer_sales"],
+    "q39_bucketed_customers": "SELECT * EXCLUDE (unique_number_customer) FROM gold_dim_customer",
     "q37_second_load": """
 SELECT * EXCLUDE (unique_number_customer, early), row_number() OVER (
         ORDER BY CASE WHEN early THEN 0 ELSE 1 END, unique_number_customer) AS unique_number_customer

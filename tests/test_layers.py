@@ -362,3 +362,63 @@ def test_a_rerun_changes_no_number(spark, manifest, plain, tmp_path):
     new = set(second) - set(first)
     assert set(first) <= set(second) and {row[-1] for row in new} == {len(first) + n for n in (1, 2, 3)}
     assert all(row[0] < "AB" for row in new)  # they would have come first
+
+
+# Bucketed tables
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def fact_with_hot_customer(spark):
+    values = ", ".join(
+        ["'SO' AS order_number", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 11 = 0 THEN NULL ELSE id % 300 END AS customer_unique_num",
+         "1L AS product_unique_num", "DATE '2026-01-01' AS order_date", "DATE '2026-01-02' AS order_shipping_date",
+         "1D AS sales_amount", "2D AS sales_quantity", "CAST(id % 50 AS DOUBLE) AS price"]
+    )
+    return spark.sql(f"SELECT {values} FROM range(3000)")
+
+
+def test_bucketed_tables_are_summed_and_joined_in_place(spark, plain, tmp_path, no_broadcast):
+    from tidemart.plans import reports
+    from tidemart.plans.bucketed import BucketedLayers
+
+    customers = plain.read("gold", "gold_dim_customer")
+    fact = fact_with_hot_customer(spark)
+    layers = BucketedLayers(spark, str(tmp_path), 6)
+    layers.store("gold", "gold_fact_sales", fact)
+    layers.store("gold", "gold_dim_customer", customers)
+    even, heavy = layers._parts("gold", "gold_fact_sales")
+    assert {row[0] for row in heavy.select("customer_unique_num").distinct().collect()} == {7, None}
+    assert rows(even.unionByName(heavy)) == rows(fact) == rows(layers.read("gold", "gold_fact_sales"))
+    assert "Exchange" not in plan_of(reports.per_customer(even, "price"))
+    dimension = layers._parts("gold", "gold_dim_customer")[0]
+    joined = reports.totals_with_customer(reports.per_customer(even, "price"), dimension)
+    assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+    for top in (None, 5):
+        assert rows(layers.customer_ranking(top)) == rows(reports.customer_ranking(fact, customers, top))
+    assert rows(layers.per_customer()) == rows(reports.per_customer(fact, "price"))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+
+
+def test_bucketed_customers_are_joined_in_place(spark, plain, tmp_path, no_broadcast):
+    from tidemart.plans.bucketed import _SILVER, BucketedLayers
+
+    tables = {name: plain.read("silver", name) for name in _SILVER}
+    # One key with a large part of the births, and one of the locations.
+    keys = [row[0] for row in tables["customer_info"].select("customer_key_cleaned").limit(2).collect()]
+    births = spark.range(400).selectExpr(f"'{keys[0]}' AS customer_key", "DATE '1980-01-01' AS birth_date", "'Male' AS gender", "CAST(id AS INT) AS age")
+    places = spark.range(300).selectExpr(f"'{keys[1]}' AS customer_location_key", "IF(id = 0, NULL, 'France') AS customer_location_state")
+    tables["customer_birth"] = tables["customer_birth"].unionByName(births)
+    tables["customer_location"] = tables["customer_location"].unionByName(places)
+    layers = BucketedLayers(spark, str(tmp_path), 6)
+    for name, table in tables.items():
+        layers.store("silver", name, table)
+    even = [layers._parts("silver", name)[0] for name in _SILVER]
+    plan = plan_of(gold.bucket_rows(*even))
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
+    assert rows(layers.customer_rows()) == rows(gold.customer_rows(*tables.values()))

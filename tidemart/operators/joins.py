@@ -29,7 +29,12 @@ def left_join(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
 
 
 def fan_out(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, null_keys: NullKeys
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    null_keys: NullKeys,
+    hot: bool = True,
 ) -> DataFrame:
     """Left rows with ``row_weight``: how many rows a left join on the keys makes of each.
 
@@ -37,9 +42,10 @@ def fan_out(
     A ``row_weight`` that the left rows already carry is multiplied, which chains joins;
     ``left_rows`` keeps it as it was and ``copies`` is this join's own factor.
 
-    Both ways of treating NULL keys use the null-safe join. Its keys are not those the
-    counting was partitioned by, so both sides are shuffled for the join itself, and
-    adaptive execution can split a hot left key. Without that shuffle it could not.
+    With ``hot`` left keys both ways of treating NULL keys use the null-safe join. Its keys are
+    not those the counting was partitioned by, so both sides are shuffled for the join
+    itself, and adaptive execution can split a hot left key. Left rows that were summed by
+    their key before are few a key, and keep the partitioning that they have.
     """
     carried = "row_weight" if "row_weight" in left.columns else "1L"
     kept = [column for column in left.columns if column != "row_weight"]
@@ -47,7 +53,8 @@ def fan_out(
     partners = matching.groupBy(F.expr(right_key).alias("partner_key")).agg(
         F.count("*").alias("partners")
     )
-    return left_join(left, partners, key_equality(left_key, "partner_key", "match")).selectExpr(
+    equality = key_equality(left_key, "partner_key", "match" if hot else null_keys)
+    return left_join(left, partners, equality).selectExpr(
         *kept,
         f"{carried} AS left_rows",
         "partners IS NOT NULL AS matched",

@@ -118,7 +118,7 @@ def monthly_trend(
         .groupBy(F.expr("month(sls_order_date)").alias("month_num"), "sls_cust_id")
         .agg(F.expr("sum(value * row_weight) AS value"), F.expr("sum(row_weight) AS row_weight"))
     )
-    counted = fan_out(monthly, customers, "sls_cust_id", "customer_id", null_keys)
+    counted = fan_out(monthly, customers, "sls_cust_id", "customer_id", null_keys, hot=False)
     return month_report(
         counted.groupBy("month_num").agg(
             F.expr("sum(value * copies) AS sales"),
@@ -133,7 +133,7 @@ def fact_size(
     """Number of fact rows, as ``rows``."""
     weighted = _by_product(sales.select("sls_prd_key", "sls_cust_id"), products, null_keys)
     per_buyer = weighted.groupBy("sls_cust_id").agg(F.expr("sum(row_weight) AS row_weight"))
-    counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys)
+    counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys, hot=False)
     return counted.selectExpr("coalesce(sum(row_weight), 0) AS rows")
 
 
@@ -150,7 +150,7 @@ def join_summary(
             F.expr("sum(row_weight) AS row_weight"),
         )
     )
-    counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys)
+    counted = fan_out(per_buyer, customers, "sls_cust_id", "customer_id", null_keys, hot=False)
     sums = counted.selectExpr(
         "coalesce(sum(sold), 0) AS sold",
         "coalesce(sum(sold_matched), 0) AS sold_matched",

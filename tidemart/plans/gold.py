@@ -22,11 +22,26 @@ def customer_rows(customers: DataFrame, births: DataFrame, locations: DataFrame)
     partitioned by other expressions: each join has a shuffle of its own, in which adaptive
     execution can split a hot key.
     """
-    born = births.selectExpr(
+    with_birth = left_join(customers, _born(births), "customer_key_cleaned = birth_key")
+    located = left_join(with_birth, locations, "customer_key_cleaned <=> customer_location_key")
+    return _customer_columns(located)
+
+
+def bucket_rows(customers: DataFrame, births: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same from tables that are stored by their keys and hold no hot one: both joins are
+    on the keys as they are, so neither needs a shuffle."""
+    with_birth = left_join(customers, _born(births), "customer_key_cleaned = birth_key")
+    located = left_join(with_birth, locations, "customer_key_cleaned = customer_location_key")
+    return _customer_columns(located)
+
+
+def _born(births: DataFrame) -> DataFrame:
+    return births.selectExpr(
         "customer_key AS birth_key", "birth_date", "gender AS birth_gender", "age"
     )
-    with_birth = left_join(customers, born, "customer_key_cleaned = birth_key")
-    located = left_join(with_birth, locations, "customer_key_cleaned <=> customer_location_key")
+
+
+def _customer_columns(located: DataFrame) -> DataFrame:
     return located.selectExpr(
         "customer_key_cleaned AS customer_key",
         "customer_id_cleaned AS customer_id",

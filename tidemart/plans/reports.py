@@ -48,7 +48,7 @@ def sales_with_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def _per_customer(fact: DataFrame, measure: Measure) -> DataFrame:
+def per_customer(fact: DataFrame, measure: Measure) -> DataFrame:
     """Sales and row count per surrogate number: combined map-side, and small enough that
     the customer join that follows moves one row per customer instead of every fact."""
     return fact.groupBy("customer_unique_num").agg(
@@ -96,7 +96,11 @@ def country_of_totals(totals: DataFrame, customers: DataFrame) -> DataFrame:
 
 def ranking_of_totals(totals: DataFrame, customers: DataFrame, top: int | None) -> DataFrame:
     """``sales`` and ``orders`` per ``customer_unique_num`` to the ranking of customers."""
-    return ranking_report(_with_customer(totals, customers, "country", "gender"), top)
+    return ranking_report(totals_with_customer(totals, customers), top)
+
+
+def totals_with_customer(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    return _with_customer(totals, customers, "country", "gender")
 
 
 def revenue_by_country(
@@ -104,7 +108,7 @@ def revenue_by_country(
 ) -> DataFrame:
     """Sales per country. NULL (no location), ``'Unknown'`` (location without a listed
     country) and ``'N/A'`` (no customer) stay three groups."""
-    return country_of_totals(_per_customer(fact, measure), customers)
+    return country_of_totals(per_customer(fact, measure), customers)
 
 
 def monthly_trend(fact: DataFrame, measure: Measure = "price") -> DataFrame:
@@ -136,4 +140,4 @@ def customer_ranking(
     ``customer_id`` is the surrogate number; sales without customer share one row. Equal
     totals are ranked by surrogate number.
     """
-    return ranking_of_totals(_per_customer(fact, measure), customers, top)
+    return ranking_of_totals(per_customer(fact, measure), customers, top)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,13 +56,23 @@ class VersionedTable:
     def folder(self, version: str) -> str:
         return f"{self._base}/data/{version}"
 
-    def replace(self, df: DataFrame, *partition_by: str, keep: int = 2) -> str:
+    def replace(
+        self,
+        df: DataFrame | None = None,
+        *partition_by: str,
+        keep: int = 2,
+        write: Callable[[str], None] | None = None,
+    ) -> str:
         """Write the rows as a new version and make it the current one; returns its name. The
-        last ``keep`` versions stay for readers that hold on to them."""
+        last ``keep`` versions stay for readers that hold on to them. ``write`` is for tables
+        that need more than one write: it is given the folder."""
         known = self.versions()
         number = int(known[-1].partition("-")[0]) + 1 if known else 1
         version = f"{number:012d}-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(self.folder(version))
+        if write is None:
+            df.write.partitionBy(*partition_by).parquet(self.folder(version))
+        else:
+            write(self.folder(version))
         if not self._store().createNewFile(self._at("log", version)):
             raise RuntimeError(f"version {version} of {self.path} is there already")
         self.vacuum(keep)
