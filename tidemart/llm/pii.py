@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import ipaddress
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -57,7 +60,7 @@ class Feistel:
         return value
 
     def characters(self, text: str, tweak: bytes) -> str:
-        """Digits become digits, and letters letters of their case; others stay."""
+        """Digits become digits, and letters letters of their case, in their script; others stay."""
         classes = [_class(c) for c in text]
         value = size = 0
         for char, (first, count) in zip(text, classes):
@@ -75,14 +78,32 @@ class Feistel:
         return "".join(out)
 
 
+@functools.lru_cache(4096)
 def _class(char: str) -> tuple[int, int]:
+    """First code point and size of the run of like letters or digits that a character is in.
+    Beyond ASCII a run is of one general category and ends at multiples of 32."""
     if "0" <= char <= "9":
         return 48, 10
     if "a" <= char <= "z":
         return 97, 26
     if "A" <= char <= "Z":
         return 65, 26
-    return 0, 0
+    kind = unicodedata.category(char)
+    if char < "\x80" or kind not in ("Lu", "Ll", "Lo", "Nd"):
+        return 0, 0
+    if kind == "Nd":
+        return ord(char) - unicodedata.digit(char), 10
+    first = last = ord(char)
+    while first % 32 and unicodedata.category(chr(first - 1)) == kind:
+        first -= 1
+    while (last + 1) % 32 and unicodedata.category(chr(last + 1)) == kind:
+        last += 1
+    return first, last - first + 1
+
+
+def _digits(text: str) -> str:
+    """The digits of any script as 0-9."""
+    return "".join(str(unicodedata.digit(c)) for c in text if c.isdecimal())
 
 
 def luhn_digit(digits: str) -> str:
@@ -95,9 +116,11 @@ def luhn_digit(digits: str) -> str:
 
 
 def _refill(shape: str, digits: str) -> str:
-    """The digits of ``shape`` replaced one by one."""
+    """The digits of ``shape`` replaced one by one, each by one of its script."""
     fresh = iter(digits)
-    return re.sub(r"\d", lambda _: next(fresh), shape)
+    return re.sub(
+        r"\d", lambda old: chr(ord(old[0]) - unicodedata.digit(old[0]) + int(next(fresh))), shape
+    )
 
 
 def _number(feistel: Feistel, digits: str, kind: bytes) -> str:
@@ -105,11 +128,21 @@ def _number(feistel: Feistel, digits: str, kind: bytes) -> str:
     return str(value).zfill(len(digits))
 
 
+# Fixed: how the numbers of card issuers begin, with their lengths.
+_ISSUERS = re.compile(
+    r"4(?=\d{12}$|\d{15}$|\d{18}$)|5[1-5](?=\d{14}$)|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)(?=\d{12}$)"
+    r"|3[47](?=\d{13}$)|(?:6011|64[4-9]|65)(?=\d{12,14}$)|35(?:2[89]|[3-8]\d)(?=\d{12}$)"
+    r"|(?:30[0-5]|3[689])(?=\d{11,14}$)|62(?=\d{14,17}$)"
+)
+
+
 def _card(feistel: Feistel, found: re.Match) -> str | None:
-    digits = re.sub(r"\D", "", found.group())
-    if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
+    """What names the issuer stays, so that a pseudonym is the number of a card as well."""
+    digits = _digits(found.group())
+    issuer = _ISSUERS.match(digits)
+    if not issuer or luhn_digit(digits[:-1]) != digits[-1]:
         return None
-    body = _number(feistel, digits[:-1], b"card")
+    body = issuer[0] + _number(feistel, digits[issuer.end() : -1], b"card" + issuer[0].encode())
     return _refill(found.group(), body + luhn_digit(body))
 
 
@@ -120,7 +153,7 @@ _COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-5
 def _phone(feistel: Feistel, found: re.Match) -> str | None:
     """The country code stays, and the zero in brackets that is not dialled from abroad."""
     whole = found.group()
-    digits = re.sub(r"\D", "", whole)
+    digits = _digits(whole)
     if not 7 <= len(digits) <= 17:
         return None
     head = 0
@@ -157,6 +190,53 @@ def _date(feistel: Feistel, found: re.Match) -> str | None:
     return None
 
 
+def _address6(feistel: Feistel, found: re.Match) -> str | None:
+    """Any spelling of an address has one pseudonym, in full; those below 2**16 are no machine's."""
+    try:
+        value = int(ipaddress.IPv6Address(found.group()))
+    except ValueError:
+        return None
+    if value < 1 << 16:
+        return None
+    return ipaddress.IPv6Address(feistel.permute(value, 1 << 128, b"ipv6")).exploded
+
+
+# Fixed: names of the months in English, German, French and Spanish, and English short forms.
+_MONTHS = [
+    text.split()
+    for text in (
+        "january february march april may june july august september october november december",
+        "januar februar märz april mai juni juli august september oktober november dezember",
+        "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+        "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+        "jan feb mar apr may jun jul aug sep oct nov dec",
+    )
+]
+_MONTH = "|".join(sorted({name for names in _MONTHS for name in names}, key=lambda x: (-len(x), x)))
+
+
+def _named_date(feistel: Feistel, found: re.Match) -> str | None:
+    """The same day as in numbers has the same pseudonym; the month's name stays in its language."""
+    name = found.group("m1") or found.group("m2")
+    day, year = (found.group(k + "1") or found.group(k + "2") for k in "dy")
+    names = next(names for names in _MONTHS if name.lower() in names)
+    try:
+        at = dt.date(int(year), names.index(name.lower()) + 1, int(day)).toordinal() - FIRST_DAY
+    except ValueError:
+        return None
+    if not 0 <= at < DAYS:
+        return None
+    fresh = dt.date.fromordinal(feistel.permute(at, DAYS, b"date") + FIRST_DAY)
+    month = names[fresh.month - 1]
+    month = month.upper() if name.isupper() else month.capitalize() if name[0].isupper() else month
+    out, last = [], 0
+    new = {"d": str(fresh.day), "m": month, "y": f"{fresh.year:04d}"}
+    for group in sorted((g for g in found.groupdict() if found.group(g)), key=found.start):
+        out += [found.string[max(last, found.start()) : found.start(group)], new[group[0]]]
+        last = found.end(group)
+    return "".join(out)
+
+
 def _iban(feistel: Feistel, found: re.Match) -> str | None:
     whole = found.group()
     plain = whole.replace(" ", "")
@@ -185,26 +265,43 @@ def _email(feistel: Feistel, found: re.Match) -> str | None:
 
 
 def _secret(feistel: Feistel, found: re.Match) -> str | None:
-    head, value = found.group("head"), found.group("value")
-    if re.fullmatch("[0-9a-f]+", value):
-        size = 16 ** len(value)
-        fresh = feistel.permute(int(value, 16), size, b"hex%d" % len(value))
-        return f"{head}{fresh:0{len(value)}x}"
-    return head + feistel.characters(value, b"secret")
+    """A value of hexadecimal digits stays one; full stops and the like at its end are no part."""
+    head = next(text for name, text in found.groupdict().items() if name[0] == "h" and text is not None)
+    whole = next(text for name, text in found.groupdict().items() if name[0] == "v" and text is not None)
+    value = whole.rstrip(".!?:")
+    tail = whole[len(value) :]
+    if len(value) < 8 or (found.groupdict().get("v2") and len(value) < 12 and value.isalpha()):
+        return None
+    for digits in ("0-9a-f", "0-9A-F"):
+        if re.fullmatch(f"[{digits}]+", value):
+            size = 16 ** len(value)
+            fresh = feistel.permute(int(value, 16), size, b"hex%d" % len(value))
+            text = f"{fresh:0{len(value)}x}"
+            return head + (text.upper() if "F" in digits else text) + tail
+    return head + feistel.characters(value, b"secret") + tail
 
 
 # The formats, and the check that a match has to pass.
 KINDS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
     "email": (r"(?<![\w.+-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     "secret": (
-        r"(?P<head>\bAKIA)(?P<value>[A-Z0-9]{16})\b"
-        r"|(?P<head2>\b(?:password|passwd|pwd|token|secret|api_?key)\b\s*[=:]\s*[\"']?)"
-        r"(?P<value2>[0-9A-Za-z]{12,})",
+        r"(?P<h1>\bAKIA)(?P<v1>[A-Z0-9]{16})\b"
+        r"|(?P<h2>\b(?i:pass(?:word|wd|phrase)?|pwd|token|secret|(?:api|access|secret|private)[_-]?key)\b[\"']?"
+        r"\s*[=:]\s*[\"']?(?:(?i:bearer)\s+)?)(?P<v2>[^\s\"'<>,;()\[\]{}|]{8,})"
+        r"|(?P<h3>\b(?i:bearer)\s+)(?P<v3>[A-Za-z0-9._~+/=-]{16,})"
+        r"|(?P<h4>\b(?:gh[pousr]_|github_pat_|glpat-|xox[abposr]-|sk-|sk_live_|rk_live_))(?P<v4>[A-Za-z0-9_-]{16,})"
+        r"|(?P<h5>\beyJ)(?P<v5>[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)?)",
         _secret,
     ),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b", _iban),
     "date": (r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}"
              r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date),
+    "named_date": (
+        rf"\b(?i:(?P<m1>{_MONTH})\.?\s+(?P<d1>\d{{1,2}})(?:st|nd|rd|th)?,?\s+(?P<y1>\d{{4}})"
+        rf"|(?P<d2>\d{{1,2}})(?:st|nd|rd|th|\.)?\s+(?:de\s+)?(?P<m2>{_MONTH})\.?,?\s+(?:de\s+)?(?P<y2>\d{{4}}))\b",
+        _named_date,
+    ),
+    "address6": (r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])", _address6),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", _address),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _social),
     "card": (r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
@@ -213,19 +310,11 @@ KINDS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
               r"|(?<![\d-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", _phone),
 }
 _PATTERNS = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
-# Every match holds a digit of some script, an @ or one of the words before a secret.
-_HINT = r"[\p{Nd}@]|AKIA|password|passwd|pwd|token|secret|api_?key"
-
-
-class _Secret:
-    """A match of either form of a secret under the same names."""
-
-    def __init__(self, found: re.Match):
-        groups = found.groupdict()
-        self.parts = {name: groups[name] or groups[name + "2"] for name in ("head", "value")}
-
-    def group(self, name: str) -> str:
-        return self.parts[name]
+# Every match holds a digit of some script, an @, two colons or a word that secrets begin with.
+_HINT = (
+    r"[\p{Nd}@]|::|AKIA|eyJ|gh[pousr]_|github_pat_|glpat-|xox|sk-|_live_"
+    r"|(?i:pass|pwd|token|secret|key|bearer)"
+)
 
 
 def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[str]]:
@@ -239,8 +328,8 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[str]]:
         for part, open_ in parts:
             at = 0
             for found in _PATTERNS[kind].finditer(part) if open_ else ():
-                new = change(feistel, _Secret(found) if kind == "secret" else found)
-                if new is not None:
+                new = change(feistel, found)
+                if new is not None and new != found.group():
                     fresh += [(part[at : found.start()], True), (new, False)]
                     at = found.end()
                     kinds.append(kind)
@@ -277,8 +366,9 @@ def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
     """``doc_id``, ``text`` with pseudonyms, ``n_replaced`` and ``kinds`` of every row.
 
     With the same key, equal values become equal pseudonyms in all texts, however they are
-    punctuated. A pseudonym has the length, punctuation and check digits of its format; values
-    that fail their check are left alone. Null stays null, empty stays empty; equal texts stay
+    punctuated. A pseudonym has the length, punctuation and check digits of its format (IPv6
+    addresses are written in full, and days and months by name as long as they are); values
+    that fail their check are left alone, and what is left as it was is not counted. Null stays null, empty stays empty; equal texts stay
     equal; no row gives no row. Nothing is shuffled.
     """
     texts = docs.select(
