@@ -92,12 +92,13 @@ class NearDuplicates:
        has cannot be common to two, which bounds each class's similarity to any other and
        drops the classes that can have no link.
     4. In each band every class is compared with one of its members, on full sets. Classes that
-       are already connected need no more links; the rest of each band is compared with the
-       members of the other components inside the join's condition, so no pair is
-       written but a confirmed link.
+       are already connected need no more links.
+    5. Bands that still hold several components go through an exact prefix filter: their classes
+       are compared where they share one of their rarest shingles, and only if sizes and places
+       leave room for enough common ones. Again one member of each shingle comes first.
 
-    No band is capped. Work inside a band is its members times those outside its largest
-    component; adaptive execution splits hot bands.
+    No band and no shingle is capped. What is left to compare in pairs are classes of different
+    components that share a rare shingle.
     """
 
     def __init__(self, k: int = 5, percent: int = 80, rows: int = 4, bands: int = 30):
@@ -167,34 +168,48 @@ class NearDuplicates:
         sets = texts.select("text").mapInArrow(_collect_sets(self.k), SETS)
         sets = staging.settle(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
         rows = self._rows(shared, sets, staging)
-        stars = staging.settle(self._stars(rows, sets), "stars")
-        merged = components(stars, staging, "stars_merged")
-        links = stars.unionByName(self._across(rows, merged, sets))
-        final = components(staging.settle(links, "links"), staging, "merged")
-        nodes = sets.select("node", "fp").join(final, "node")
+        links = staging.settle(self._confirmed(self._stars(rows), sets), "stars")
+        merged = components(links, staging, "stars_merged")
+        rows = self._prefixes(rows, merged, sets, staging)
+        if not rows.isEmpty():
+            stars = staging.settle(self._confirmed(self._stars(rows), sets), "prefix_stars")
+            if not stars.isEmpty():
+                links = links.unionByName(stars)
+                merged = components(links, staging, "prefix_stars_merged")
+                rows = self._labelled(rows.drop("component"), merged)
+            across = staging.settle(self._confirmed(self._across(rows), sets), "across")
+            if not across.isEmpty():
+                merged = components(links.unionByName(across), staging, "merged")
+        nodes = sets.select("node", "fp").join(merged, "node")
         return staging.settle(
             nodes.join(classes, "fp").select("fp", "lead", "component"), "linked"
         )
 
     def _rows(self, shared: DataFrame, sets: DataFrame, staging: Staging) -> DataFrame:
         """``key``, ``node``, ``n``, ``own`` for the classes that may have a link; ``own`` counts
-        the shingles that no other candidate has."""
+        the shingles that no other candidate has, and ``apart`` is their share."""
         shingle = sets.select("node", F.explode("shingles").alias("shingle"))
         single = shingle.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("node").alias("node"))
         own = single.where("sets = 1").groupBy("node").agg(F.count("*").alias("own"))
         nodes = sets.select("node", "fp", "n").join(own, "node", "left").na.fill(0, ["own"])
         nodes = nodes.where(f"100 * (n - own) >= {self.percent} * n")
-        rows = shared.join(nodes, "fp").select("key", "node", "n", "own")
+        rows = shared.join(nodes, "fp").select(
+            "key", "node", "n", "own", (F.col("own") / F.col("n")).alias("apart"), F.col("node").alias("component")
+        )
         return staging.settle(rows, "rows")
 
-    def _stars(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
-        """Confirmed links between each class and one member, drawn by hash, of each band."""
-        member = F.struct("node", "n", "own")
-        hub = rows.groupBy("key").agg(
-            F.min_by(member, F.xxhash64("node", "key")).alias("y"), F.count("*").alias("size")
-        )
-        pairs = rows.alias("x").join(hub.where("size > 1"), "key").where("x.node <> y.node")
-        pairs = pairs.where(self._possible("x", "y"))
+    def _stars(self, rows: DataFrame) -> DataFrame:
+        """Pairs of each class and one member of each of its keys: the one with the least share
+        of shingles of its own, which is what near copies were made from rather than one of
+        them. So the keys of a group mostly elect the same one, and their pairs are few."""
+        member = F.struct("node", "n", "own", "component")
+        central = F.struct("apart", F.xxhash64("node"))
+        hub = rows.groupBy("key").agg(F.min_by(member, central).alias("y"))
+        pairs = rows.alias("x").join(hub, "key").where("x.component <> y.component")
+        return pairs.where(self._possible("x", "y"))
+
+    def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs that are similar, once each."""
         pairs = pairs.select(
             F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
         ).distinct()
@@ -202,25 +217,40 @@ class NearDuplicates:
         y = sets.select(F.col("node").alias("b"), "n", "shingles").alias("y")
         return pairs.join(x, "a").join(y, "b").where(self._similar("x", "y")).select("a", "b")
 
-    def _across(self, rows: DataFrame, merged: DataFrame, sets: DataFrame) -> DataFrame:
-        """Confirmed links between different components that share a band."""
+    @staticmethod
+    def _labelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
         rows = rows.join(merged, "node", "left")
-        rows = rows.withColumn("component", F.coalesce("component", "node"))
-        sizes = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(
-            F.max_by("component", F.struct("size", "component")).alias("largest"),
-            F.count("*").alias("parts"),
-        )
-        rows = rows.join(largest.where("parts > 1"), "key")
-        rows = rows.join(sets.select("node", "shingles"), "node")
-        x, y = rows.where("component <> largest").alias("x"), rows.alias("y")
-        apart = F.expr(
-            "x.component <> y.component AND (y.component = y.largest OR x.node < y.node)"
+        return rows.withColumn("component", F.coalesce("component", "node"))
+
+    def _prefixes(self, rows: DataFrame, merged: DataFrame, sets: DataFrame, staging: Staging) -> DataFrame:
+        """Rows again for the classes of bands that have several components, with shingles as keys.
+
+        Ordered from the rarest shingle among these classes to the most frequent one, two
+        similar sets share one of their first ``n - ceil(percent * n / 100) + 1``. ``own`` counts
+        the shingles before the key: at the first that is common, those cannot be.
+        """
+        rows = self._labelled(rows.drop("component"), merged)
+        ends = F.min("component").alias("least"), F.max("component").alias("most")
+        open_ = rows.groupBy("key").agg(*ends).where("least <> most").select("key")
+        columns = ["node", "n", "component", "apart"]
+        nodes = rows.join(open_, "key").select("node", "component", "apart").distinct()
+        tokens = nodes.join(sets, "node").select(*columns, F.explode("shingles").alias("key"))
+        held = tokens.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+        ordered = F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("held")
+        held = tokens.join(held, "key").groupBy(*columns).agg(ordered)
+        reach = f"n - ({self.percent} * n + 99) div 100 + 1"
+        held = held.selectExpr("*", "n - size(held) AS alone")
+        first = f"slice(held, 1, CAST(greatest(0, {reach} - alone) AS INT))"
+        places = held.selectExpr(*columns, "alone", f"posexplode({first}) AS (at, entry)")
+        return staging.settle(
+            places.selectExpr("entry.key AS key", *columns, "alone + at AS own"), "prefixes"
         )
-        # CASE, so that the sets are compared only where the cheap conditions hold.
-        confirmed = F.when(apart & self._possible("x", "y"), self._similar("x", "y")).otherwise(False)
-        links = x.join(y, (F.col("x.key") == F.col("y.key")) & confirmed)
-        return links.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+    def _across(self, rows: DataFrame) -> DataFrame:
+        """Pairs of different components that share a key and may be similar."""
+        x, y = rows.alias("x"), rows.alias("y")
+        apart = F.expr("x.key = y.key AND x.component < y.component")
+        return x.join(y, apart & self._possible("x", "y"))
 
 
 def one_of_each(docs: DataFrame, staging: Staging, finder: NearDuplicates) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.sources.staging import Staging
@@ -17,37 +17,36 @@ from tidemart.sources.staging import Staging
 LOCATOR = ["loc_file", "loc_row"]
 
 
+def _metadata(docs: DataFrame) -> Column:
+    """Where rows of files lie, also if they have a column of that name."""
+    return docs.metadataColumn("_metadata")
+
+
 def stored(docs: DataFrame, staging: Staging) -> DataFrame:
     """The same rows as a scan of Parquet files; what is none yet is written once."""
     try:
-        docs.select("_metadata.row_index")
+        docs.select(_metadata(docs)["row_index"])
         return docs
     except AnalysisException:
         return staging.settle(docs, "stored")
 
 
-def located(docs: DataFrame, *columns: str) -> DataFrame:
+def located(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` of stored rows with their locator, whatever else the rows hold."""
+    at = _metadata(docs)
     return docs.select(
         *columns,
-        F.xxhash64("_metadata.file_path").alias("loc_file"),
-        F.col("_metadata.row_index").alias("loc_row"),
+        F.xxhash64(at["file_path"]).alias("loc_file"),
+        at["row_index"].alias("loc_row"),
     )
 
 
 def only(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     """Stored rows whose locator is among ``keepers``, with the columns they had."""
     names = docs.columns
-    marked = docs.select(
-        *[F.col(f"`{name}`") for name in names],
-        F.xxhash64("_metadata.file_path").alias("__loc_file"),
-        F.col("_metadata.row_index").alias("__loc_row"),
-    )
-    chosen = keepers.select(
-        F.col("loc_file").alias("__loc_file"), F.col("loc_row").alias("__loc_row")
-    )
-    kept = marked.join(chosen, ["__loc_file", "__loc_row"], "left_semi")
-    return kept.select(*[F.col(f"`{name}`") for name in names])
+    packed = located(docs, F.struct(*[docs[f"`{name}`"] for name in names]).alias("row"))
+    kept = packed.join(keepers.select(*LOCATOR), LOCATOR, "left_semi")
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in names])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
