@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 import pytest
 
 from tidemart.llm import fertility, masked, pii, toxicity
+from tidemart.llm.quantiles import exact_quantiles
 from tidemart.llm.registry import QUERIES
 from tidemart.llm.rows import text_bytes
 from tidemart.llm.shingles import Powers, shingle_sets
@@ -227,3 +228,19 @@ def test_bands_reject_planted_fragments(llm, documents, staging):
         kept = [found[n].kept for n, x in clean.items() if x == lang and not found[n].base_failed]
         assert sum(noise) <= 0.1 * len(noise), lang
         assert sum(kept) >= 0.95 * len(kept), lang
+
+
+def test_quartiles_are_exact_in_any_layout(llm, staging):
+    r = random.Random(12)
+    rows = [(r.choice(["a", "b", None, "one"][: 3 if n else 4]), r.choice([0.0, r.random(), r.gauss(3, 2)]), r.choice([None, 0.5, r.random() * 9])) for n in range(4000)]
+    rows.append(("alone", 1.5, None))
+    shares, got = [0.0, 0.25, 0.5, 0.75, 1.0], []
+    for parts in (1, 40):
+        table = llm.createDataFrame(rows, "g string, x double, y double").repartition(parts)
+        found = exact_quantiles(table, "g", ["x", "y"], shares, Staging(llm, staging.path + str(parts)))
+        got.append({row.g: (row.q_x, row.q_y) for row in found.collect()})
+    want = {}
+    for g in {row[0] for row in rows}:
+        columns = [[row[at] for row in rows if row[0] == g and row[at] is not None] for at in (1, 2)]
+        want[g] = tuple(np.quantile(c, shares, method="inverted_cdf").tolist() if c else [] for c in columns)
+    assert got[0] == got[1] == want

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import resident
+from tidemart.llm.quantiles import exact_quantiles
 from tidemart.llm.rows import slices, text_bytes, words
 from tidemart.llm.shingles import Powers, mix, word_hashes
 from tidemart.sources.staging import Staging
@@ -210,12 +211,9 @@ def judged(
     failed = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
     rows = rows.withColumn("base_failed", F.expr(failed))
     rows = rows.withColumn("band", F.coalesce("lang", "script"))
-    quartiles = [
-        F.percentile_approx(name, [0.25, 0.5, 0.75], 10_000).alias(f"q_{name}") for name in METRICS
-    ]
     # Written, so that Spark knows its size: a few languages are broadcast, many are not.
-    bands = rows.where("NOT base_failed").groupBy("band").agg(*quartiles)
-    bands = staging.settle(bands, "bands")
+    passed = rows.where("NOT base_failed")
+    bands = staging.settle(exact_quantiles(passed, "band", METRICS, [0.25, 0.5, 0.75], staging), "bands")
     rows = rows.join(bands, "band", "left")
     inside = F.lit(True)
     for name in METRICS:
