@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from compare import difference, duck
-from tidemart.llm import fertility, masked, mixing, pii, quality, toxicity
+from tidemart.llm import fertility, grammar, masked, mixing, pii, quality, toxicity
 from tidemart.llm.registry import ORACLES, QUERIES
 from tidemart.llm.shingles import Powers
 from tidemart.sources.staging import Staging
@@ -232,13 +232,60 @@ def test_equal_values_stay_linked_and_invalid_ones_stay(documents, odd_rows):
     assert pii.pseudonyms(documents([]), b"key").count() == 0
 
 
-def test_grammar_reads_clauses():
-    read = lambda *marks: [kind for kind, _ in toxicity.read_clause(list(marks), [1.0] * len(marks))]
-    o, i, t, a, n, r = range(6)
-    assert read(o, i) == ["plain"] and read(a, o, i) == ["targeted"] and read(i, o, a) == ["targeted"]
-    assert read(a, n, i) == ["negated"] and read(n, o, o, o, i) == ["plain"]
-    assert read(r, o, o, i) == ["reported"] and read(t, o) == [] and read(t, a) == ["threat"]
-    assert read(*[o] * 9) == []
+def clause_by_hand(marks, weights):
+    """The same patterns by looking around each word, without states."""
+    g, out, alone = grammar, [], set()
+    for i, mark in enumerate(marks):
+        before = lambda n: marks[max(0, i - n) : i]  # noqa: B023, E731
+        kind = gain = None
+        if mark == g.INSULT:
+            gain = weights[i] * (g.DOUBLED if i and marks[i - 1] == g.INSULT else 1.0)
+            around = before(g.TARGET_REACH) + marks[i + 1 : i + 1 + g.TARGET_REACH]
+            kind = g.TARGETED if {g.TARGET, g.OBJECT} & set(around) else g.PLAIN
+            gain *= g.AIMED if kind == g.TARGETED else 1.0
+        elif mark == g.THREAT and g.MODAL in before(g.MODAL_REACH) and any(
+            marks[j] == g.OBJECT and g.MODAL in marks[max(0, j - g.MODAL_REACH) : j]
+            for j in range(max(0, i - g.OBJECT_REACH), i)
+        ):
+            kind, gain = g.MENACE, g.ANNOUNCED
+            alone.add(i)
+        elif mark == g.OBJECT:
+            for k in range(i - 1, max(-1, i - 1 - g.OBJECT_REACH), -1):
+                if marks[k] == g.OBJECT:
+                    break
+                if marks[k] == g.THREAT:
+                    if k not in alone:
+                        announced = g.MODAL in marks[max(0, k - g.MODAL_REACH) : k]
+                        kind, gain = g.MENACE, g.ANNOUNCED if announced else 1.0
+                    break
+        if kind is not None:
+            if g.NEGATION in before(g.NEGATION_REACH):
+                kind, gain = g.DENIED, gain * g.WEAKENED
+            if g.REPORT in before(g.REPORT_REACH):
+                kind, gain = g.QUOTED, gain * (1.0 if kind == g.DENIED else g.WEAKENED)
+            out.append((kind, pytest.approx(gain)))
+    return out
+
+
+def test_composed_machine_equals_matching_by_hand():
+    r = random.Random(7)
+    for _ in range(4000):
+        marks = r.choices(range(8), [6, 2, 2, 1, 2, 1, 1, 2], k=r.randrange(16))
+        weights = [r.choice([1.0, 2.5, 4.0]) for _ in marks]
+        score, found = grammar.best_path(marks, weights)
+        assert found == clause_by_hand(marks, weights), marks
+        assert score == pytest.approx(sum(gain for _, gain in found))
+
+
+def test_clauses_and_not_words_are_scored():
+    lexicon = toxicity.Lexicon(toxicity.UNLEARNED.terms)
+    score = lambda text: toxicity.UNLEARNED.scores(np.array([toxicity.features(text, lexicon)]))[0]
+    weak = max(score('He said "you are no idiot".'), score("You are not an idiot."), score("She called him an idiot."))
+    order = [score("An idiot, perhaps."), score("You are an idiot."), score("You pathetic worthless idiot.")]
+    assert score("He will kill the process.") < 0.1 < weak < 0.5 < order[0] and order == sorted(order)
+    assert score("I will kill you.") > 0.5 > score("You will kill time.")
+    assert score("I will kill you.") > score("They kill them.") > score("Kill.")
+    assert score("Ich werde dich töten.") == pytest.approx(score("I will kill you."), abs=0.05)
 
 
 def test_toxicity_is_learned(documents, odd_rows, llm, staging):
@@ -252,8 +299,8 @@ def test_toxicity_is_learned(documents, odd_rows, llm, staging):
         rows.append((n, " ".join(words) + ".", "en", "s"))
         labels.append((n, int(toxic)))
     labels = llm.createDataFrame(labels, "doc_id bigint, label int")
-    grammar = toxicity.learn(documents(rows[:480]), labels, staging)
-    found = toxicity.score(documents(rows[480:] + odd_rows), grammar).collect()
+    learned = toxicity.learn(documents(rows[:480]), labels, staging)
+    found = toxicity.score(documents(rows[480:] + odd_rows), learned).collect()
     assert len(found) == 120 + len(odd_rows)
     right = sum((row.score >= 0.5) == (row.doc_id % 4 == 0) for row in found[:120])
     assert right >= 115

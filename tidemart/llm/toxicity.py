@@ -1,9 +1,7 @@
-"""Toxicity by a grammar of weighted finite-state transducers over marked words.
+"""Toxicity by a weighted finite-state grammar over marked words.
 
-A lexicon turns each word into a mark. Four transducers read the marks of a clause and are
-composed into one machine: targets (is somebody addressed?), negation and reported speech
-(each weakens what follows), and the matcher, which puts out a weight for each insult or
-threat according to the state of the others. Texts are scored by their clauses' outputs.
+A lexicon turns each word into a mark; the composed transducers of :mod:`tidemart.llm.grammar`
+read the marks of a clause. Texts are scored by what the best paths through their clauses put out.
 """
 
 from __future__ import annotations
@@ -18,14 +16,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import logistic, resident
+from tidemart.llm.grammar import (
+    DENIED,
+    INSULT,
+    MENACE,
+    MODAL,
+    NEGATION,
+    OBJECT,
+    OTHER,
+    PLAIN,
+    QUOTED,
+    REPORT,
+    TARGET,
+    TARGETED,
+    THREAT,
+    best_path,
+)
 from tidemart.llm.rows import labelled_sample
 from tidemart.sources.staging import Staging
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 END = 8  # added to the mark of a word that ends its clause
 
 # Function words and verbs of the grammar.
-TARGETS = "you your yours u they them he she him du dich dir ihr euch tu te toi vous vos tú usted ustedes vosotros ti"
+TARGETS = "your yours they he she du ihr tu vos tú usted ustedes vosotros"
+OBJECTS = "you u them him dich dir euch te toi vous ti"
+MODALS = "will shall should must gonna going would werde werden muss sollte vais va allons voy vamos debo"
 NEGATIONS = "not no never isn't aren't don't wasn't nicht kein keine nie pas jamais nunca jamás ni"
 REPORTS = "said says say wrote told called quoted reported allegedly sagte sagt schrieb nannte angeblich dit disait écrit dijo dice escribió llamó"
 THREATS = "kill killing destroy hurt beat shoot stab burn töten umbringen schlagen vernichten tuer frapper brûler détruire matar golpear quemar destruir"
@@ -33,9 +48,12 @@ INSULTS = "idiot moron loser scum trash stupid pathetic worthless disgusting"
 
 _MARKS = {
     word: mark
-    for text, mark in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT))
+    for text, mark in (
+        (TARGETS, TARGET), (OBJECTS, OBJECT), (MODALS, MODAL),
+        (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT),
+    )
     for word in text.split()
-}
+}
 _EDGES = ".,;:!?…()[]{}\"'«»“”„‘’*#$%&|<>-_"
 _CLOSES = re.compile(r"[.!?;:…][\"'»”’)\]]*$")
 PREFIXES = (3, 4, 5, 6, 7)
@@ -44,60 +62,8 @@ PREFIXES = (3, 4, 5, 6, 7)
 FEATURES = ["plain", "targeted", "negated", "reported", "threat", "strongest", "dense"]
 
 
-class Transducer:
-    """States 0 (the first) to ``len(moves) - 1``; ``moves[state][mark]`` is the next state.
-    The label of a state is what a transducer composed with it can see."""
-
-    def __init__(self, moves: list[list[int]], labels: list[int]):
-        self.moves, self.labels = moves, labels
-
-    def compose(self, other: Transducer) -> Transducer:
-        """One that is in both at once; its label pairs theirs, ``other``'s as low bit."""
-        size = len(other.moves)
-        moves = [
-            [a * size + b for a, b in zip(mine, theirs)]
-            for mine in self.moves
-            for theirs in other.moves
-        ]
-        labels = [2 * mine + theirs for mine in self.labels for theirs in other.labels]
-        return Transducer(moves, labels)
-
-
-def _within(mark: int, reach: int) -> Transducer:
-    """Is ``mark`` among the last ``reach`` words? State i: i words are left of its reach."""
-    moves = [[max(state - 1, 0)] * 6 for state in range(reach + 1)]
-    for row in moves:
-        row[mark] = reach
-    return Transducer(moves, [int(state > 0) for state in range(reach + 1)])
-
-
-#: Negation reaches over three words, a reporting verb over eight, an address over six.
-GRAMMAR = _within(REPORT, 8).compose(_within(NEGATION, 3)).compose(_within(TARGET, 6))
-
-
-def read_clause(marks: list[int], weights: list[float]) -> list[tuple[str, float]]:
-    """Outputs for one clause: the kind of each match, and its weight.
-
-    The clause is read twice, so that an address after an insult counts like one before it.
-    """
-    state, addressed = 0, TARGET in marks
-    out = []
-    for mark, weight in zip(marks, weights):
-        state = GRAMMAR.moves[state][mark]
-        if mark == INSULT or mark == THREAT:
-            label = GRAMMAR.labels[state]
-            if label & 4:
-                kind = "reported"
-            elif label & 2:
-                kind = "negated"
-            elif mark == THREAT:
-                if not addressed:
-                    continue  # a threat needs somebody whom it is for
-                kind = "threat"
-            else:
-                kind = "targeted" if label & 1 or addressed else "plain"
-            out.append((kind, weight))
-    return out
+#: What a kind of match is called among the outputs.
+_CALLED = {PLAIN: "plain", TARGETED: "targeted", DENIED: "negated", QUOTED: "reported", MENACE: "threat"}
 
 
 def strip(word: str) -> str:
@@ -145,11 +111,10 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
             start = int(stops[clause - 1]) + 1 if clause else 0
             stop = int(stops[clause]) + 1 if clause < len(stops) else len(found)
             weights = [lexicon.weight(strip(word)) or 1.0 for word in found[start:stop]]
-            score = 0.0
-            for kind, weight in read_clause(kinds[start:stop].tolist(), weights):
-                sums[kind] += weight
-                matches += 1
-                score += weight if kind in ("plain", "targeted", "threat") else 0.25 * weight
+            score, path = best_path(kinds[start:stop].tolist(), weights)
+            for kind, weight in path:
+                sums[_CALLED[kind]] += weight
+            matches += len(path)
             strongest = max(strongest, score)
     sizes = [np.log1p(sums[kind]) for kind in FEATURES[:5]]
     return [*sizes, np.log1p(strongest), np.log1p(1000 * matches / (len(found) + 100))]
@@ -208,7 +173,7 @@ def learn(
 
     At most ``sample`` labels are used: half of them for the lexicon, half for the outputs'
     weights. A term of the lexicon is in ``support`` toxic
-    texts or more and e**2 times as common among them. The lexicon has at most 5000 terms.
+    texts or more and e**2 times as common among them; the sample's texts bound their number.
     """
     rows = staging.settle(labelled_sample(docs, labels, sample), "sample")
     half = rows.where("pmod(at, 2) = 0").select("text", "label")
@@ -219,8 +184,8 @@ def learn(
     terms = terms.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
     terms = terms.withColumn("weight", odds).where(f"toxic >= {support} AND weight >= 2")
-    best = terms.orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(5000).collect()
-    weights = {row.term: row.weight for row in best} or dict(UNLEARNED.terms)
+    weights = {row.term: row.weight for row in terms.collect()}
+    weights = dict(sorted(weights.items())) or dict(UNLEARNED.terms)
     other = rows.where("pmod(at, 2) = 1").select(F.lit(0).cast("bigint").alias("doc_id"), "label", "text")
     seen = other.mapInArrow(_apply(tuple(weights.items()), None), "label int, features array<double>")
     seen = seen.collect()
