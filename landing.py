@@ -44,7 +44,9 @@ def _compact(day: str) -> str:
 
 def _padded(number: str, digits: int, kind: str = "d") -> str:
     """The number with leading zeros; longer where it has more digits."""
-    return f"format_string('%0{digits}{kind}', CAST({number} AS BIGINT))"
+    whole = f"CAST({number} AS BIGINT)"
+    text = f"hex({whole})" if kind == "X" else f"CAST({whole} AS STRING)"
+    return f"lpad({text}, greatest({digits}, length({text})), '0')"
 
 
 def _with_customer_numbers(customer: DataFrame) -> DataFrame:

@@ -46,10 +46,18 @@ class Warehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         if layer == "silver" and self.keep_rejects:
             return self._routed.quality() if table == "quality" else self._routed.accepted(table)
-        if table == "gold_fact_sales" and self.null_keys == "match":
+        if table == "gold_fact_sales" and self._has_links_only():
             return self.factorised().rows()
         return read_table(self.spark, self.root, layer, table)
 
+    def _has_links_only(self) -> bool:
+        """Is the fact stored without pairs? A root that was modelled both ways has both forms,
+        and ``null_keys`` tells which one is meant."""
+        if self.null_keys == "match":
+            return True
+        stored = VersionedTable(self.spark, table_path(self.root, "gold", "gold_fact_sales"))
+        return not stored.versions() and bool(self._links.versions())
+
     @property
     def _routed(self) -> RoutedTables:
         return RoutedTables(self.spark, self.root, self.entities)
@@ -137,9 +145,9 @@ class Warehouse:
         return tuple(self.read("gold", name) for name in names)
 
     def factorised(self) -> FactorisedFact:
-        """The stored fact without pairs (needs ``null_keys="match"``)."""
+        """The stored fact without pairs, as ``null_keys="match"`` leaves it."""
         dimensions = self.read("gold", "gold_dim_product"), self.read("gold", "gold_dim_customer")
-        return FactorisedFact(self._links.read(LINKS), *dimensions, self.null_keys)
+        return FactorisedFact(self._links.read(LINKS), *dimensions, "match")
 
     def reports(self, top: int = 5, measure: reports.Measure = "price") -> dict[str, DataFrame]:
         """The reports as DataFrames over the stored gold tables."""
