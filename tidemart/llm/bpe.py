@@ -20,7 +20,8 @@ from tidemart.llm.pieces import PieceIds, literal
 from tidemart.llm.rows import slices
 
 SLICE_BYTES = 2 << 20
-WORDS_AT_ONCE = 40_000
+#: Words, and about as many pieces, that a worker holds; fewer cost time and change no result.
+HELD = 400_000
 
 #: Each round contracts, in every word that has one, the leftmost pair of least rank. A key is
 #: the word's number and a token's place in it; words without a pair left are done.
@@ -59,16 +60,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 class ByteBpe:
     """One vocabulary: a rank file's merges as a table of pairs, its tokens as another. The ids
-    of up to ``limit`` words are held, four bytes each, for other pieces that have them."""
+    of up to ``limit`` words are held, four bytes each, for other pieces that have them; a tenth
+    of them are contracted at once."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 400_000):
+    def __init__(self, path: str, pattern: str, limit: int = HELD):
         self.ranks = read_ranks(path)
         # White space as Unicode has it; the class \\s of this library has four characters more.
         pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.pattern = regex.compile(pattern)
         self.letters = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         self.words: dict[bytes, bytes] = {}
-        self.limit = limit
+        self.limit, self.at_once = limit, limit // 10
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self.duck.register("tokens_in", self._vocabulary())
         self.duck.execute("CREATE TABLE vocabulary AS FROM tokens_in")
@@ -116,8 +118,8 @@ class ByteBpe:
                 rest.append(word)
             else:
                 self.words[word] = rank.to_bytes(4, "little")
-        for start in range(0, len(rest), WORDS_AT_ONCE):
-            some = rest[start : start + WORDS_AT_ONCE]
+        for start in range(0, len(rest), self.at_once):
+            some = rest[start : start + self.at_once]
             self.words.update(zip(some, self.contract(some)))
         runs = [b"".join(map(self.words.__getitem__, words)) for words in found]
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
@@ -135,17 +137,17 @@ class ByteBpe:
         return out
 
 
-def _bpe(path: str, pattern: str) -> tuple[ByteBpe, PieceIds]:
+def _bpe(path: str, pattern: str, held: int = HELD) -> tuple[ByteBpe, PieceIds]:
     def make() -> tuple[ByteBpe, PieceIds]:
-        bpe = ByteBpe(path, pattern)
-        return bpe, PieceIds(bpe.encode_keys)
+        bpe = ByteBpe(path, pattern, held)
+        return bpe, PieceIds(bpe.encode_keys, held + held // 8)
 
-    return resident.keep(("bpe", path, pattern), make)
+    return resident.keep(("bpe", path, pattern, held), make)
 
 
-def _run(path: str, pattern: str, digests: bool) -> Callable:
+def _run(path: str, pattern: str, digests: bool, held: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, pieces = _bpe(path, pattern)
+        bpe, pieces = _bpe(path, pattern, held)
         written = [str(i) for i in range(max(bpe.ranks.values()) + 1)]
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
@@ -166,6 +168,7 @@ def _run(path: str, pattern: str, digests: bool) -> Callable:
                     [part.column("doc_id"), pa.array(sizes), ids_out, decoded_out],
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )
+            resident.give_back()
 
     return run
 
@@ -176,7 +179,9 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, held: int = HELD
+) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` and ``decoded`` (the ids' bytes) of every row.
 
     A null text counts as empty and gives no ids; repeated rows are encoded like any other; no
@@ -185,13 +190,13 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
     bytes long takes as many rounds as it has merges.
     """
     schema = "doc_id bigint, n_tokens bigint, ids array<int>, decoded binary"
-    return _texts(docs).mapInArrow(_run(path, pattern, False), schema)
+    return _texts(docs).mapInArrow(_run(path, pattern, False, held), schema)
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """As ``encode``, with SHA-256 digests of the ids (decimal, joined by commas) and bytes."""
     schema = "doc_id bigint, n_tokens bigint, ids string, decoded string"
-    out = _texts(docs).mapInArrow(_run(path, pattern, True), schema)
+    out = _texts(docs).mapInArrow(_run(path, pattern, True, HELD), schema)
     return out.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
 
 

@@ -106,6 +106,8 @@ class ExactDuplicates:
         query.awaitTermination()
         held = own.read.format("statestore").load(checkpoint)
         counted, kept = held.schema["value"].dataType.names[-2:]
+        if held.schema["value"].dataType[kept].dataType.typeName() != "struct":
+            raise RuntimeError(f"the state has another layout: {held.schema.simpleString()}")
         return held.select(
             F.col("key.digest").alias("digest"),
             F.col(f"value.`{counted}`").alias("group_size"),
