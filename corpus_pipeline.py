@@ -57,7 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the bytes they decode to; a null text has none."""
     ship(spark)
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    # Workers of the earlier stages are still there, so each holds less than it would alone.
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), held=120_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
